@@ -88,7 +88,7 @@ def histogram_quantiles(hist: Histogram, qs: Sequence[float], window_rows: int =
     by, value = hist.by, hist.value
     if hist.size <= window_rows:
         wide = hist.rows.groupBy(*by).agg(
-            F.percentile(value, F.array(*[F.lit(float(q)) for q in qs]), "n").alias("found")
+            F.percentile(value, F.array(*[F.lit(float(q)) for q in qs]), F.col("n")).alias("found")
         )
         pairs = [F.struct(F.lit(float(q)).alias("q"), F.col("found")[i].alias("value")) for i, q in enumerate(qs)]
         return wide.where(F.col("found").isNotNull()).select(*by, F.inline(F.array(*pairs)))

@@ -76,7 +76,7 @@ def request_schema(market: str) -> T.StructType:
     names = {"EUR": EUR_V2, "TR": TR_V2}[market]
     return T.StructType(
         [
-            T.StructField(c, T.BooleanType() if c in BOOL_COLUMNS else T.IntegerType())
+            T.StructField(c, T.BooleanType() if c in BOOL_COLUMNS else T.LongType() if c in LONG_COLUMNS else T.IntegerType())
             for c in names
         ]
     )
