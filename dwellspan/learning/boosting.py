@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from dwellspan.functions.columns import logcosh_quantile
 from dwellspan.learning.trees import TreeModel, tree_frame
 from dwellspan.operators.ordered import quantiles
-from dwellspan.session import materialise, new_path
+from dwellspan.session import discard, materialise, new_path
 
 MISSING = -1
 
@@ -181,28 +181,27 @@ def best_splits(hist: DataFrame, params: BoostParams) -> DataFrame:
     )
 
 
-def _lookup(values: Sequence, kind: str) -> str:
-    """SQL for the entry of a literal array at `node`; the array is folded once, at planning."""
-    return f"get(from_json('{json.dumps(list(values))}', 'array<{kind}>'), node)"
+def _lookup(values: Sequence, kind: str, index: str) -> str:
+    """SQL for one entry of a literal array; the array is folded once, at planning."""
+    return f"get(from_json('{json.dumps(list(values))}', 'array<{kind}>'), {index})"
 
 
-def _route(rows: DataFrame, nodes: list[dict], depth: int) -> DataFrame:
-    """Add `node`: where each row stands after `depth` steps down a partly grown tree."""
+def _route(rows: DataFrame, nodes: list[dict], levels: Sequence[range]) -> DataFrame:
+    """Add `node`: where each row stands after the given levels of a tree. The nodes of a level are
+    numbered in a row, so a step only looks at that level; a row that stopped higher up stays."""
     rows = rows.withColumn("node", F.lit(0))
-    at = {
-        n: _lookup([x[n] for x in nodes], kind)
-        for n, kind in (
-            ("feature", "int"), ("bin", "int"), ("left", "int"), ("right", "int"), ("default_left", "boolean")
-        )
-    }
     others = [c for c in rows.columns if c != "node"]
-    for _ in range(depth):
+    kinds = {"feature": "int", "bin": "int", "left": "int", "right": "int", "default_left": "boolean"}
+    for level in levels:
+        at = {
+            n: _lookup([nodes[i][n] for i in level], kind, f"node - {level.start}") for n, kind in kinds.items()
+        }
         rows = rows.selectExpr(*others, "node", f"{at['feature']} AS _f").selectExpr(
             *others, "node", "_f", "get(bins, _f) AS _bin"
         )
         left = f"if(_bin = {MISSING}, {at['default_left']}, _bin <= {at['bin']})"
         down = f"if({left}, {at['left']}, {at['right']})"
-        rows = rows.selectExpr(*others, f"if(_f < 0, node, {down}) AS node")
+        rows = rows.selectExpr(*others, f"if(_f >= 0, {down}, node) AS node")
     return rows
 
 
@@ -216,36 +215,35 @@ def _leaf_value(node: dict, params: BoostParams) -> float:
     return -params.eta * shrunk / weight if weight else 0.0
 
 
-def grow_tree(rows: DataFrame, params: BoostParams, n_features: int, rng: random.Random) -> tuple[list[dict], int]:
-    """One tree over rows (bins, g, h), level by level: (nodes, depth)."""
+def grow_tree(
+    rows: DataFrame, params: BoostParams, n_features: int, rng: random.Random
+) -> tuple[list[dict], list[range]]:
+    """One tree over rows (bins, g, h), level by level: its nodes, and which of them each level split."""
     new = lambda: {"feature": -1, "bin": 0, "left": 0, "right": 0, "default_left": False, "gain": 0.0}
-    nodes, depth = [new()], 0
+    nodes, levels, level = [new()], [], range(1)
     chosen = _sampled(list(range(n_features)), params.colsample_bytree, rng)
-    open_nodes = {0}
-    while open_nodes and depth < params.max_depth:
+    while len(level) and len(levels) < params.max_depth:
         features = _sampled(chosen, params.colsample_bylevel, rng)
-        placed = _route(rows, nodes, depth)
-        if depth:
-            placed = placed.where(_lookup([i in open_nodes for i in range(len(nodes))], "boolean"))
+        placed = _route(rows, nodes, levels).where(F.col("node") >= level.start)
         found = best_splits(level_histogram(placed, features), params).collect()
-        open_nodes = set()
         for split in sorted(found, key=lambda s: s["node"]):
             node = nodes[split["node"]]
             node.update(g=split["g"], h=split["h"])
             if split["gain"] is None or split["gain"] <= 0:
                 continue
-            left, right = len(nodes), len(nodes) + 1
             node.update(
-                feature=split["feature"], bin=split["bin"], left=left, right=right,
+                feature=split["feature"], bin=split["bin"], left=len(nodes), right=len(nodes) + 1,
                 default_left=split["default_left"], gain=split["gain"],
             )
             nodes.append({**new(), "g": split["gl"], "h": split["hl"]})
             nodes.append({**new(), "g": split["g"] - split["gl"], "h": split["h"] - split["hl"]})
-            open_nodes |= {left, right}
-        depth += 1 if open_nodes else 0
+        grown = range(level.stop, len(nodes))
+        if len(grown):
+            levels.append(level)
+        level = grown
     for node in nodes:
         node["leaf"] = _leaf_value(node, params) if node["feature"] < 0 and "g" in node else 0.0
-    return nodes, depth
+    return nodes, levels
 
 
 def _first_margin(table: BinnedTable, params: BoostParams) -> float:
@@ -277,7 +275,7 @@ def fit_boosted(
     state = table.rows.withColumn("margin", F.lit(base))
     all_nodes: list[dict] = []
     history: list[dict] = []
-    best_round, best_value = None, None
+    best_round, best_value, written = None, None, None
     for tree in range(params.n_estimators):
         rng = random.Random(f"{params.seed}/{tree}")
         train = state.where(F.col("split") == "train")
@@ -285,11 +283,11 @@ def fit_boosted(
             drawn = F.pmod(F.xxhash64(table.key, F.lit(tree), F.lit(params.seed)), F.lit(1_000_000))
             train = train.where(drawn < int(params.subsample * 1_000_000))
         g, h = objective_columns(params, F.col("y"), F.col("margin"))
-        nodes, depth = grow_tree(
+        nodes, levels = grow_tree(
             train.select("bins", g.alias("g"), h.alias("h")), params, len(table.features), rng
         )
-        leaf = F.expr(_lookup([n["leaf"] for n in nodes], "double"))
-        state = _route(state, nodes, depth).withColumn("margin", F.col("margin") + leaf).drop("node")
+        leaf = F.expr(_lookup([n["leaf"] for n in nodes], "double", "node"))
+        state = _route(state, nodes, levels).withColumn("margin", F.col("margin") + leaf).drop("node")
         for number, n in enumerate(nodes):
             edges = table.edges[n["feature"]] if n["feature"] >= 0 else ()
             all_nodes.append(
@@ -306,6 +304,9 @@ def fit_boosted(
             state.observe(seen, *metrics).write.parquet(path)
             state = state.sparkSession.read.schema(state.schema).parquet(path)
             values = seen.get
+            if written:
+                discard(state.sparkSession, written)
+            written = path
         else:
             values = state.agg(*metrics).first().asDict()
         for s in eval_splits:
@@ -316,6 +317,8 @@ def fit_boosted(
                 best_round, best_value = tree, values[valid]
             elif tree - best_round >= params.patience:
                 break
+    if written:
+        discard(table.rows.sparkSession, written)
     return TreeModel(table.features, base, tree_frame(all_nodes), history, best_round)
 
 

@@ -16,6 +16,8 @@ NODE_SCHEMA = (
 )
 # Nodes shipped to the executors with one scoring function (40 bytes each).
 NODES_PER_UDF = 1_000_000
+# Leaves explained in one pass over the rows; larger models take several passes.
+LEAVES_PER_PASS = 50_000
 
 
 @dataclass
@@ -132,22 +134,20 @@ def _paths(nodes: pd.DataFrame) -> list[tuple[float, list[tuple[int, float, list
     same way and the tests (threshold, go left, missing goes left) passed."""
     leaves = []
     for _, tree in nodes.groupby("tree"):
-        table = tree.set_index("node")
-        stack = [(0, [])]
+        table = {row["node"]: row for row in tree.to_dict("records")}
+        stack = [(table[0], {})]
         while stack:
-            node, steps = stack.pop()
-            row = table.loc[node]
-            if row["feature"] < 0:
-                merged: dict[int, tuple[float, list]] = {}
-                for feature, share, test in steps:
-                    old_share, tests = merged.get(feature, (1.0, []))
-                    merged[feature] = (old_share * share, tests + [test])
-                leaves.append((float(row["leaf"]), [(f, s, t) for f, (s, t) in merged.items()]))
+            row, steps = stack.pop()
+            feature = row["feature"]
+            if feature < 0:
+                leaves.append((row["leaf"], [(f, share, tests) for f, (share, tests) in steps.items()]))
                 continue
-            for child, goes_left in ((int(row["left"]), True), (int(row["right"]), False)):
-                share = float(table.loc[child, "cover"]) / max(float(row["cover"]), 1e-300)
-                test = (float(row["threshold"]), goes_left, bool(row["default_left"]))
-                stack.append((child, steps + [(int(row["feature"]), share, test)]))
+            share, tests = steps.get(feature, (1.0, []))
+            for side, goes_left in (("left", True), ("right", False)):
+                child = table[row[side]]
+                part = share * child["cover"] / max(row["cover"], 1e-300)
+                test = (row["threshold"], goes_left, row["default_left"])
+                stack.append((child, {**steps, feature: (part, [*tests, test])}))
     return leaves
 
 
@@ -161,16 +161,33 @@ def contributions(model: TreeModel, df: DataFrame, key: str = "listing_id") -> D
     """Additive per-row contributions of each feature (Shapley values under the path-dependent
     expectation, Lundberg et al. 2018), with `expected_value`; they sum to the prediction."""
     leaves = _paths(model.nodes[model.nodes["tree"] < model.rounds])
-    features, base = list(model.features), expected_value(model)
+    features = list(model.features)
+    inputs, sums = [f"_x{i}" for i in range(len(features))], [f"_s{i}" for i in range(len(features))]
     kind = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, " + ", ".join(f"`{c}` double" for c in features) + ", expected_value double"
+    schema = f"`{key}` {kind}, " + ", ".join(f"`{c}` double" for c in inputs + sums)
+    rows = df.select(
+        key,
+        *[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(features, inputs)],
+        *[F.lit(0.0).alias(s) for s in sums],
+    )
+    for start in range(0, len(leaves), LEAVES_PER_PASS):
+        rows = rows.mapInPandas(_explainer(leaves[start : start + LEAVES_PER_PASS], inputs, sums), schema)
+    return rows.select(
+        key,
+        *[F.col(s).alias(c) for c, s in zip(features, sums)],
+        F.lit(expected_value(model)).alias("expected_value"),
+    )
+
+
+def _explainer(leaves: list, inputs: list[str], sums: list[str]):
+    """Batch function that adds the contributions of the given leaves to the sums so far."""
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from math import factorial
 
         for batch in batches:
-            values = batch[features].to_numpy(dtype=float, na_value=np.nan)
-            phi = np.zeros((len(batch), len(features)))
+            values = batch[inputs].to_numpy(dtype=float, na_value=np.nan)
+            phi = batch[sums].to_numpy(dtype=float).copy()
             for leaf, path in leaves:
                 size = len(path)
                 passed = []
@@ -194,13 +211,10 @@ def contributions(model: TreeModel, df: DataFrame, key: str = "listing_id") -> D
                         poly[k] * (factorial(k) * factorial(size - k - 1) / factorial(size)) for k in range(size)
                     )
                     phi[:, feature] += leaf * weight * (passed[j] - share)
-            out = pd.DataFrame(phi, columns=features)
-            out.insert(0, key, batch[key].to_numpy())
-            out["expected_value"] = base
-            yield out
+            batch[sums] = phi
+            yield batch
 
-    inputs = df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-    return inputs.mapInPandas(explain, schema)
+    return explain
 
 
 def global_contributions(model: TreeModel, df: DataFrame, key: str = "listing_id", top: int = 25) -> DataFrame:

@@ -60,3 +60,10 @@ def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of ours that a newer one replaces."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
