@@ -14,13 +14,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspan.functions.columns import logcosh_quantile
 from dwellspan.learning.trees import TreeModel, tree_frame
 from dwellspan.operators.ordered import quantiles
-from dwellspan.session import discard, materialise, new_path
+from dwellspan.session import discard, materialise, materialise_observed, new_path
 
 MISSING = -1
 
@@ -130,6 +130,8 @@ def bin_table(
         F.when(F.isnan(n), F.lit(MISSING)).otherwise(F.col(f"b{i}").cast("int")) for i, n in enumerate(names)
     ]
     rows = bucketizer.transform(named).select(key, "split", "y", F.array(*bins).alias("bins"))
+    # Every level of every tree reads this table again, so it is worth one shuffle into even parts.
+    rows = rows.repartition(key)
     return BinnedTable(materialise(rows, "binned"), features, edges, key)
 
 
@@ -298,17 +300,15 @@ def fit_boosted(
                     "cover": n.get("h", 0.0),
                 }
             )
-        metrics = [_metric_of(params.metric, s).alias(s) for s in eval_splits]
+        metrics = {s: _metric_of(params.metric, s) for s in eval_splits}
         if (tree + 1) % params.checkpoint_every == 0:
-            seen, path = Observation(), new_path(state.sparkSession, "margins")
-            state.observe(seen, *metrics).write.parquet(path)
-            state = state.sparkSession.read.schema(state.schema).parquet(path)
-            values = seen.get
+            path = new_path(state.sparkSession, "margins")
+            state, values = materialise_observed(state, "margins", path, **metrics)
             if written:
                 discard(state.sparkSession, written)
             written = path
         else:
-            values = state.agg(*metrics).first().asDict()
+            values = state.agg(*[m.alias(s) for s, m in metrics.items()]).first().asDict()
         for s in eval_splits:
             if values[s] is not None:
                 history.append({"round": tree, "split": s, "metric": params.metric, "value": values[s]})

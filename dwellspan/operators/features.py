@@ -16,6 +16,7 @@ from dwellspan.operators.sampling import sample_n
 from dwellspan.operators.stats import zscore_by
 from dwellspan.operators.trim import STEPS, apply_trim, fit_trim
 from dwellspan.schema import COUNTRIES, KEY, MONTHS, RFM_COLUMNS, TARGET, feature_set
+from dwellspan.session import materialise
 
 
 def fit_categories(df: DataFrame, column: str) -> DataFrame:
@@ -89,7 +90,7 @@ def fit_features(
     model.thresholds = fit_trim(typed, STEPS if trim else ())
     if name.startswith("V1"):
         kept = apply_trim(typed, model.thresholds)
-        model.cities = rfm(kept, "city_name", monetary_from=monetary_from)
+        model.cities = materialise(rfm(kept, "city_name", monetary_from=monetary_from), "cities")
     return model
 
 

@@ -9,41 +9,41 @@ in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellspan.session import materialise, materialise_counted
+from dwellspan.session import materialise, materialise_observed, small_table
 
 # Histograms up to this many rows are aggregated with one task per group.
 WINDOW_ROWS = 1_000_000
 # Above this many rows quantiles first bracket each order statistic with a bounded sketch.
 BRACKET_ROWS = 5_000_000
 SKETCH_ACCURACY = 10_000
+BRACKET_GROUPS = 1_000
 SLICES = 256
 
 
 @dataclass(frozen=True)
 class Histogram:
-    """(by..., value, n) in the work folder, and how many rows it has at most."""
+    """(by..., value, n) in the work folder, how many rows that are, and the rows they count."""
 
     rows: DataFrame
     value: str
     by: tuple[str, ...]
     size: int
-
-    def where(self, condition: Column) -> Histogram:
-        return replace(self, rows=self.rows.where(condition))
+    total: int
 
 
 def value_histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> Histogram:
     """Row count per group and distinct value; rows with a null value or key are left out."""
     keys = [*by, value]
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    rows, size = materialise_counted(counts, "histogram")
-    return Histogram(rows, value, tuple(by), size)
+    rows, seen = materialise_observed(counts, "histogram", size=F.count(F.lit(1)), total=F.sum("n"))
+    return Histogram(rows, value, tuple(by), seen["size"], seen["total"] or 0)
 
 
 def cumulate(hist: Histogram, window_rows: int = WINDOW_ROWS) -> DataFrame:
@@ -83,6 +83,43 @@ def cumulate(hist: Histogram, window_rows: int = WINDOW_ROWS) -> DataFrame:
     )
 
 
+@dataclass
+class RankedValues:
+    """A cumulated histogram in the work folder and the range of ranks that filters have left of it."""
+
+    rows: DataFrame
+    value: str
+    first: int
+    stop: int
+
+    def quantile_filter(self, q: float, op: str) -> float | None:
+        """The interpolated q-quantile of what is left; then keep the rows `op` ("<" or ">") it. Each
+        step reads at most two rows of the table: those that hold the neighbouring ranks."""
+        if self.stop <= self.first:
+            return None
+        position = q * (self.stop - self.first - 1)
+        low, high = self.first + int(position), self.first + math.ceil(position)
+        holds = lambda rank: (F.col("before") <= rank) & (F.lit(rank) < F.col("before") + F.col("n"))
+        near = sorted(self.rows.where(holds(low) | holds(high)).collect(), key=lambda r: r["before"])
+        a, b = near[0], near[-1]
+        share = position - int(position)
+        found = float(a[self.value]) * (1 - share) + float(b[self.value]) * share
+        below = a["before"] if found <= a[self.value] else b["before"]
+        if op == "<":
+            self.stop = min(self.stop, below)
+        elif found == a[self.value] or found >= b[self.value]:
+            at = a if found == a[self.value] else b
+            self.first = max(self.first, at["before"] + at["n"])
+        else:
+            self.first = max(self.first, below)
+        return found
+
+
+def ranked_values(df: DataFrame, value: str, window_rows: int = WINDOW_ROWS) -> RankedValues:
+    hist = value_histogram(df, value)
+    return RankedValues(materialise(cumulate(hist, window_rows), "ranked"), value, 0, hist.total)
+
+
 def histogram_quantiles(hist: Histogram, qs: Sequence[float], window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Linear-interpolated quantiles of a histogram: (by..., q, value)."""
     by, value = hist.by, hist.value
@@ -105,34 +142,39 @@ def histogram_quantiles(hist: Histogram, qs: Sequence[float], window_rows: int =
     return wide.where(F.col("total") > 0).select(*by, F.inline(F.array(*pairs)))
 
 
-def _bracketed(df: DataFrame, value: str, qs: Sequence[float], bracket_rows: int) -> DataFrame:
+def _bracketed(
+    df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str], bracket_rows: int
+) -> DataFrame:
     """Move values far from the wanted order statistics onto the edge of the nearest bracket above.
 
     The map never reverses an order and leaves the brackets themselves alone, so the order statistics
     inside them are unchanged, while the histogram shrinks to the brackets. The sketch bounds the rank
-    error by n / accuracy; the brackets are twice as wide on each side."""
+    error by n / accuracy; the brackets are twice as wide on each side. With more than BRACKET_GROUPS
+    groups the rows stay as they are, and the histogram alone reduces them."""
     margin = 2.0 / SKETCH_ACCURACY
-    probes = [p for q in qs for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    seen = df.agg(
+    low, high = ([min(1.0, max(0.0, q + side)) for q in sorted(qs)] for side in (-margin, margin))
+    marks = F.array(*map(F.lit, low + high))
+    sketch = df.dropna().groupBy(*by).agg(
         F.count(value).alias("n"),
-        F.percentile_approx(value, F.array(*map(F.lit, probes)), SKETCH_ACCURACY).alias("edges"),
+        F.percentile_approx(value, marks, SKETCH_ACCURACY).alias("edges"),
         F.max(value).alias("top"),
-    ).first()
-    if seen["n"] <= bracket_rows or seen["n"] < 10 * SKETCH_ACCURACY:
+    )
+    seen = sketch.limit(BRACKET_GROUPS + 1).collect()
+    if len(seen) > BRACKET_GROUPS or sum(r["n"] for r in seen) <= max(bracket_rows, 10 * SKETCH_ACCURACY):
         return df
-    bands: list[list[float]] = []
-    for low, high in sorted(zip(seen["edges"][::2], seen["edges"][1::2])):
-        if bands and low <= bands[-1][1]:
-            bands[-1][1] = max(high, bands[-1][1])
-        else:
-            bands.append([low, high])
-    snapped = F.lit(seen["top"])
-    for low, high in reversed(bands):
-        snapped = (
-            F.when(F.col(value) < low, F.lit(low)).when(F.col(value) <= high, F.col(value)).otherwise(snapped)
-        )
-    kind = df.schema[value].dataType
-    return df.withColumn(value, snapped.cast(kind))
+    kind, half = df.schema[value].dataType.simpleString(), len(qs)
+    names = [f"_lo{i}" for i in range(half)] + [f"_hi{i}" for i in range(half)] + ["_top"]
+    types = [f"{k} {df.schema[k].dataType.simpleString()}" for k in by] + [f"{n} {kind}" for n in names]
+    rows = [(*(r[k] for k in by), *r["edges"], r["top"]) for r in seen if r["edges"]]
+    if by:
+        placed = df.join(F.broadcast(small_table(df.sparkSession, rows, ", ".join(types))), list(by))
+    else:
+        placed = df.withColumns({n: F.lit(v).cast(kind) for n, v in zip(names, rows[0])})
+    snapped = F.col("_top")
+    for i in reversed(range(half)):
+        inside = F.greatest(F.col(value), F.col(f"_lo{i}"))
+        snapped = F.when(F.col(value) <= F.col(f"_hi{i}"), inside).otherwise(snapped)
+    return placed.withColumn(value, snapped).drop(*names)
 
 
 def quantiles(
@@ -143,10 +185,14 @@ def quantiles(
     window_rows: int = WINDOW_ROWS,
     bracket_rows: int = BRACKET_ROWS,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles per group as (by..., q, value); nulls are left out."""
-    if not by:
-        df = _bracketed(df.select(value), value, qs, bracket_rows)
-    return histogram_quantiles(value_histogram(df, value, by), qs, window_rows)
+    """Exact linear-interpolated quantiles per group as (by..., q, value); nulls are left out.
+
+    Whole-number values are pre-aggregated well by their histogram; others are bracketed first, which
+    costs a second pass over the rows but leaves next to nothing to shuffle."""
+    narrow = df.select(*by, value)
+    if df.schema[value].dataType.typeName() in ("float", "double"):
+        narrow = _bracketed(narrow, value, qs, by, bracket_rows)
+    return histogram_quantiles(value_histogram(narrow, value, by), qs, window_rows)
 
 
 def quantile(df: DataFrame, value: str, q: float) -> float | None:

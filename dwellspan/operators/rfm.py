@@ -71,6 +71,6 @@ def rfm(
 
 
 def add_rfm(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join of the scores. The table is written first, so that Catalyst broadcasts it only if its
-    size on disk is under the threshold; otherwise AQE splits a hot key of the sort-merge join."""
+    """Left join of the scores. Nothing is hinted: Catalyst broadcasts the scores only if their size is
+    under its threshold, and otherwise AQE splits a hot key of the sort-merge join."""
     return df.join(table, key, "left")

@@ -8,7 +8,8 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellspan.operators.ordered import histogram_quantiles, value_histogram
+from dwellspan.operators.ordered import WINDOW_ROWS, ranked_values
+from dwellspan.session import small_table
 
 # The trimming steps, each over the rows that the steps before it left.
 STEPS = (("area", 0.95, "<"), ("area", 0.05, ">"), ("price", 0.95, "<"), ("price", 0.05, ">"))
@@ -19,27 +20,25 @@ def _keep(column: str, op: str, threshold: float | None) -> Column:
     return F.col(column) < limit if op == "<" else F.col(column) > limit
 
 
-def fit_trim(df: DataFrame, steps: Sequence[tuple[str, float, str]] = STEPS) -> DataFrame:
+def fit_trim(
+    df: DataFrame, steps: Sequence[tuple[str, float, str]] = STEPS, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
     """Thresholds as a table (step, column, q, op, threshold). Steps on the same column share one
-    histogram, so the table is scanned once per column rather than once per step."""
+    ranked histogram, so the table is scanned once per column rather than once per step."""
     rows, number = [], 0
     for column, chain in groupby(steps, key=lambda s: s[0]):
-        hist = value_histogram(df, column)
+        ranked = ranked_values(df, column, window_rows)
         for _, q, op in chain:
-            found = histogram_quantiles(hist, [q]).first()
-            threshold = found["value"] if found else None
+            threshold = ranked.quantile_filter(q, op)
             rows.append((number, column, float(q), op, threshold))
-            hist = hist.where(_keep(column, op, threshold))
             df = df.where(_keep(column, op, threshold))
             number += 1
-    return df.sparkSession.createDataFrame(
-        rows, "step int, column string, q double, op string, threshold double"
-    )
+    return small_table(df.sparkSession, rows, "step int, column string, q double, op string, threshold double")
 
 
 def apply_trim(df: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Filter by saved thresholds (one row per step); they become literals and reach the scan."""
-    for row in thresholds.orderBy("step").collect():
+    for row in sorted(thresholds.collect(), key=lambda r: r["step"]):
         df = df.where(_keep(row["column"], row["op"], row["threshold"]))
     return df
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -47,19 +47,33 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write `df` to the work folder and read it back: no lineage left, survives lost executors,
     and Catalyst knows the size on disk when it chooses a join strategy."""
-    return materialise_counted(df, label)[0]
+    spark = df.sparkSession
+    path = path or new_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """`materialise`, and the number of rows, observed while they are written."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
+def materialise_observed(
+    df: DataFrame, label: str, path: str | None = None, **metrics: Column
+) -> tuple[DataFrame, dict]:
+    """`materialise`, and aggregates of `df` that are observed while it is written."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+    written = materialise(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), label, path)
+    return written, seen.get
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as literals of the plan."""
+    kinds = [c.split() for c in schema.split(", ")]
+    structs = [
+        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, kinds)]) for row in rows
+    ]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def discard(spark: SparkSession, path: str) -> None:

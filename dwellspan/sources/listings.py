@@ -9,6 +9,18 @@ from dwellspan.schema import LISTING, SCORE_COLUMNS, TRAIN_COLUMNS
 from dwellspan.session import materialise
 
 
+# Declared schemas of the order tables (the columns used), so that no job is spent on reading footers.
+ORDER_TABLES = {
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def read_listings(spark: SparkSession, source: str, with_target: bool = True) -> DataFrame:
     """Listing columns of a table name or parquet path; scoring reads all but the target."""
     df = spark.read.parquet(source) if "/" in source else spark.read.table(source)
@@ -23,7 +35,7 @@ def read_listings_csv(spark: SparkSession, path: str, schema=LISTING) -> DataFra
 def listings_view(spark: SparkSession, sf_dir: str, with_target: bool = True) -> DataFrame:
     """One listing per order with line items. The line items are pre-aggregated before the join, and
     no join is hinted: Catalyst broadcasts a side only if its measured size is under the threshold."""
-    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    table = lambda name: spark.read.schema(ORDER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     items = table("lineitem").groupBy("l_orderkey").agg(
         F.sum("l_quantity").cast("int").alias("area"),
         F.bool_or(F.col("l_returnflag") == "R").alias("has_lift"),
@@ -34,7 +46,7 @@ def listings_view(spark: SparkSession, sf_dir: str, with_target: bool = True) ->
         F.max("l_shipdate").alias("last_ship"),
     )
     places = (
-        table("customer").select("c_custkey", "c_nationkey")
+        table("customer")
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
