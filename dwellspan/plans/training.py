@@ -51,6 +51,7 @@ SMALL_SPACE = {
 }
 TRIALS, TRIAL_SEED = 2, 7
 TRIAL_BASE = BoostParams(patience=10)
+CURVE, CURVE_FOLDS = (0.25, 1.0), 3
 V1 = feature_set("V1", DATA_MONTHS)
 V1_PARAMS = replace(SQUARED, n_estimators=1)
 V1_BINS = 4
@@ -144,6 +145,14 @@ def _(spark, d):
     return scored.groupBy("split").agg(F.round(F.avg("prediction"), 3).alias("mean_prediction"))
 
 
+@query("j6_train_linear_two_variables")
+def _(spark, d):
+    names = ["area", "type_group_id"]
+    rows = materialise(assemble(staged_splits(spark, d), names).select("listing_id", "split", "dom", "features"), "vectors")
+    model = linear().fit(rows.where(F.col("split") == "train"))
+    return rounded(model.transform(rows).select("listing_id", "prediction"), 4)
+
+
 @query("j7_train_forest")
 def _(spark, d):
     rows = materialise(assemble(staged_splits(spark, d), TR_V2).select("listing_id", "split", "dom", "features"), "vectors")
@@ -163,6 +172,14 @@ def _(spark, d):
     return evaluate.regression_report(model.transform(rows), features=len(TR_V2))
 
 
+@query("j8_train_stacking_linear")
+def _(spark, d):
+    rows = staged_splits(spark, d)
+    stack = Stacking(["area"], {"lr": linear("price")}, folds=3, passthrough=False, label="price")
+    model = stack.fit(rows.where(F.col("split") == "train"))
+    return rounded(model.transform(rows).select("listing_id", "prediction"), 3)
+
+
 @query("j9_hyperparameter_search")
 def _(spark, d):
     rows = staged_splits(spark, d)
@@ -212,8 +229,8 @@ def _(spark, d):
 
 @query("h12_learning_curve")
 def _(spark, d):
-    rows = assemble(staged_splits(spark, d), TR_V2).select("listing_id", "dom", "features")
-    return learning_curve(rows, linear().fit, [0.25, 0.5, 1.0], k=3)
+    rows = assemble(staged_splits(spark, d), ["area"]).select("listing_id", "price", "features")
+    return rounded(learning_curve(rows, linear("price").fit, CURVE, k=CURVE_FOLDS, label="price"), 3)
 
 
 @query("a7_model_save_load")

@@ -7,10 +7,10 @@ from dataclasses import fields, replace
 
 from dwellspan.learning.boosting import BoostParams
 from dwellspan.plans.boosted_sql import all_splits, best_cte, binned_cte, boosted, edges_cte
-from dwellspan.plans.data import DATA_MONTHS
-from dwellspan.plans.oracle import MONTH, ORACLES, SPLITS, onehot, rfm, rounds, sql, trimmed
+from dwellspan.plans.data import DATA_MONTHS, SPLIT_SEED
+from dwellspan.plans.oracle import MONTH, ORACLES, SPLITS, bucket, onehot, rfm, sql, trimmed
 from dwellspan.plans.training import (
-    BINS, LOWER, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
+    BINS, CURVE, CURVE_FOLDS, LOWER, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
     V1, V1_BINS, V1_PARAMS,
 )
 from dwellspan.schema import BOOL_COLUMNS, COUNTRIES, EUR_V2, RFM_COLUMNS, TR_V2
@@ -91,6 +91,39 @@ FROM splits CROSS JOIN (SELECT regr_slope(price, area) AS slope, regr_intercept(
 )
 
 
+O["j6_train_linear_two_variables"] = sql(
+    """SELECT listing_id, round(my + b1 * (area - m1) + b2 * (type_group_id - m2), 4) AS prediction
+FROM splits CROSS JOIN (
+  SELECT m1, m2, my, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2
+  FROM (SELECT avg(area) AS m1, avg(type_group_id) AS m2, avg(dom) AS my, var_pop(area) AS v1,
+               var_pop(type_group_id) AS v2, covar_pop(area, type_group_id) AS c12, covar_pop(area, dom) AS c1,
+               covar_pop(type_group_id, dom) AS c2 FROM splits WHERE split = 'train'))""",
+    SPLITS,
+)
+FOLD = f"CAST({bucket('listing_id', SPLIT_SEED)} % 3 AS INTEGER)"
+O["j8_train_stacking_linear"] = sql(
+    """SELECT listing_id, round(c + d * (a + b * area), 3) AS prediction
+FROM splits
+CROSS JOIN (SELECT regr_intercept(price, area) AS a, regr_slope(price, area) AS b FROM folds)
+CROSS JOIN (SELECT regr_intercept(price, p) AS c, regr_slope(price, p) AS d FROM held)""",
+    SPLITS,
+    f"folds AS (SELECT *, {FOLD} AS fold FROM splits WHERE split = 'train')",
+    """lines AS (
+  SELECT k AS fold, regr_intercept(price, area) AS a, regr_slope(price, area) AS b
+  FROM range(3) t(k) JOIN folds ON fold <> k GROUP BY k)""",
+    "held AS (SELECT price, a + b * area AS p FROM folds JOIN lines USING (fold))",
+)
+_fractions = ", ".join(f"(CAST({f} AS DOUBLE))" for f in CURVE)
+O["h12_learning_curve"] = sql(
+    """SELECT fraction, fold, round(-median(abs(a + b * area - price)), 3) AS score
+FROM rows JOIN lines USING (fold) GROUP BY fraction, fold""",
+    f"rows AS (SELECT *, {FOLD} AS fold, {bucket('listing_id', f'{SPLIT_SEED}/curve')} / CAST(4294967296 AS DOUBLE) AS u FROM listings)",
+    f"""lines AS (
+  SELECT fraction, CAST(k AS INTEGER) AS fold, regr_intercept(price, area) AS a, regr_slope(price, area) AS b
+  FROM (VALUES {_fractions}) f(fraction) CROSS JOIN range({CURVE_FOLDS}) t(k) JOIN rows ON fold <> k AND u < fraction GROUP BY ALL)""",
+)
+
+
 def drawn(trial: int, name: str) -> float | int:
     kind, low, high = SMALL_SPACE[name]
     digest = hashlib.md5(f"{trial}|{name}|{TRIAL_SEED}".encode()).hexdigest()
