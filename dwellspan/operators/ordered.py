@@ -24,7 +24,8 @@ WINDOW_ROWS = 1_000_000
 BRACKET_ROWS = 5_000_000
 SKETCH_ACCURACY = 10_000
 BRACKET_GROUPS = 1_000
-SLICES = 256
+# Larger histograms are cut into slices of about a quarter of that.
+MAX_SLICES = 2_000
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,8 @@ def cumulate(hist: Histogram, window_rows: int = WINDOW_ROWS) -> DataFrame:
             }
         )
     # The cuts are written once: a sketch may differ when a lost task is run again.
-    marks = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
+    slices = min(MAX_SLICES, max(8, 4 * hist.size // max(window_rows, 1)))
+    marks = F.lit([i / slices for i in range(1, slices)])
     cuts = materialise(
         rows.groupBy(*by).agg(F.percentile_approx(value, marks, SKETCH_ACCURACY).alias("cuts")), "cuts"
     )

@@ -6,19 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellspan.operators.ordered import WINDOW_ROWS, average_ranks
-from dwellspan.session import materialise
+from dwellspan.session import materialise, materialise_observed
 
 
-def rfm_parts(df: DataFrame, key: str) -> DataFrame:
+def rfm_parts(df: DataFrame, key: str, row_id: str = "listing_id") -> DataFrame:
     """(key, frequency, monetary, last_seen). Frequency counts distinct rows with a publication time,
-    monetary sums all rows. Equal rows are first counted together, which serves both with one shuffle
-    of the table and leaves no join; the second grouping is combined before its shuffle."""
-    copies = df.where(F.col(key).isNotNull()).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    return copies.groupBy(key).agg(
+    monetary sums all rows.
+
+    Copies of a row share its id, so only ids that occur twice are looked at for copies: the table itself
+    is combined before its shuffle, and the check moves nothing but ids. What is left of the
+    deduplication is a correction by the copies found, usually none."""
+    kept = df.where(F.col(key).isNotNull())
+    totals = kept.groupBy(key).agg(
         F.count("published_at").alias("frequency"),
-        F.sum(F.col("price") * F.col("copies")).alias("monetary"),
+        F.sum("price").alias("monetary"),
         F.max("published_at").alias("last_seen"),
     )
+    suspects = kept
+    if row_id in df.columns:
+        ids = kept.groupBy(row_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(row_id)
+        repeated, seen = materialise_observed(ids, "repeated", n=F.count(F.lit(1)))
+        if not seen["n"]:
+            return totals
+        repeated = repeated.withColumnRenamed(row_id, "_id")
+        suspects = kept.join(repeated, F.col(row_id).eqNullSafe(F.col("_id")), "left_semi")
+    copies = suspects.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("extra")).where("extra > 0")
+    extra = copies.groupBy(key).agg(F.sum(F.when(F.col("published_at").isNotNull(), F.col("extra"))).alias("extra"))
+    return totals.join(extra, key, "left").select(
+        key, (F.col("frequency") - F.coalesce("extra", F.lit(0))).alias("frequency"), "monetary", "last_seen"
+    )
 
 
 def with_recency(parts: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def test_single_split_worked_by_hand(spark):
         [(0, None, 1), (1, 1.0, 1), (2, 2.0, 1), (3, 3.0, 9), (4, 4.0, 9)], "listing_id int, x double, dom int"
     )
     t = bin_table(df, ["x"], split=None, edges=[[2.0, 3.0, 4.0]])
-    rows = t.rows.select(F.lit(0).alias("node"), "bins", (-F.col("y")).alias("g"), F.lit(1.0).alias("h"))
+    rows = t.rows.select(F.lit(0).alias("node"), "b0", (-F.col("y")).alias("g"), F.lit(1.0).alias("h"))
     best = best_splits(level_histogram(rows, [0]), BoostParams(reg_lambda=1.0)).first()
     assert (best["bin"], best["default_left"]) == (1, True)
     assert best["gain"] == pytest.approx(18.375)
