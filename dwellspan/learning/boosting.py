@@ -23,6 +23,8 @@ from dwellspan.operators.ordered import quantiles
 from dwellspan.session import discard, materialise, materialise_observed, new_path
 
 MISSING = -1
+# Levels that rows walk down within one job before their place is written.
+WALK_LEVELS = 5
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,7 @@ class BoostParams:
     metric: str = "mae"
     patience: int | None = None
     seed: int = 0
-    checkpoint_every: int = 4
+    checkpoint_every: int = 1
 
 
 @dataclass(frozen=True)
@@ -186,29 +188,42 @@ def best_splits(hist: DataFrame, params: BoostParams) -> DataFrame:
     )
 
 
-def _lookup(values: Sequence, kind: str, index: str) -> str:
-    """SQL for one entry of a literal array; the array is folded once, at planning."""
-    return f"get(from_json('{json.dumps(list(values))}', 'array<{kind}>'), {index})"
+LEVEL = "s int, f array<int>, b array<int>, l array<int>, r array<int>, d array<boolean>"
 
 
-def _route(rows: DataFrame, nodes: list[dict], levels: Sequence[range]) -> DataFrame:
-    """Add `node`: where each row stands after the given levels of a tree. The nodes of a level are
-    numbered in a row, so a step only looks at that level; a row that stopped higher up stays."""
-    rows = rows.withColumn("node", F.lit(0))
+def _route(nodes: list[dict], levels: Sequence[range], features: Sequence[int]) -> str:
+    """SQL for the node a row stands at after the given levels of a tree.
+
+    The levels are one literal, folded at planning, and the way down is a fold over it, so the plan does
+    not grow with the depth. The nodes of a level are numbered in a row; a row that stopped higher up
+    stays where it is."""
+    names = {"f": "feature", "b": "bin", "l": "left", "r": "right", "d": "default_left"}
+    steps = [{"s": v.start, **{k: [nodes[i][n] for i in v] for k, n in names.items()}} for v in levels]
+    at = {k: f"get(v.{k}, n - v.s)" for k in names}
+    bins = f"get(array({', '.join(f'b{f}' for f in features)}), {at['f']})"
+    left = f"if({bins} = {MISSING}, {at['d']}, {bins} <= {at['b']})"
+    step = f"if(coalesce({at['f']}, -1) < 0, n, if({left}, {at['l']}, {at['r']}))"
+    return f"aggregate(from_json('{json.dumps(steps)}', 'array<struct<{LEVEL}>>'), 0, (n, v) -> {step})"
+
+
+def _walk(rows: DataFrame, nodes: list[dict], levels: Sequence[range]) -> DataFrame:
+    """Move the column `node` of rows down the given levels, one generated projection per level. Faster
+    per row than `_route`, but only for a few levels, and with no filter on `node` above it: pushed
+    down, that would repeat the whole way for every use of `node` in it."""
     others = [c for c in rows.columns if c != "node"]
     kinds = {"feature": "int", "bin": "int", "left": "int", "right": "int", "default_left": "boolean"}
     for level in levels:
         at = {
-            n: _lookup([nodes[i][n] for i in level], kind, f"node - {level.start}") for n, kind in kinds.items()
+            n: f"get(from_json('{json.dumps([nodes[i][n] for i in level])}', 'array<{kind}>'), node - {level.start})"
+            for n, kind in kinds.items()
         }
-        split_on = sorted({nodes[i]["feature"] for i in level} - {-1})
-        pick = "CASE _f " + " ".join(f"WHEN {f} THEN b{f}" for f in split_on) + " END"
+        used = sorted({nodes[i]["feature"] for i in level} - {-1})
+        pick = "CASE _f " + " ".join(f"WHEN {f} THEN b{f}" for f in used) + " END"
         rows = rows.selectExpr(*others, "node", f"{at['feature']} AS _f").selectExpr(
             *others, "node", "_f", f"{pick} AS _bin"
         )
         left = f"if(_bin = {MISSING}, {at['default_left']}, _bin <= {at['bin']})"
-        down = f"if({left}, {at['left']}, {at['right']})"
-        rows = rows.selectExpr(*others, f"if(_f >= 0, {down}, node) AS node")
+        rows = rows.selectExpr(*others, f"if(_f >= 0, if({left}, {at['left']}, {at['right']}), node) AS node")
     return rows
 
 
@@ -225,15 +240,24 @@ def _leaf_value(node: dict, params: BoostParams) -> float:
 def grow_tree(
     rows: DataFrame, params: BoostParams, n_features: int, rng: random.Random
 ) -> tuple[list[dict], list[range]]:
-    """One tree over rows (g, h, b0, ...), level by level: its nodes, and which of them each level split."""
+    """One tree over rows (g, h, b0, ...), level by level: its nodes, and which of them each level split.
+
+    Every WALK_LEVELS levels the rows are written with their node, and those that have come to rest are
+    left out from then on."""
     new = lambda: {"feature": -1, "bin": 0, "left": 0, "right": 0, "default_left": False, "gain": 0.0}
     nodes, levels, level = [new()], [], range(1)
     chosen = _sampled(list(range(n_features)), params.colsample_bytree, rng)
+    standing, walked, written = rows.withColumn("node", F.lit(0)), 0, []
     while len(level) and len(levels) < params.max_depth:
+        if len(levels) - walked == WALK_LEVELS:
+            path = new_path(rows.sparkSession, "standing")
+            moved = materialise(_walk(standing, nodes, levels[walked:]), "standing", path)
+            standing, walked = moved.where(F.col("node") >= level.start), len(levels)
+            written.append(path)
         features = _sampled(chosen, params.colsample_bylevel, rng)
-        placed = _route(rows, nodes, levels).where(F.col("node") >= level.start)
+        placed = _walk(standing, nodes, levels[walked:])
         found = best_splits(level_histogram(placed, features), params).collect()
-        for split in sorted(found, key=lambda s: s["node"]):
+        for split in sorted((s for s in found if s["node"] in level), key=lambda s: s["node"]):
             node = nodes[split["node"]]
             node.update(g=split["g"], h=split["h"])
             if split["gain"] is None or split["gain"] <= 0:
@@ -248,6 +272,8 @@ def grow_tree(
         if len(grown):
             levels.append(level)
         level = grown
+    for path in written:
+        discard(rows.sparkSession, path)
     for node in nodes:
         node["leaf"] = _leaf_value(node, params) if node["feature"] < 0 and "g" in node else 0.0
     return nodes, levels
@@ -294,8 +320,9 @@ def fit_boosted(
             train.select(g.alias("g"), h.alias("h"), *[f"b{i}" for i in range(len(table.features))]),
             params, len(table.features), rng,
         )
-        leaf = F.expr(_lookup([n["leaf"] for n in nodes], "double", "node"))
-        state = _route(state, nodes, levels).withColumn("margin", F.col("margin") + leaf).drop("node")
+        node = _route(nodes, levels, range(len(table.features))) if levels else "0"
+        leaf = f"get(from_json('{json.dumps([n['leaf'] for n in nodes])}', 'array<double>'), {node})"
+        state = state.withColumn("margin", F.col("margin") + F.expr(leaf))
         for number, n in enumerate(nodes):
             edges = table.edges[n["feature"]] if n["feature"] >= 0 else ()
             all_nodes.append(

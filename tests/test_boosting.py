@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dwellspan.learning import trees
+from dwellspan.learning import boosting, trees
 from dwellspan.learning.boosting import (
     BoostedTrees, BoostParams, IntervalModel, best_splits, bin_edges, bin_table, fit_boosted,
     fit_interval, level_histogram,
@@ -75,7 +75,7 @@ def test_training_error_falls_and_scoring_repeats_the_margins(table, learnable,
 @pytest.mark.parametrize("partitions", [1, 4, 17])
 def test_result_does_not_depend_on_partitions(table, learnable, model, partitions):
     moved = replace(table, rows=table.rows.repartition(partitions))
-    other = fit_boosted(moved, replace(PARAMS, checkpoint_every=1))
+    other = fit_boosted(moved, replace(PARAMS, checkpoint_every=2))
     pd.testing.assert_frame_equal(other.nodes, model.nodes, rtol=1e-9)
 
 
@@ -192,3 +192,14 @@ def test_batch_scoring_with_and_without_refit(spark, listings):
     new = rows.drop("dom")
     assert score(new, features, m).count() == rows.count()
     assert 0 < score(new, features, m, refit=True).count() < rows.count()
+
+
+def test_deep_trees_do_not_depend_on_where_rows_are_written(monkeypatch, table, learnable):
+    params = BoostParams(n_estimators=1, max_depth=5, eta=1.0)
+    plain = fit_boosted(table, params)
+    assert len(plain.nodes) > 30
+    monkeypatch.setattr(boosting, "WALK_LEVELS", 2)
+    written = fit_boosted(table, params)
+    pd.testing.assert_frame_equal(written.nodes, plain.nodes, rtol=1e-9)
+    mae = written.transform(learnable.where("split = 'train'")).agg(F.avg(F.abs(F.col("prediction") - F.col("label")))).first()[0]
+    assert mae == pytest.approx([h["value"] for h in written.history if h["split"] == "train"][0])
