@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import decontaminate
+from dwellspan.llm import decontaminate, linededup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
+
+
+# ---- line deduplication ------------------------------------------------------------------------
+
+
+@query("op8_line_dedup")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    kept = linededup.drop_shared_lines(docs, n_lines="n_lines", n_dropped="n_dropped")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op8_line_dedup"] = r"""
+WITH l AS (
+  SELECT rid, doc_id, line, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line_text, len(lines) AS n
+  FROM (SELECT row_number() OVER () AS rid, doc_id, NULL AS line, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (
+  SELECT rid, doc_id, pos, line_text, translate(trim(line_text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (
+  SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.*, s.first IS NOT NULL AND k.doc_id > s.first AS dropped FROM k LEFT JOIN s ON k.key = s.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line_text, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY rid
+"""
