@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import decontaminate, linededup
+from dwellspan.llm import decontaminate, linededup, sharding, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,3 +86,44 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
   sha256(coalesce(string_agg(line_text, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM m GROUP BY rid
 """
+
+
+# ---- sharding ----------------------------------------------------------------------------------
+
+
+@query("op5_sharding")
+def _(spark, d):
+    shards = sharding.shuffle_into_shards(table(spark, d, "documents").select("doc_id", "text"))
+    return shards.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# ---- URL filters -------------------------------------------------------------------------------
+
+# The rules of this query.
+URL_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
+
+
+@query("op10_url_filter")
+def _(spark, d):
+    judged = urlfilter.filter_urls(table(spark, d, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op10_url_filter"] = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r(h, p, action) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+f AS (
+  SELECT rid, max_by(h || p, length(h || p)) AS rule, max_by(action, length(h || p)) AS action
+  FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN f USING (rid)
+"""
