@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import decontaminate, linededup, sharding, urlfilter
+from dwellspan.llm import decontaminate, linededup, merkle, sharding, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,3 +127,64 @@ f AS (
   FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY rid)
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN f USING (rid)
 """
+
+
+# ---- document fingerprints ---------------------------------------------------------------------
+
+
+@query("op4_fingerprint")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    rows = merkle.with_next_text(docs)
+    edited = rows.withColumn("edited", merkle.edited_text(F.col("text"), F.col("next_text")))
+    prints = edited.select(
+        "doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"), merkle.fingerprint(F.col("text")).alias("fingerprint"),
+        merkle.fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        merkle.fingerprint(F.col("next_text")).alias("next_fingerprint"),
+    )
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def _fingerprint_sql(text: str) -> str:
+    """The tree of one text column, as a scalar expression over lists."""
+    leaves = (
+        f"list_transform(list_filter(regexp_extract_all({text}, "
+        rf"'[^.!?\n]{{0,160}}(?:[.!?\n]+ ?|\z)|[^.!?\n]{{160}}'), lambda p: p <> ''), lambda p: sha256(p))"
+    )
+    marked = f"list_transform({leaves}, lambda h: h || CASE WHEN h[1] < '4' THEN '|' ELSE ',' END)"
+    sections = f"string_split(regexp_replace(array_to_string({marked}, ''), '[|,]$', ''), '|')"
+    cut = r"regexp_replace(s, '([0-9a-f]{16})[0-9a-f]*', '\1', 'g')"
+    return (
+        f"sha256(array_to_string(list_transform({sections}, lambda s: sha256(s)), ',')) || ':' || "
+        f"array_to_string(list_transform({sections}, lambda s: sha256(s)[1:16] || '=' || {cut}), '|')"
+    )
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    x, y = (
+        rf"list_distinct(list_filter(regexp_split_to_array(regexp_replace(split_part({c}, ':', 2), '(^|\|)[0-9a-f]+=', '\1', 'g'), '[|,]'), lambda v: v <> ''))"
+        for c in (a, b)
+    )
+    share = f"coalesce(2.0::DOUBLE * len(list_intersect({x}, {y})) / nullif(len({x}) + len({y}), 0), 0.0::DOUBLE)"
+    return f"CASE WHEN split_part({a}, ':', 1) = split_part({b}, ':', 1) THEN 1.0::DOUBLE ELSE {share} END"
+
+
+ORACLES["op4_fingerprint"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    coalesce(lead(text) OVER w, first_value(text) OVER (ORDER BY doc_id, text), '') AS next_text
+  FROM documents WINDOW w AS (ORDER BY doc_id, text)),
+e AS (SELECT *, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) AS edited FROM d),
+f AS (
+  SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+    {_fingerprint_sql("text")} AS fingerprint, {_fingerprint_sql("edited")} AS edited_fingerprint,
+    {_fingerprint_sql("next_text")} AS next_fingerprint FROM e)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  {_likeness_sql("fingerprint", "edited_fingerprint")} AS near_edited,
+  {_likeness_sql("fingerprint", "next_fingerprint")} AS near_next FROM f
+"""
