@@ -199,7 +199,7 @@ def _schema(df: DataFrame, extra: str) -> str:
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", tokens: str = "tokens", n_tokens: str = "n_tokens") -> DataFrame:
     """`docs` with the ids of each text, packed as little-endian unsigned 32-bit integers, and their number."""
     rows = docs.drop(tokens, n_tokens)
-    at = rows.columns.index(text)
+    at, names = rows.columns.index(text), [*rows.columns, tokens, n_tokens]
 
     def run(batches):
         machine = transducer(path, pattern)
@@ -207,7 +207,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", tokens:
             packed = [machine.encode(value.as_py() or "") for value in batch.column(at)]
             counts = [len(p) // 4 for p in packed]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(packed, pa.binary()), pa.array(counts, pa.int64())], [*rows.columns, tokens, n_tokens]
+                [*batch.columns, pa.array(packed, pa.binary()), pa.array(counts, pa.int64())], names
             )
 
     return rows.mapInArrow(run, _schema(rows, f"`{tokens}` binary, `{n_tokens}` bigint"))
@@ -216,7 +216,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", tokens:
 def decode(encoded: DataFrame, path: str, pattern: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
     """`encoded` with the bytes of the texts (`stream_decode` gives them as text, piece by piece)."""
     rows = encoded.drop(decoded)
-    at = rows.columns.index(tokens)
+    at, names = rows.columns.index(tokens), [*rows.columns, decoded]
 
     def run(batches):
         token_bytes = transducer(path, pattern).token_bytes
@@ -224,7 +224,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, tokens: str = "tokens",
             joined = [
                 b"".join([token_bytes[i] for i in np.frombuffer(value.as_py() or b"", "<u4").tolist()]) for value in batch.column(at)
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined, pa.binary())], [*rows.columns, decoded])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined, pa.binary())], names)
 
     return rows.mapInArrow(run, _schema(rows, f"`{decoded}` binary"))
 
