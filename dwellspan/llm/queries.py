@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, decontaminate, linededup, merkle, sharding, urlfilter
+from dwellspan.llm import bpe, chat, decontaminate, linededup, merkle, neardup, sharding, urlfilter
 from dwellspan.session import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,3 +240,26 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(ok) AS valid
 FROM v GROUP BY conv_id
 """
+
+
+# ---- n-gram Jaccard join -----------------------------------------------------------------------
+
+
+@query("op3_jaccard_join")
+def _(spark, d):
+    return neardup.near_duplicates(table(spark, d, "documents").select("doc_id", "text"))
+
+
+ORACLES["op3_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE c::DOUBLE / (x.n + y.n - c) >= 0.8::DOUBLE),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, (SELECT min(b) FROM r WHERE a = doc_id) AS class_id, (SELECT count(*) FROM l WHERE a = doc_id) AS n_links
+FROM documents
+"""
