@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, decontaminate, linededup, merkle, neardup, sharding, urlfilter
+from dwellspan.llm import bpe, chat, decontaminate, linededup, merkle, neardup, quality, sharding, urlfilter
 from dwellspan.session import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,3 +263,16 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM
 SELECT doc_id, (SELECT min(b) FROM r WHERE a = doc_id) AS class_id, (SELECT count(*) FROM l WHERE a = doc_id) AS n_links
 FROM documents
 """
+
+
+# ---- quality classifier ------------------------------------------------------------------------
+
+
+@query("op1_quality")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored, _ = quality.train_and_score(docs, table(spark, d, "labels"))
+    return scored.select(
+        "doc_id", (quality.fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
