@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from dwellspan.llm.text import free_name
 from dwellspan.session import materialise, new_path
 
-SHARDS, BUCKET_BYTES = 16, 4 << 20
+SHARDS, BUCKET_BYTES, BUCKETS_PER_TASK = 16, 4 << 20, 8
 
 
 def record_size(text: Column) -> Column:
@@ -55,7 +55,7 @@ def _two_passes(docs, shards, seed, doc_id, text, buckets, seen, out) -> int:
     offsets = counted.withColumn(start, F.coalesce(F.sum(counted_rows).over(before), F.lit(0)))
     gathered = (
         scattered.withColumn("size", record_size(F.col(text)))
-        .repartition(F.col(bucket))
+        .repartition(-(-buckets // BUCKETS_PER_TASK), F.col(bucket))
         .groupBy(bucket)
         .agg(F.collect_list(F.struct(*docs.columns, "size")).alias(rows))
     )
