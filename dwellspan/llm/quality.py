@@ -16,11 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellspan.llm.text import LOWER, Words, free_name, mix, text_chunks, words_of
+from dwellspan.llm.sums import sum_vectors
+from dwellspan.llm.text import free_name, mix, text_chunks, words_of
 from dwellspan.session import materialise
 
 STATISTICS = (
@@ -150,34 +150,6 @@ def with_statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     return rows.mapInArrow(run, f"{fields}, statistics array<double>")
 
 
-def _summed(rows: DataFrame, part_of) -> dict[int, np.ndarray]:
-    """Add up what `part_of` gives of each partition: {block: vector}. Blocks are added in two rounds, so no task gets more than
-    a share of the partitions' parts; the driver gets one vector per block."""
-
-    def run(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, vector in part_of(batch).items():
-                total[block] = total[block] + vector if block in total else vector
-        share = TaskContext.get().partitionId() % 32
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(total), pa.int32()), pa.array([share] * len(total), pa.int32()),
-                pa.array([v.tobytes() for v in total.values()], pa.binary()),
-            ],
-            ["block", "share", "vector"],
-        )
-
-    def add(table):
-        total = np.stack([np.frombuffer(v.as_py()) for v in table.column("vector")]).sum(axis=0)
-        return table.slice(0, 1).set_column(2, "vector", pa.array([total.tobytes()], pa.binary()))
-
-    schema = "block int, share int, vector binary"
-    parts = rows.mapInArrow(run, schema)
-    some = parts.groupBy("block", "share").applyInArrow(add, schema)
-    return {r["block"]: np.frombuffer(r["vector"]) for r in some.groupBy("block").applyInArrow(add, schema).toLocalIterator()}
-
-
 def _rising(counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
     """Pool adjacent violators: the closest rising curve to the means of the cells."""
     pools: list[list[float]] = []
@@ -200,7 +172,7 @@ def fit_quality(
         x, y, c = _vectors(batch.column(0)), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
         return {0: np.concatenate([[len(y), y.sum(), (~c).sum(), y[~c].sum(), c.sum()], x[~c].sum(axis=0), (x[~c] ** 2).sum(axis=0)])}
 
-    n, positive, n_fit, fit_positive, n_calibrate, *sums = _summed(rows, moments).get(0, np.zeros(5 + 2 * d))
+    n, positive, n_fit, fit_positive, n_calibrate, *sums = sum_vectors(rows, moments).get(0, np.zeros(5 + 2 * d))
     sums = np.array(sums)
     base = positive / n if n else 0.5
     none = np.zeros(0)
@@ -217,7 +189,7 @@ def fit_quality(
         whole = z.T @ np.hstack([z, (y - fit_positive / n_fit)[:, None]])
         return dict(enumerate(b.ravel() for b in np.array_split(whole, _PARTS)))
 
-    found = _summed(rows, equations)
+    found = sum_vectors(rows, equations)
     whole = np.concatenate([found[i].reshape(-1, features + 2) for i in range(_PARTS)])
     penalty = ridge * np.eye(features + 1)
     penalty[-1, -1] = 1e-6
@@ -231,7 +203,7 @@ def fit_quality(
         y = batch.column(1).to_numpy()[keep]
         return {0: np.concatenate([np.bincount(at, minlength=BINS), np.bincount(at, y, BINS)])}
 
-    seen = _summed(rows, cells)[0]
+    seen = sum_vectors(rows, cells)[0]
     counts, sums = seen[:BINS], seen[BINS:]
     full = counts > 0
     model.edges = (np.flatnonzero(full) + 0.5) * 3 / BINS - 1

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, decontaminate, linededup, merkle, neardup, quality, sharding, urlfilter
+from dwellspan.llm import bpe, chat, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter
 from dwellspan.session import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,3 +276,13 @@ def _(spark, d):
         "doc_id", (quality.fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+# ---- language identification -------------------------------------------------------------------
+
+
+@query("op7_langid")
+def _(spark, d):
+    model = langid.fit_text_model(table(spark, d, "documents").select("lang", "text"))
+    judged = langid.identify(table(spark, d, "pages").select("page_id", "url", "html"), model)
+    return judged.select("page_id", "host", "declared", "lang", "confidence")
