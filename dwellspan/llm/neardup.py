@@ -11,7 +11,7 @@ returns a row per node (its links, and its root within the blocks), never pairs.
 comparisons, spread over tasks, but only its size times its number of blocks in rows. The text of a candidate moves once to
 be found and once per block of its group.
 
-Nulls and empty texts have no words and are linked to nothing. Rows without id are one document above all others; rows of one
+Null texts, empty ones and all others without words have the same, empty set: they are copies of each other. Rows without id are one document above all others; rows of one
 id are one document, whatever their texts. Sets of fewer than threshold / (1 - threshold) shingles can only equal each other.
 Empty tables give no rows. Other columns are ignored."""
 
@@ -178,9 +178,8 @@ def near_duplicates(
     documents whose Jaccard similarity is at least the threshold; a copy counts like any other)."""
     depth = prefix_depth(trees, threshold, target_recall)
     sets = materialise(_sets(docs, doc_id, text, trees, depth), "sets")
-    full = sets.where("size > 0")
     nodes = materialise(
-        full.groupBy("s1", "s2").agg(
+        sets.groupBy("s1", "s2").agg(
             F.min("doc").alias("node"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("prefixes").alias("prefixes")
         ),
         "nodes",
@@ -208,11 +207,7 @@ def near_duplicates(
         nodes.select("s1", "s2", "node", "copies").join(links, "node", "left").join(classes, "node", "left")
         .select("s1", "s2", F.coalesce("root", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
-    empty = F.col("size") == 0
-    keyed = sets.select(
-        "doc", F.when(~empty, F.col("s1")).alias("s1"), F.when(~empty, F.col("s2")).alias("s2")
-    )
-    out = keyed.join(materialise(known, "classes"), ["s1", "s2"], "left")
+    out = sets.select("doc", "s1", "s2").join(materialise(known, "classes"), ["s1", "s2"], "left")
     return out.select(
         F.nullif(F.col("doc"), F.lit(_LAST)).alias("doc_id"),
         F.nullif(F.coalesce("class", "doc"), F.lit(_LAST)).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
