@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspan.llm.text import LOWER_CASE, UPPER, free_name, text_key
+from dwellspan.session import materialise
 
 MIN_CHARS, MIN_DOCS = 10, 2
 BLANKS = " \t\n\x0b\x0c\r"
@@ -59,7 +60,7 @@ def drop_shared_lines(
     lines = _occurrences(docs, doc_id, text, min_chars)
     doc, th, drops = (free_name(docs, n) for n in ("doc", "th", "drops"))
     dropped = (
-        lines.join(shared_lines(lines, min_docs), ["k1", "k2"]).where(F.col("doc") > F.col("first"))
+        lines.join(materialise(shared_lines(lines, min_docs), "shared-lines"), ["k1", "k2"]).where(F.col("doc") > F.col("first"))
         .groupBy(F.col("doc").alias(doc), F.col("th").alias(th)).agg(F.collect_set("pos").alias(drops))
     )
     rows = docs.withColumns({
