@@ -168,7 +168,7 @@ def find_windows(
         .agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
     )
     return (
-        base.drop("__kept").join(hits, keys, "left").drop(*keys)
+        base.drop("__kept").join(materialise(hits, "hits"), keys, "left").drop(*keys)
         .withColumns({
             "spans": F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,end:int>>)")),
             "items": F.coalesce("items", F.expr("cast(array() as array<string>)")),
