@@ -47,7 +47,7 @@ def shared_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     if min_docs == 2:  # two documents hold it exactly when the smallest is not the largest
         ends = lines.groupBy("k1", "k2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
         return ends.where(F.col("first") < F.col("last")).drop("last")
-    held = lines.groupBy("k1", "k2", "doc").agg()
+    held = lines.select("k1", "k2", "doc").distinct()
     counted = held.groupBy("k1", "k2").agg(F.min("doc").alias("first"), F.count("*").alias("docs"))
     return counted.where(F.col("docs") >= min_docs).drop("docs")
 

@@ -19,11 +19,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspan.llm.graph import components
-from dwellspan.llm.text import Words, free_name, grams, mix, runs_inside, text_chunks, words_of
+from dwellspan.llm.text import Words, free_name, grams, mix, runs_inside, text_chunks, text_key, words_of
 from dwellspan.session import materialise
 
 SHINGLE, THRESHOLD, TARGET_RECALL, TREES, MAX_DEPTH = 5, 0.8, 0.99999, 24, 8
@@ -77,7 +77,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, trees: int, depth: int) -> Da
 
     def run(batches):
         for batch in batches:
-            for first, end, data, offsets in text_chunks(batch.column(1)):
+            for first, end, data, offsets in text_chunks(batch.column(3)):
                 rows = end - first
                 hashes, owner = shingle_sets(words_of(data, offsets))
                 sizes = np.bincount(owner, minlength=rows)
@@ -93,14 +93,21 @@ def _sets(docs: DataFrame, doc_id: str, text: str, trees: int, depth: int) -> Da
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, rows), pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)),
+                        *batch.slice(first, rows).columns[:-1], pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)),
                         pa.array(sizes.astype(np.int64)), listed,
                     ],
-                    ["doc", "s1", "s2", "size", "prefixes"],
+                    ["doc", "t1", "t2", "s1", "s2", "size", "prefixes"],
                 )
 
-    narrow = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc bigint, s1 bigint, s2 bigint, size bigint, prefixes array<bigint>")
+    t1, t2 = text_key(F.col(text))
+    narrow = docs.select(_id(doc_id).alias("doc"), t1.alias("t1"), t2.alias("t2"), F.col(text).cast("string").alias("text"))
+    return narrow.mapInArrow(
+        run, "doc bigint, t1 bigint, t2 bigint, s1 bigint, s2 bigint, size bigint, prefixes array<bigint>"
+    )
+
+
+def _id(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST))
 
 
 def _verify(sets: list[tuple], same_block: bool, threshold: float) -> list[tuple[int, int, int]]:
@@ -176,6 +183,13 @@ def near_duplicates(
 ) -> DataFrame:
     """A row per document: doc_id, class_id (smallest id that it is linked with, directly or not) and n_links (other
     documents whose Jaccard similarity is at least the threshold; a copy counts like any other)."""
+    found = _classes(docs, doc_id, text, threshold, trees, target_recall)
+    missing = F.lit(_LAST)
+    return found.select(F.nullif("doc", missing).alias("doc_id"), F.nullif("class", missing).alias("class_id"), "n_links")
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: int, target_recall: float) -> DataFrame:
+    """(doc, t1, t2, class, n_links) of every document; t1 and t2 stand for its text."""
     depth = prefix_depth(trees, threshold, target_recall)
     sets = materialise(_sets(docs, doc_id, text, trees, depth), "sets")
     nodes = materialise(
@@ -199,7 +213,7 @@ def near_duplicates(
     pairs = pairs.select(
         "grp", "node", "copies", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2")
     )
-    texts = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST)).alias("node"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(_id(doc_id).alias("node"), F.col(text).cast("string").alias("text"))
     found = materialise(_verify_groups(texts.join(pairs, "node"), threshold), "links")
     classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -207,22 +221,20 @@ def near_duplicates(
         nodes.select("s1", "s2", "node", "copies").join(links, "node", "left").join(classes, "node", "left")
         .select("s1", "s2", F.coalesce("root", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
-    out = sets.select("doc", "s1", "s2").join(materialise(known, "classes"), ["s1", "s2"], "left")
-    return out.select(
-        F.nullif(F.col("doc"), F.lit(_LAST)).alias("doc_id"),
-        F.nullif(F.coalesce("class", "doc"), F.lit(_LAST)).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-    )
+    out = sets.select("doc", "t1", "t2", "s1", "s2").join(materialise(known, "classes"), ["s1", "s2"], "left")
+    return out.select("doc", "t1", "t2", "class", F.col("n_links").cast("bigint").alias("n_links"))
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
-    """`docs` with one document of each class, that of the smallest id; of rows that repeat its id, one stays."""
-    classes = near_duplicates(docs, doc_id, text, **parameters)
-    key = free_name(docs, "doc")
-    last = F.lit(_LAST)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.coalesce("doc_id", last).alias(key)).distinct()
-    keyed = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), last))
-    kept = keyed.join(gone, key, "left_anti")
-    ids = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), last).alias(key))
-    if not ids.groupBy(key).count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([key])
-    return kept.drop(key)
+def drop_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, trees: int = TREES,
+    target_recall: float = TARGET_RECALL,
+) -> DataFrame:
+    """`docs` with the document of the smallest id of each class. Exact repeats of a row's id and text go, too."""
+    keys = [free_name(docs, n) for n in ("doc", "t1", "t2")]
+    classes = _classes(docs, doc_id, text, threshold, trees, target_recall).toDF(*keys, "class", "n_links")
+    gone = materialise(classes.where(F.col(keys[0]) != F.col("class")).select(*keys).distinct(), "gone")
+    keyed = docs.withColumns(dict(zip(keys, [_id(doc_id), *text_key(F.col(text))])))
+    kept = keyed.join(gone, keys, "left_anti")
+    if not classes.groupBy(*keys).count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(keys)
+    return kept.drop(*keys)
