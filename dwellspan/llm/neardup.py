@@ -9,7 +9,7 @@ exactly, all with all, on their 64-bit shingle hashes.
 A group of candidates is cut into blocks of bounded rows and shingles; each pair of blocks is one task's work, which
 returns a row per node (its links, and its root within the blocks), never pairs. So a hot group costs its square in
 comparisons, spread over tasks, but only its size times its number of blocks in rows. The text of a candidate moves once to
-be found and once per block of its group.
+be found and once per block of its group. The large joins are sort-merge joins at every size.
 
 Null texts, empty ones and all others without words have the same, empty set: they are copies of each other. Rows without id are one document above all others; rows of one
 id are one document, whatever their texts. Sets of fewer than threshold / (1 - threshold) shingles can only equal each other.
@@ -201,7 +201,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
     linkable = nodes.where(F.col("size") + 1 >= threshold / (1 - threshold))
     leaves = linkable.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
     shared = leaves.groupBy("tree", "prefix").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    meets = leaves.join(shared, ["tree", "prefix"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    meets = leaves.join(shared.hint("merge"), ["tree", "prefix"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     groups = components(meets).select("node", F.col("root").alias("grp"))
     weights = nodes.groupBy("node").agg(F.sum("copies").alias("copies"), F.sum("size").alias("size"))
     placed = materialise(groups.join(weights, "node"), "candidates")
@@ -214,7 +214,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
         "grp", "node", "copies", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2")
     )
     texts = docs.select(_id(doc_id).alias("node"), F.col(text).cast("string").alias("text"))
-    found = materialise(_verify_groups(texts.join(pairs, "node"), threshold), "links")
+    found = materialise(_verify_groups(texts.join(pairs.hint("merge"), "node"), threshold), "links")
     classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
