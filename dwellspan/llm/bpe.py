@@ -18,6 +18,7 @@ names of the new columns are replaced."""
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-STATES, MATCHES, PAIRS = 200_000, 300_000, 500_000  # entries of the tables of a worker, some 250 MB in all
+STATES, MATCHES, PAIRS = 250_000, 300_000, 400_000  # entries of the tables of a worker, some 150 MB in all
 _made: dict[tuple[str, str], "Transducer"] = {}
 
 
@@ -39,11 +40,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """The merges by definition: always the pair of lowest rank, the first of equals. For short pieces."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-        if rank == 1 << 60:
+    known, never = ranks.get, 1 << 60
+    pairs = [known(a + b, never) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        rank = min(pairs)
+        if rank == never:
             break
+        at = pairs.index(rank)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = known(parts[at - 1] + parts[at], never)
+        if at < len(pairs):
+            pairs[at] = known(parts[at] + parts[at + 1], never)
     return parts
 
 
@@ -55,28 +64,30 @@ class Transducer:
         self.token_bytes = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token_bytes[rank] = token
-        self.children: list[dict[int, int]] = [{}]
+        self.child: dict[int, int] = {}  # 256 * node + byte: node below
         self.token_at: list[int] = [-1]
+        self.inner: list[bool] = [False]
         for token, rank in ranks.items():
             if merge(token, ranks) != [token]:
                 continue  # the merges never make it; only a whole match can be this token
             node = 0
             for byte in token:
-                step = self.children[node].get(byte)
+                step = self.child.get(node << 8 | byte)
                 if step is None:
-                    step = self.children[node][byte] = len(self.children)
-                    self.children.append({})
+                    step = self.child[node << 8 | byte] = len(self.token_at)
                     self.token_at.append(-1)
+                    self.inner.append(False)
+                    self.inner[node] = True
                 node = step
             self.token_at[node] = rank
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
         self.remembered: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # 256 * state + byte: state, tokens emitted
         self._state(((0, -1, ()),))
 
     def _state(self, configurations: tuple) -> int:
@@ -84,60 +95,62 @@ class Transducer:
         if at is None:
             at = self.number[configurations] = len(self.states)
             self.states.append(configurations)
-            self.steps.append({})
         return at
 
     def stays_apart(self, before: int, token: int) -> bool:
         """Whether the merges leave this pair of tokens as it is."""
-        if before < 0:
-            return True
-        known = self.apart.get((before, token))
+        known = self.apart.get(before << 20 | token)
         if known is None:
             if len(self.apart) >= PAIRS:
                 self.apart.clear()
             a, b = self.token_bytes[before], self.token_bytes[token]
-            known = self.apart[before, token] = merge(a + b, self.ranks) == [a, b]
+            known = self.apart[before << 20 | token] = merge(a + b, self.ranks) == [a, b]
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        moved, ended = [], None
+        moved, ended, inner, child, token_at = [], None, self.inner, self.child.get, self.token_at
         for node, before, ahead in self.states[state]:
-            step = self.children[node].get(byte)
+            step = child(node << 8 | byte)
             if step is None:
                 continue
-            moved.append((step, before, ahead))
-            token = self.token_at[step]
-            if ended is None and token >= 0 and self.stays_apart(before, token):
-                ended = (0, token, (*ahead, token))
+            if inner[step]:
+                moved.append((step, before, ahead))
+            if ended is None:
+                token = token_at[step]
+                if token >= 0 and (before < 0 or self.stays_apart(before, token)):
+                    ended = (0, token, (*ahead, token))
         if ended:
             moved.append(ended)
-        moved = [c for c in moved if c[0] == 0 or self.children[c[0]]]
-        shared = 0
-        first = moved[0][2]
-        while all(len(c[2]) > shared and c[2][shared] == first[shared] for c in moved) if len(first) > shared else False:
-            shared += 1
-        emitted = first[:shared]
-        return self._state(tuple((n, b, a[shared:]) for n, b, a in moved)), emitted
-
-    def encode_match(self, piece: bytes) -> tuple[int, ...]:
+        emitted = moved[0][2]
+        for _, _, ahead in moved:  # the tokens that all are agreed on
+            if not emitted:
+                break
+            if ahead[: len(emitted)] != emitted:
+                emitted = emitted[: next(i for i, t in enumerate(emitted) if i >= len(ahead) or ahead[i] != t)]
+        if n := len(emitted):
+            moved = [(node, before, ahead[n:]) for node, before, ahead in moved]
+        return self._state(tuple(moved)), emitted
+
+    def encode_match(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
-            return (whole,)
+            return [whole]
         if len(self.states) > STATES:
             self._forget()
-        state, out = 0, []
+        state, out, known = 0, [], self.steps.get
         for byte in piece:
-            step = self.steps[state].get(byte)
+            step = known(state << 8 | byte)
             if step is None:
-                step = self.steps[state][byte] = self._step(state, byte)
+                step = self.steps[state << 8 | byte] = self._step(state, byte)
             state, emitted = step
             if emitted:
                 out += emitted
         out += self.states[state][-1][2]  # the configuration at the root: all bytes are in tokens
-        return tuple(out)
+        return out
 
     def _learn(self, match: str) -> bytes:
-        packed = np.array(self.encode_match(match.encode()), "<u4").tobytes()
+        ids = self.encode_match(match.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(match) <= 64:
             if len(self.remembered) >= MATCHES:
                 self.remembered.clear()

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20  # numpy needs some fifty times as much for a moment
 UPPER, LOWER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
