@@ -23,6 +23,8 @@ from dwellspan.operators.ordered import quantiles
 from dwellspan.session import discard, materialise, materialise_observed, new_path
 
 MISSING = -1
+# Fixed value: the least loss reduction at which the usual libraries try a split.
+LEAST_CHANGE = 1e-6
 # Levels that rows walk down within one job before their place is written.
 WALK_LEVELS = 5
 
@@ -74,7 +76,7 @@ def bin_edges(
     df: DataFrame, features: Sequence[str], max_bins: int, exact: bool = False
 ) -> tuple[tuple[float, ...], ...]:
     """Bin edges per feature at equal steps of rank. One pass over all features with bounded sketches;
-    `exact` takes exact quantiles (rounded to 6 digits) instead, one histogram per feature."""
+    `exact` takes exact quantiles instead, one histogram per feature."""
     marks = [i / max_bins for i in range(1, max_bins)]
     numbers = {c: F.col(f"`{c}`").cast("double") for c in features}
     found: dict[str, list[float]] = {c: [] for c in features}
@@ -82,7 +84,7 @@ def bin_edges(
         pairs = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in numbers.items()]
         rows = quantiles(df.select(F.inline(F.array(*pairs))), "value", marks, ["column"])
         for row in rows.collect():
-            found[row["column"]].append(round(row["value"], 6))
+            found[row["column"]].append(row["value"])
     else:
         sketches = [
             F.percentile_approx(v, F.array(*map(F.lit, marks)), 50 * max_bins).alias(f"e{i}")
@@ -122,17 +124,18 @@ def bin_table(
         edges = bin_edges(named.where(F.col("split") == "train").withColumns(known), names, max_bins)
     edges = tuple(tuple(e) for e in edges)
     infinity = float("inf")
+    cut = [i for i, e in enumerate(edges) if e]  # a feature without edges has one bin
     bucketizer = Bucketizer(
-        inputCols=names,
-        outputCols=[f"b{i}" for i in range(len(names))],
-        splitsArray=[[-infinity, *(e or (0.0,)), infinity] for e in edges],
+        inputCols=[names[i] for i in cut],
+        outputCols=[f"b{i}" for i in cut],
+        splitsArray=[[-infinity, *edges[i], infinity] for i in cut],
         handleInvalid="keep",
     )
     bins = [
-        F.when(F.isnan(n), F.lit(MISSING)).otherwise(F.col(f"b{i}").cast("int")).alias(f"b{i}")
+        F.when(F.isnan(n), F.lit(MISSING)).otherwise(F.col(f"b{i}").cast("int") if edges[i] else F.lit(0)).alias(f"b{i}")
         for i, n in enumerate(names)
     ]
-    rows = bucketizer.transform(named).select(key, "split", "y", *bins)
+    rows = (bucketizer.transform(named) if cut else named).select(key, "split", "y", *bins)
     # Every level of every tree reads this table again, so it is worth one shuffle into even parts.
     rows = rows.repartition(key)
     return BinnedTable(materialise(rows, "binned"), features, edges, key)
@@ -156,7 +159,8 @@ def best_splits(hist: DataFrame, params: BoostParams) -> DataFrame:
     """Per node the split with the largest gain, both ways of sending missing values tried.
 
     One row per node: feature, bin (goes left up to and including it), default_left, gain, sums of the
-    node (g, h, c) and of its left child (gl, hl, cl). gain is null if no split is allowed."""
+    node (g, h, c) and of its left child (gl, hl, cl). The gain is the loss reduction left + right - parent;
+    it is null if no split is allowed. `gamma` counts later, when the grown tree is pruned."""
 
     cell = "OVER (PARTITION BY node, feature)"
     upto = "OVER (PARTITION BY node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING)"
@@ -177,7 +181,7 @@ def best_splits(hist: DataFrame, params: BoostParams) -> DataFrame:
     weight = f"{float(params.min_child_weight)!r}D"
     allowed = f"bin <> {MISSING} AND cl > 0 AND c > cl AND hl >= {weight} AND h - hl >= {weight}"
     change = f"{score('gl', 'hl')} + {score('g - gl', 'h - hl')} - {score('g', 'h')}"
-    gain = f"round(if({allowed}, ({change}) / 2D - {float(params.gamma)!r}D, NULL), 9)"
+    gain = f"if({allowed}, {change}, NULL)"
     payload = "default_left, g, h, c, gl, hl, cl"
     best = sides.selectExpr(
         "node", f"struct({gain} AS gain, -feature AS minus_feature, -bin AS minus_bin, {payload}) AS s"
@@ -240,9 +244,9 @@ def _leaf_value(node: dict, params: BoostParams) -> float:
 def grow_tree(
     rows: DataFrame, params: BoostParams, n_features: int, rng: random.Random
 ) -> tuple[list[dict], list[range]]:
-    """One tree over rows (g, h, b0, ...), level by level: its nodes, and which of them each level split.
+    """One tree over rows (g, h, b0, ...), level by level, then pruned: its nodes, and which of them each level has.
 
-    Every WALK_LEVELS levels the rows are written with their node, and those that have come to rest are
+    A split is kept if its gain reaches `gamma` or a split below it is kept. Every WALK_LEVELS levels the rows are written with their node, and those that have come to rest are
     left out from then on."""
     new = lambda: {"feature": -1, "bin": 0, "left": 0, "right": 0, "default_left": False, "gain": 0.0}
     nodes, levels, level = [new()], [], range(1)
@@ -260,7 +264,7 @@ def grow_tree(
         for split in sorted((s for s in found if s["node"] in level), key=lambda s: s["node"]):
             node = nodes[split["node"]]
             node.update(g=split["g"], h=split["h"])
-            if split["gain"] is None or split["gain"] <= 0:
+            if split["gain"] is None or split["gain"] <= LEAST_CHANGE:
                 continue
             node.update(
                 feature=split["feature"], bin=split["bin"], left=len(nodes), right=len(nodes) + 1,
@@ -274,11 +278,41 @@ def grow_tree(
         level = grown
     for path in written:
         discard(rows.sparkSession, path)
+    nodes, levels = _pruned(nodes, params.gamma)
     for node in nodes:
         node["leaf"] = _leaf_value(node, params) if node["feature"] < 0 and "g" in node else 0.0
     return nodes, levels
 
 
+def _pruned(nodes: list[dict], gamma: float) -> tuple[list[dict], list[range]]:
+    """Undo weak splits from the bottom up; number what is left by level. Levels: those that some node splits in."""
+    for node in reversed(nodes):  # children come after their parents
+        if node["feature"] >= 0 and node["gain"] < gamma:
+            if nodes[node["left"]]["feature"] < 0 and nodes[node["right"]]["feature"] < 0:
+                node.update(feature=-1, bin=0, left=0, right=0, default_left=False, gain=0.0)
+    kept, levels, level = [], [], [nodes[0]]
+    while level:
+        start, below = len(kept), []
+        for node in level:
+            kept.append(node)
+            if node["feature"] >= 0:
+                first = start + len(level) + len(below)
+                below += [nodes[node["left"]], nodes[node["right"]]]
+                node.update(left=first, right=first + 1)
+        if below:
+            levels.append(range(start, start + len(level)))
+        level = below
+    return kept, levels
+
+
+def _threshold(node: dict, edges: Sequence[Sequence[float]]) -> float:
+    """Values below it go left; a split of the last bin parts the known values from the missing ones."""
+    if node["feature"] < 0:
+        return 0.0
+    own = edges[node["feature"]]
+    return own[node["bin"]] if node["bin"] < len(own) else float("inf")
+
+
 def _first_margin(table: BinnedTable, params: BoostParams) -> float:
     train = table.rows.where(F.col("split") == "train")
     if params.base_score == "mean":
@@ -324,11 +358,10 @@ def fit_boosted(
         leaf = f"get(from_json('{json.dumps([n['leaf'] for n in nodes])}', 'array<double>'), {node})"
         state = state.withColumn("margin", F.col("margin") + F.expr(leaf))
         for number, n in enumerate(nodes):
-            edges = table.edges[n["feature"]] if n["feature"] >= 0 else ()
             all_nodes.append(
                 {
                     "tree": tree, "node": number, "feature": n["feature"],
-                    "threshold": edges[n["bin"]] if edges else 0.0, "left": n["left"], "right": n["right"],
+                    "threshold": _threshold(n, table.edges), "left": n["left"], "right": n["right"],
                     "default_left": n["default_left"], "leaf": n["leaf"], "gain": n["gain"],
                     "cover": n.get("h", 0.0),
                 }

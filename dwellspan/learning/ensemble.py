@@ -18,13 +18,18 @@ from dwellspan.operators.sampling import with_fold
 from dwellspan.session import materialise
 
 
+# Fixed value: the deepest tree of pyspark.ml.
+MAX_DEPTH = 30
+
+
 def linear(label: str = "dom", **options) -> LinearRegression:
     """Ordinary least squares by the normal equations: one pass, state of features squared."""
     return LinearRegression(labelCol=label, regParam=0.0, solver="normal", **options)
 
 
-def forest(label: str = "dom", numTrees: int = 100, maxDepth: int = 12, seed: int = 0, **options) -> RandomForestRegressor:
-    """Random forest; all features are tried at each split, as in the usual regression default."""
+def forest(label: str = "dom", numTrees: int = 100, maxDepth: int = MAX_DEPTH, seed: int = 0, **options) -> RandomForestRegressor:
+    """Random forest; all features are tried at each split and trees grow as deep as `pyspark.ml` can, as the
+    usual regression default has no limit."""
     return RandomForestRegressor(
         labelCol=label, numTrees=numTrees, maxDepth=maxDepth, seed=seed, featureSubsetStrategy="all", **options
     )
@@ -33,14 +38,22 @@ def forest(label: str = "dom", numTrees: int = 100, maxDepth: int = 12, seed: in
 def fast_boosted(params: BoostParams, label: str = "dom", validation: str | None = None, **options) -> GBTRegressor:
     """Boosted trees of `pyspark.ml` for the squared error.
 
-    Mapped: n_estimators, eta, max_depth (at most 30), subsample, colsample_bylevel (per node there),
-    min_child_weight (as whole rows), gamma (another scale), max_bins, seed. Not supported there:
-    reg_lambda, reg_alpha, colsample_bytree; `validation` stops by tolerance, not by patience."""
+    Mapped: n_estimators, eta, max_depth, subsample, colsample_bylevel (per node there), min_child_weight (as
+    whole rows), gamma (another scale), max_bins, seed. What it can't honour is an error: it starts from the mean,
+    has no penalties on leaves and no column sample per tree, and stops by tolerance (`validation`), not patience."""
+    unmet = {
+        "objective": params.objective == "squared", "base_score": params.base_score == "mean",
+        "reg_lambda": params.reg_lambda == 0, "reg_alpha": params.reg_alpha == 0,
+        "colsample_bytree": params.colsample_bytree == 1, "patience": params.patience is None,
+        "max_depth": params.max_depth <= MAX_DEPTH,
+    }
+    if wrong := [f"{name}={getattr(params, name)!r}" for name, met in unmet.items() if not met]:
+        raise ValueError(f"the fast lane can't honour {', '.join(wrong)}; use fit_boosted")
     settings = dict(
         labelCol=label,
         maxIter=params.n_estimators,
         stepSize=params.eta,
-        maxDepth=min(params.max_depth, 30),
+        maxDepth=params.max_depth,
         subsamplingRate=params.subsample,
         featureSubsetStrategy=str(params.colsample_bylevel) if params.colsample_bylevel < 1 else "all",
         minInstancesPerNode=max(1, math.ceil(params.min_child_weight)),
@@ -66,7 +79,7 @@ class StackedModel:
         rows = _predict(self.level0, assemble(df, self.features))
         inputs = [*self.names, *(self.features if self.passthrough else ())]
         rows = assemble(rows.drop("features"), inputs)
-        return self.level1.setPredictionCol(output).transform(rows).drop("features", *self.names)
+        return self.level1.copy().setPredictionCol(output).transform(rows).drop("features", *self.names)
 
 
 def _predict(models: Sequence, df: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ LEAVES_PER_PASS = 50_000
 @dataclass
 class TreeModel:
     """`nodes` has one row per tree node; a leaf has feature -1. A row goes left if its value is below
-    the threshold, and by `default_left` if the value is missing."""
+    the threshold, and by `default_left` if the value is missing. An infinite threshold sends every known value left."""
 
     features: tuple[str, ...]
     base_score: float
@@ -108,7 +108,8 @@ def _walker(arrays: dict[str, np.ndarray]):
                 if not inner.any():
                     break
                 value = values[rows, np.where(inner, feature, 0)]
-                left = np.where(np.isnan(value), arrays["default_left"][node], value < arrays["threshold"][node])
+                cut = arrays["threshold"][node]
+                left = np.where(np.isnan(value), arrays["default_left"][node], (value < cut) | np.isposinf(cut))
                 step = np.where(left, arrays["left"][node], arrays["right"][node])
                 node = np.where(inner, step, node)
             total += arrays["leaf"][node]
@@ -195,7 +196,7 @@ def _explainer(leaves: list, inputs: list[str], sums: list[str]):
                     ok = np.ones(len(batch), bool)
                     for threshold, goes_left, missing_left in tests:
                         v = values[:, feature]
-                        left = np.where(np.isnan(v), missing_left, v < threshold)
+                        left = np.where(np.isnan(v), missing_left, (v < threshold) | np.isposinf(threshold))
                         ok &= left == goes_left
                     passed.append(ok.astype(float))
                 for j, (feature, share, _) in enumerate(path):

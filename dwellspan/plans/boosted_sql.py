@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from dwellspan.learning.boosting import BoostParams
+from dwellspan.learning.boosting import LEAST_CHANGE, BoostParams
 
 
 def edges_cte(name: str, source: str, features: Sequence[str], max_bins: int) -> str:
     """(feature, bin, edge) from exact quantiles of the training rows."""
     marks = ", ".join(repr(i / max_bins) for i in range(1, max_bins))
     parts = [
-        f'SELECT {i} AS feature, round(unnest(quantile_cont(CAST("{c}" AS DOUBLE), [{marks}])), 6) AS edge '
+        f'SELECT {i} AS feature, unnest(quantile_cont(CAST("{c}" AS DOUBLE), [{marks}])) AS edge '
         f"FROM {source} WHERE split = 'train'"
         if not _is_flag(c) else
-        f'SELECT {i} AS feature, round(unnest(quantile_cont(CAST(CAST("{c}" AS INTEGER) AS DOUBLE), [{marks}])), 6) AS edge '
+        f'SELECT {i} AS feature, unnest(quantile_cont(CAST(CAST("{c}" AS INTEGER) AS DOUBLE), [{marks}])) AS edge '
         f"FROM {source} WHERE split = 'train'"
         for i, c in enumerate(features)
     ]
     return (
         f"{name} AS MATERIALIZED (SELECT feature, edge, row_number() OVER (PARTITION BY feature ORDER BY edge) - 1 AS bin "
-        f"FROM (SELECT DISTINCT feature, edge FROM ({' UNION ALL '.join(parts)})))"
+        f"FROM (SELECT DISTINCT feature, edge FROM ({' UNION ALL '.join(parts)}) WHERE edge IS NOT NULL))"
     )
 
 
@@ -34,7 +34,8 @@ def _number(column: str) -> str:
 
 def binned_cte(name: str, source: str, features: Sequence[str], edges: str, label: str) -> str:
     bins = ", ".join(
-        f"(SELECT count(*) FROM {edges} e WHERE e.feature = {i} AND e.edge <= {_number(c)}) AS b{i}"
+        f"CASE WHEN {_number(c)} IS NULL THEN -1 ELSE "
+        f"(SELECT count(*) FROM {edges} e WHERE e.feature = {i} AND e.edge <= {_number(c)}) END AS b{i}"
         for i, c in enumerate(features)
     )
     return (
@@ -59,30 +60,39 @@ def _gradients(p: BoostParams) -> tuple[str, str]:
 
 
 def best_cte(name: str, cells: str, p: BoostParams) -> str:
-    """CTEs ending in (node, feature, bin, gain, g, h, gl, hl) from rows (node, feature, bin, g, h)."""
+    """CTEs ending in (node, feature, bin, gain, g, h, gl, hl, dl) from rows (node, feature, bin, g, h). Bin -1
+    holds missing values, which go left where dl is true."""
     change = f"{_score('gl', 'hl', p)} + {_score('(ga - gl)', '(ha - hl)', p)} - {_score('ga', 'ha', p)}"
     w = float(p.min_child_weight)
+    known = lambda x: f"sum(CASE WHEN bin = -1 THEN 0 ELSE {x} END) OVER upto"
+    missing = lambda x: f"sum(CASE WHEN bin = -1 THEN {x} ELSE 0 END) OVER cell"
     return f"""
 {name}_hist AS (SELECT node, feature, bin, sum(g) AS g, sum(h) AS h, count(*) AS c FROM {cells} GROUP BY ALL),
-{name}_cum AS (
-  SELECT node, feature, bin, sum(g) OVER upto AS gl, sum(h) OVER upto AS hl, sum(c) OVER upto AS cl,
+{name}_sum AS (
+  SELECT node, feature, bin, {known("g")} AS gk, {known("h")} AS hk, {known("c")} AS ck,
+         {missing("g")} AS gm, {missing("h")} AS hm, {missing("c")} AS cm,
          sum(g) OVER cell AS ga, sum(h) OVER cell AS ha, sum(c) OVER cell AS ca
   FROM {name}_hist
   WINDOW cell AS (PARTITION BY node, feature),
          upto AS (PARTITION BY node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+{name}_cum AS (
+  SELECT *, CASE WHEN dl THEN gk + gm ELSE gk END AS gl, CASE WHEN dl THEN hk + hm ELSE hk END AS hl,
+         CASE WHEN dl THEN ck + cm ELSE ck END AS cl
+  FROM {name}_sum, (VALUES (false), (true)) way(dl) WHERE bin <> -1 AND (NOT dl OR cm > 0)),
 {name}_gain AS (
-  SELECT *, ({change}) / 2 - {float(p.gamma)!r} AS gain FROM {name}_cum
+  SELECT *, {change} AS gain FROM {name}_cum
   WHERE cl > 0 AND ca > cl AND hl >= {w!r} AND ha - hl >= {w!r}),
 {name} AS MATERIALIZED (
-  SELECT node, feature, bin, round(gain, 9) AS gain, ga AS g, ha AS h, gl, hl FROM {name}_gain WHERE gain > 0
-  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, feature, bin) = 1)"""
+  SELECT node, feature, bin, gain, ga AS g, ha AS h, gl, hl, dl FROM {name}_gain WHERE gain > {LEAST_CHANGE!r}
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, bin, dl DESC) = 1)"""
 
 
 def boosted(
     prefix: str, source: str, features: Sequence[str], p: BoostParams, max_bins: int, label: str = "dom"
 ) -> str:
     """CTEs that bin `source` and grow p.n_estimators trees of depth p.max_depth. After tree t the
-    margins are in `{prefix}_m{t + 1}` and the splits of its level d in `{prefix}_s{t}_{d}`."""
+    margins are in `{prefix}_m{t + 1}` and the splits of its level d in `{prefix}_s{t}_{d}`. Rows first walk the
+    grown tree (`_g`), whose splits (`_c`) are kept if they reach gamma or have a kept one below, then the kept one (`_n`)."""
     n = len(features)
     base = {
         "mean": "(SELECT avg(y) FROM {b} WHERE split = 'train')",
@@ -95,26 +105,37 @@ def boosted(
         binned_cte(f"{prefix}_b", source, features, f"{prefix}_e", label),
         f"{prefix}_m0 AS MATERIALIZED (SELECT *, {base} AS margin FROM {prefix}_b)",
     ]
-    for t in range(p.n_estimators):
-        at = f"{prefix}_n{t}"
-        ctes.append(
-            f"{at}_0 AS MATERIALIZED (SELECT listing_id, split, y, margin, {columns}, {g} AS g, {h} AS h, "
-            f"1 AS node, false AS done FROM {prefix}_m{t})"
+    kept = ", ".join(f"r.{c.strip()}" for c in columns.split(","))
+    side = "CASE s.feature " + " ".join(f"WHEN {i} THEN r.b{i}" for i in range(n)) + " END"
+
+    def step(at: str, d: int, splits: str) -> str:
+        right = f"CASE WHEN {side} = -1 THEN NOT s.dl ELSE {side} > s.bin END"
+        return (
+            f"{at}_{d + 1} AS MATERIALIZED (SELECT r.listing_id, r.split, r.y, r.margin, {kept}, r.g, r.h, "
+            f"CASE WHEN r.done OR s.node IS NULL THEN r.node ELSE 2 * r.node + CASE WHEN {right} THEN 1 ELSE 0 END END AS node, "
+            f"r.done OR s.node IS NULL AS done "
+            f"FROM {at}_{d} r LEFT JOIN {splits}_{d} s ON r.node = s.node)"
         )
+
+    for t in range(p.n_estimators):
+        at, grown, tried, good = f"{prefix}_n{t}", f"{prefix}_g{t}", f"{prefix}_c{t}", f"{prefix}_s{t}"
+        for name in (at, grown):
+            ctes.append(
+                f"{name}_0 AS MATERIALIZED (SELECT listing_id, split, y, margin, {columns}, {g} AS g, {h} AS h, "
+                f"1 AS node, false AS done FROM {prefix}_m{t})"
+            )
         for d in range(p.max_depth):
             cells = " UNION ALL ".join(
-                f"SELECT node, {i} AS feature, b{i} AS bin, g, h FROM {at}_{d} WHERE split = 'train' AND NOT done"
+                f"SELECT node, {i} AS feature, b{i} AS bin, g, h FROM {grown}_{d} WHERE split = 'train' AND NOT done"
                 for i in range(n)
             )
-            ctes.append(best_cte(f"{prefix}_s{t}_{d}", f"({cells})", p))
-            side = "CASE s.feature " + " ".join(f"WHEN {i} THEN r.b{i}" for i in range(n)) + " END"
-            kept = ", ".join(f"r.{c.strip()}" for c in columns.split(","))
-            ctes.append(
-                f"{at}_{d + 1} AS MATERIALIZED (SELECT r.listing_id, r.split, r.y, r.margin, {kept}, r.g, r.h, "
-                f"CASE WHEN r.done OR s.node IS NULL THEN r.node ELSE 2 * r.node + CASE WHEN {side} > s.bin THEN 1 ELSE 0 END END AS node, "
-                f"r.done OR s.node IS NULL AS done "
-                f"FROM {at}_{d} r LEFT JOIN {prefix}_s{t}_{d} s ON r.node = s.node)"
-            )
+            ctes.append(best_cte(f"{tried}_{d}", f"({cells})", p))
+            ctes.append(step(grown, d, tried))
+        for d in reversed(range(p.max_depth)):
+            below = f" OR EXISTS (FROM {good}_{d + 1} k WHERE k.node // 2 = c.node)" if d + 1 < p.max_depth else ""
+            ctes.append(f"{good}_{d} AS MATERIALIZED (SELECT * FROM {tried}_{d} c WHERE gain >= {float(p.gamma)!r}{below})")
+        for d in range(p.max_depth):
+            ctes.append(step(at, d, good))
         ctes.append(
             f"{prefix}_l{t} AS MATERIALIZED (SELECT node, -{float(p.eta)!r} * {_soft('sum(g)', p)} / (sum(h) + {float(p.reg_lambda)!r}) AS leaf, "
             f"sum(h) AS cover FROM {at}_{p.max_depth} WHERE split = 'train' GROUP BY node)"

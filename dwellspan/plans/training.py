@@ -39,6 +39,7 @@ UPPER = BoostParams(
     objective="logcosh", alpha=0.95, base_score="quantile", n_estimators=2, max_depth=2, eta=0.05,
     reg_lambda=2.5, reg_alpha=4.5, gamma=0.5, min_child_weight=0.5,
 )
+DEEP = replace(SQUARED, n_estimators=10, max_depth=6, gamma=2000.0, min_child_weight=5.0)
 LOWER = replace(UPPER, alpha=0.05, eta=0.15, max_depth=1, reg_lambda=1.5)
 SMALL_SPACE = {
     "max_depth": ("int", 1, 2),
@@ -88,6 +89,23 @@ def _(spark, d):
     return _predictions(trained(rows), rows)
 
 
+def with_holes(rows: DataFrame) -> DataFrame:
+    """Areas missing for every fifth value of the label, so that being missing tells something."""
+    return rows.withColumn("area", F.when(F.col("dom") % 5 != 0, F.col("area")))
+
+
+@query("j3_train_gbt_missing")
+def _(spark, d):
+    rows = with_holes(staged_splits(spark, d))
+    return _predictions(trained(rows), rows)
+
+
+@query("j3_train_gbt_deep")
+def _(spark, d):
+    rows = staged_splits(spark, d)
+    return _predictions(trained(rows, DEEP), rows)
+
+
 @query("j3_train_gbt_sampled")
 def _(spark, d):
     """Row and column sampling and sketched bins: the settings that SQL cannot repeat."""
@@ -100,7 +118,7 @@ def _(spark, d):
 @query("j3_train_gbt_fast_lane")
 def _(spark, d):
     rows = materialise(assemble(staged_splits(spark, d), TR_V2).select("listing_id", "split", "dom", "features"), "vectors")
-    params = BoostParams(n_estimators=3, max_depth=3, eta=0.3, max_bins=32, seed=123)
+    params = BoostParams(n_estimators=3, max_depth=3, eta=0.3, max_bins=32, seed=123, reg_lambda=0.0, base_score="mean")
     model = fast_boosted(params).fit(rows.where(F.col("split") == "train"))
     return evaluate.regression_report(model.transform(rows), features=len(TR_V2))
 
@@ -166,7 +184,9 @@ def _(spark, d):
     level0 = {
         "lr": linear(),
         "rfr": forest(numTrees=3, maxDepth=4),
-        "gbt": fast_boosted(BoostParams(n_estimators=2, max_depth=3, subsample=0.33, eta=0.01, max_bins=32)),
+        "gbt": fast_boosted(
+            BoostParams(n_estimators=2, max_depth=3, subsample=0.33, eta=0.01, max_bins=32, reg_lambda=0.0, base_score="mean")
+        ),
     }
     model = Stacking(TR_V2, level0, folds=3).fit(rows.where(F.col("split") == "train"))
     return evaluate.regression_report(model.transform(rows), features=len(TR_V2))

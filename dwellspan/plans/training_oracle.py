@@ -10,7 +10,7 @@ from dwellspan.plans.boosted_sql import all_splits, best_cte, binned_cte, booste
 from dwellspan.plans.data import DATA_MONTHS, SPLIT_SEED
 from dwellspan.plans.oracle import MONTH, ORACLES, SPLITS, bucket, onehot, rfm, sql, trimmed
 from dwellspan.plans.training import (
-    BINS, CURVE, CURVE_FOLDS, LOWER, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
+    DEEP,    BINS, CURVE, CURVE_FOLDS, LOWER, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
     V1, V1_BINS, V1_PARAMS,
 )
 from dwellspan.schema import BOOL_COLUMNS, COUNTRIES, EUR_V2, RFM_COLUMNS, TR_V2
@@ -35,6 +35,16 @@ O["j2_split_histogram"] = sql(
 )
 PREDICTED = f"SELECT listing_id, split, round(margin, 6) AS prediction FROM {LAST}"
 O["j3_train_gbt"] = sql(PREDICTED, SPLITS, MODEL)
+O["j3_train_gbt_missing"] = sql(
+    f"SELECT listing_id, split, round(margin, 6) AS prediction FROM o_m{SQUARED.n_estimators}",
+    SPLITS,
+    "holes AS (SELECT * REPLACE (CASE WHEN dom % 5 <> 0 THEN area END AS area) FROM splits)",
+    boosted("o", "holes", TREE_FEATURES, SQUARED, BINS),
+)
+O["j3_train_gbt_deep"] = sql(
+    f"SELECT listing_id, split, round(margin, 6) AS prediction FROM d_m{DEEP.n_estimators}",
+    SPLITS, boosted("d", "splits", TREE_FEATURES, DEEP, BINS),
+)
 O["a7_model_save_load"] = O["j3_train_gbt"]
 O["j12_shap_sums_to_prediction"] = sql(
     f"SELECT listing_id, round(margin, 6) AS prediction FROM {LAST}", SPLITS, MODEL

@@ -40,8 +40,8 @@ def model(table):
 
 def test_single_split_worked_by_hand(spark):
     """x = 0 (missing), 1..4; y = 1, 1, 1, 9, 9. Base 0: g = -y, h = 1, lambda 1.
-    Split between 2 and 3, missing left: (3^2/4 + 18^2/3 - 21^2/6) / 2 = 18.375; missing right:
-    (2^2/3 + 19^2/4 - 21^2/6) / 2 = 9.041..."""
+    Split between 2 and 3, missing left: 3^2/4 + 18^2/3 - 21^2/6 = 36.75; missing right:
+    2^2/3 + 19^2/4 - 21^2/6 = 18.083..."""
     df = spark.createDataFrame(
         [(0, None, 1), (1, 1.0, 1), (2, 2.0, 1), (3, 3.0, 9), (4, 4.0, 9)], "listing_id int, x double, dom int"
     )
@@ -49,7 +49,7 @@ def test_single_split_worked_by_hand(spark):
     rows = t.rows.select(F.lit(0).alias("node"), "b0", (-F.col("y")).alias("g"), F.lit(1.0).alias("h"))
     best = best_splits(level_histogram(rows, [0]), BoostParams(reg_lambda=1.0)).first()
     assert (best["bin"], best["default_left"]) == (1, True)
-    assert best["gain"] == pytest.approx(18.375)
+    assert best["gain"] == pytest.approx(36.75)
     assert (best["gl"], best["hl"], best["cl"]) == (-3.0, 3.0, 3)
     m = fit_boosted(t, BoostParams(n_estimators=1, max_depth=1, base_score=0.0, eta=1.0), eval_splits=("train",), valid=None)
     got = {r["listing_id"]: r["prediction"] for r in m.transform(df).collect()}
@@ -203,3 +203,32 @@ def test_deep_trees_do_not_depend_on_where_rows_are_written(monkeypatch, table,
     pd.testing.assert_frame_equal(written.nodes, plain.nodes, rtol=1e-9)
     mae = written.transform(learnable.where("split = 'train'")).agg(F.avg(F.abs(F.col("prediction") - F.col("label")))).first()[0]
     assert mae == pytest.approx([h["value"] for h in written.history if h["split"] == "train"][0])
+
+
+def test_known_against_missing_splits_behind_the_last_bin(spark):
+    """Only being missing tells: known values 1, missing 9. The split parts the last bin from the missing ones."""
+    rows = [(i, float(i), 1) for i in range(8)] + [(10 + i, None, 9) for i in range(8)] + [(20, float("inf"), 1)]
+    df = spark.createDataFrame(rows, "listing_id int, x double, dom int")
+    t = bin_table(df, ["x"], split=None, max_bins=4)
+    m = fit_boosted(t, BoostParams(n_estimators=1, max_depth=2, base_score=0.0, eta=1.0, reg_lambda=0.0), valid=None, eval_splits=("train",))
+    assert m.nodes["threshold"][0] == float("inf") and not m.nodes["default_left"][0]
+    assert {r["listing_id"]: r["prediction"] for r in m.transform(df).collect()} == {r[0]: float(r[2]) for r in rows}
+    phi = contributions(m, df).toPandas()
+    np.testing.assert_allclose(phi["x"] + phi["expected_value"], phi["listing_id"].map({r[0]: r[2] for r in rows}))
+    flat = spark.createDataFrame([(i, None, i) for i in range(4)], "listing_id int, x double, dom int")
+    none = fit_boosted(bin_table(flat, ["x"], split=None, max_bins=4), BoostParams(n_estimators=1), valid=None, eval_splits=("train",))
+    assert len(none.nodes) == 1
+
+
+def test_weak_splits_above_strong_ones_survive(spark):
+    """Labels 0 10 10 0 over x = 0..3 twice: splitting off x = 0 gains 200/3, splitting off x = 3 below it 400/3."""
+    df = spark.createDataFrame([(i, float(i % 4), [0, 1, 1, 0][i % 4] * 10) for i in range(8)], "listing_id int, x double, dom int")
+    t = bin_table(df, ["x"], split=None, edges=[[1.0, 2.0, 3.0]])
+    fit = lambda gamma: fit_boosted(
+        t, BoostParams(n_estimators=1, max_depth=3, base_score=5.0, eta=1.0, reg_lambda=0.0, gamma=gamma), valid=None, eval_splits=("train",)
+    )
+    free = fit(0.0).nodes
+    gains = sorted(free.loc[free.feature >= 0, "gain"])
+    assert gains == pytest.approx([200 / 3, 400 / 3])
+    assert fit(100.0).nodes.equals(free)  # the weak split stays, as the one below it does
+    assert len(fit(150.0).nodes) == 1

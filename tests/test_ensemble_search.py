@@ -37,7 +37,7 @@ def test_forest_and_fast_boosting_learn(rows):
     spread = vectors.agg(F.stddev_pop("label")).first()[0]
     for estimator in (
         forest("label", numTrees=4, maxDepth=6),
-        fast_boosted(BoostParams(n_estimators=5, max_depth=4, max_bins=32), "label"),
+        fast_boosted(BoostParams(n_estimators=5, max_depth=4, max_bins=32, reg_lambda=0.0, base_score="mean"), "label"),
     ):
         assert error(estimator.fit(vectors).transform(vectors)) < spread / 3
 
@@ -78,3 +78,10 @@ def test_search_returns_the_trial_with_the_least_loss(spark, rows):
     assert len(results) == 2 and all(r["loss"] > 0 for r in results)
     best = best_trial(spark.createDataFrame(results)).first()
     assert best["loss"] == min(r["loss"] for r in results)
+
+
+def test_fast_lane_refuses_what_it_cannot_honour():
+    with pytest.raises(ValueError, match="reg_lambda"):
+        fast_boosted(BoostParams(base_score="mean"))
+    with pytest.raises(ValueError, match="max_depth"):
+        fast_boosted(BoostParams(base_score="mean", reg_lambda=0.0, max_depth=31))
