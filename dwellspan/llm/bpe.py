@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 VOCABULARY = "byte_bpe_50k.tiktoken"
 STATES, MATCHES, PAIRS = 250_000, 300_000, 400_000  # entries of the tables of a worker, some 150 MB in all
 _made: dict[tuple[str, str], "Transducer"] = {}
+_bytes: dict[str, list[bytes]] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,6 +38,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def by_rank(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """The merges by definition: always the pair of lowest rank, the first of equals. For short pieces."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -61,9 +69,7 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.matches_of = ranks, regex.compile(pattern).findall
-        self.token_bytes = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.token_bytes[rank] = token
+        self.token_bytes = by_rank(ranks)
         self.child: dict[int, int] = {}  # 256 * node + byte: node below
         self.token_at: list[int] = [-1]
         self.inner: list[bool] = [False]
@@ -205,6 +211,13 @@ def transducer(path: str, pattern: str) -> Transducer:
     return _made[path, pattern]
 
 
+def vocabulary(path: str) -> list[bytes]:
+    """The tokens' bytes by id, which is all that decoding needs; one list for each Python worker."""
+    if path not in _bytes:
+        _bytes[path] = by_rank(read_ranks(path))
+    return _bytes[path]
+
+
 def _schema(df: DataFrame, extra: str) -> str:
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), extra])
 
@@ -226,13 +239,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", tokens:
     return rows.mapInArrow(run, _schema(rows, f"`{tokens}` binary, `{n_tokens}` bigint"))
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
+def decode(encoded: DataFrame, path: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
     """`encoded` with the bytes of the texts (`stream_decode` gives them as text, piece by piece)."""
     rows = encoded.drop(decoded)
     at, names = rows.columns.index(tokens), [*rows.columns, decoded]
 
     def run(batches):
-        token_bytes = transducer(path, pattern).token_bytes
+        token_bytes = vocabulary(path)
         for batch in batches:
             joined = [
                 b"".join([token_bytes[i] for i in np.frombuffer(value.as_py() or b"", "<u4").tolist()]) for value in batch.column(at)

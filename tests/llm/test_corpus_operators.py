@@ -281,7 +281,7 @@ def test_bpe_round_trip(spark, hard, empty):
     import public_tokenizers
 
     vocabulary = public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN
-    back = bpe.decode(bpe.encode(hard, *vocabulary), *vocabulary)
+    back = bpe.decode(bpe.encode(hard, *vocabulary), vocabulary[0])
     rows = back.select("text", "decoded", "n_tokens", F.octet_length("tokens").alias("n")).collect()
     assert len(rows) == len(HARD) and all((r["text"] or "").encode() == bytes(r["decoded"]) and r["n"] == 4 * r["n_tokens"] for r in rows)
     assert bpe.encode(empty, *vocabulary).count() == 0
