@@ -11,12 +11,22 @@ from pyspark.sql import types as T
 from dwellspan.schema import BOOL_COLUMNS, LISTING
 
 
-def strict(name: str, kind: T.DataType) -> Column:
-    """Truncating cast that stops the job on a null or unparsable value."""
-    failed = F.raise_error(
-        F.concat(F.lit(f"{name}: not castable: "), F.coalesce(F.col(name).cast("string"), F.lit("null")))
-    )
-    return F.coalesce(F.col(name).try_cast(kind), failed.cast(kind))
+def _accepts(field: T.StructField, given: T.DataType) -> Column:
+    """Whether a value can be taken: whole numbers must be there, dates and flags may be missing, nothing may be garbled."""
+    column = F.col(field.name)
+    fits = F.lit(True) if given == field.dataType else column.isNull() | column.try_cast(field.dataType).isNotNull()
+    return fits & column.isNotNull() if isinstance(field.dataType, (T.IntegerType, T.LongType)) else fits
+
+
+def checked(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """`df`; a value that can't be taken stops the job. The check is a filter, so dropping the column doesn't drop it."""
+    condition = None
+    for field in fields:
+        shown = F.coalesce(F.col(field.name).cast("string"), F.lit("null"))
+        failed = F.raise_error(F.concat(F.lit(f"{field.name}: not castable: "), shown)).cast("boolean")
+        ok = F.when(_accepts(field, df.schema[field.name].dataType), True).otherwise(failed)
+        condition = ok if condition is None else condition & ok
+    return df if condition is None else df.where(condition)
 
 
 def truthy(name: str, kind: T.DataType) -> Column:
@@ -39,17 +49,19 @@ def _required(df: DataFrame) -> list[T.StructField]:
 
 
 def cast_listing(df: DataFrame, strict_mode: bool = True, pandas_truthiness: bool = False) -> DataFrame:
-    """Cast every listing column present in `df`. Strict mode fails on nulls and bad values in the
-    integer columns; otherwise they become null (see `split_castable`)."""
+    """Cast every listing column present in `df`. Strict mode stops on missing whole numbers and on values of any
+    column that don't parse, whatever columns are used later; otherwise they become null (see `split_castable`). A column
+    that has its type already is left as it is, so filters on it reach the scan."""
+    fields = _required(df)
+    if strict_mode:
+        df = checked(df, [f for f in fields if not (f.name in BOOL_COLUMNS and pandas_truthiness)])
     casts = {}
-    for field in _required(df):
-        name, kind = field.name, field.dataType
+    for field in fields:
+        name, given = field.name, df.schema[field.name].dataType
         if name in BOOL_COLUMNS and pandas_truthiness:
-            casts[name] = truthy(name, df.schema[name].dataType)
-        elif strict_mode and isinstance(kind, (T.IntegerType, T.LongType)):
-            casts[name] = strict(name, kind)
-        else:
-            casts[name] = F.col(name).try_cast(kind)
+            casts[name] = truthy(name, given)
+        elif given != field.dataType:
+            casts[name] = F.col(name).try_cast(field.dataType)
     return df.withColumns(casts)
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dwellspan.session import materialise, materialise_observed, small_table
 
@@ -206,19 +207,25 @@ def median_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return quantiles(df, value, [0.5], keys).select(*keys, F.col("value").alias(f"median_{value}"))
 
 
+def common_number(df: DataFrame, columns: Sequence[str]) -> str:
+    """A type that holds the numbers of all these columns: whole numbers stay whole."""
+    kinds = [df.schema[c].dataType for c in columns]
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        return "bigint"
+    if all(isinstance(k, (T.IntegralType, T.DecimalType)) for k in kinds):
+        scale = max(getattr(k, "scale", 0) for k in kinds)
+        return f"decimal(38,{scale})"
+    return "double"
+
+
 def average_ranks(df: DataFrame, columns: dict[str, bool], window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Ranks in which ties share their mean rank, as (column, value, rank, top) in long form.
 
-    `columns` maps a numeric column to True (ascending) or False; `top` is the largest rank."""
+    `columns` maps a numeric column to True (ascending) or False; `top` is the largest rank. Values are
+    compared as they are, in a type that holds them all."""
+    kind = common_number(df, list(columns))
     long = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        )
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]))
     )
     ranked = cumulate(value_histogram(long, "value", ["column"]), window_rows)
     falling = F.col("column").isin([c for c, ascending in columns.items() if not ascending])
@@ -233,7 +240,7 @@ def avg_rank(df: DataFrame, value: str, ascending: bool = True, name: str = "ran
     ranks = average_ranks(df, {value: ascending}).select(
         F.col("value").alias("_v"), F.col("rank").alias(name)
     )
-    return df.join(ranks, F.col(value).cast("double") == F.col("_v"), "left").drop("_v")
+    return df.join(ranks, F.col(value).cast(common_number(df, [value])) == F.col("_v"), "left").drop("_v")
 
 
 def qcut_edges(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> dict[str, list[float]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellspan.operators.ordered import WINDOW_ROWS, average_ranks
+from dwellspan.operators.ordered import WINDOW_ROWS, average_ranks, common_number
 from dwellspan.session import materialise, materialise_observed
 
 
@@ -58,24 +58,16 @@ def rfm(
     parts = with_recency(materialise(rfm_parts(df, key), "rfm"))
     order = {"recency": False, "frequency": True, "monetary": True}
     ranks = average_ranks(parts, order, window_rows)
+    kind = common_number(parts, list(order))
     long = parts.select(
-        key,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in order
-                ]
-            )
-        ),
+        key, F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in order]))
     )
     pick = lambda column, what: F.max(F.when(F.col("column") == column, F.col(what)))
-    wide = long.join(ranks, ["column", "value"]).groupBy(key).agg(
-        *[pick(c, "value").alias(c) for c in order],
+    wide = long.join(ranks, ["column", "value"], "left").groupBy(key).agg(
         *[pick(c, "rank").alias(f"{c}_rank") for c in order],
         *[pick(c, "top").alias(f"{c}_top") for c in order],
     )
-    return wide.select(
+    return parts.join(wide, key).select(
         key,
         F.col("recency").cast("int").alias(f"{prefix}recency"),
         F.col("frequency").cast("bigint").alias(f"{prefix}freq"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dwellspan.functions.columns import hash_bucket, hash_uniform, key_hash
 
@@ -22,8 +23,10 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str = "listing_id", sort_row
     The digest of the last row kept is found by counting rows per digest prefix, a few digits at a
     time, over the key column alone (at most 16^3 counts reach the driver per round). The sample itself
     is then a filter: no row is sorted or moved. Rows that share one key are told apart by their
-    content; only exact copies are taken as equal, and of those the wanted number is kept."""
-    hashed = df.select(F.col(key), key_hash(key, seed).alias("_h"))
+    content, every column at full precision; only exact copies are taken as equal, and of those the wanted
+    number is kept. A missing key is a key like any other."""
+    digest = _digest(key, seed)
+    hashed = df.select(digest.alias("_h"))
     prefix, before = "", 0
     while True:
         inside = hashed.where(F.col("_h").startswith(prefix)) if prefix else hashed
@@ -40,7 +43,6 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str = "listing_id", sort_row
         prefix += digit
         if count == n - before or count <= sort_rows or len(prefix) >= DIGEST_LENGTH:
             break
-    digest = key_hash(key, seed)
     head = F.substring(digest, 1, len(prefix))
     if count == n - before:
         return df.where(head <= prefix)
@@ -61,10 +63,29 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str = "listing_id", sort_row
     if key == _CONTENT:
         copies = F.explode(F.sequence(F.lit(1), F.lit(missing))).alias("_copy")
         return below_rows.unionByName(tied.limit(1).select("*", copies).drop("_copy"))
-    told_apart = tied.withColumn(_CONTENT, F.md5(F.to_json(F.struct(*df.columns))))
+    told_apart = tied.withColumn(_CONTENT, content_digest(df))
     return below_rows.unionByName(sample_n(told_apart, missing, seed, _CONTENT, sort_rows).drop(_CONTENT))
 
 
+def _digest(key: str, seed: int) -> Column:
+    """The key's digest; rows without key share one that no key has by its text."""
+    return F.coalesce(key_hash(key, seed), F.md5(F.lit(f"\0|{seed}")))
+
+
+def content_digest(df: DataFrame) -> Column:
+    """Digest of all columns of a row; different values give different texts, and so does a null."""
+    parts = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+            text = F.to_json(F.struct(column), micros)
+        else:
+            text = F.hex(column) if isinstance(field.dataType, T.BinaryType) else column.cast("string")
+        parts += [F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))]
+    return F.md5(F.concat(*parts))
+
+
 def split_column(fractions: Sequence[float], seed: int, key: str = "listing_id", names=("train", "valid", "test")):
     u, edge = hash_uniform(key, seed), 0.0
     column = None

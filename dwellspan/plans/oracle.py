@@ -337,14 +337,15 @@ for _name, _column in (
 ):
     O[_name] = sql(f"SELECT split, {rounds(_column)} FROM report_adjusted", SPLITS, BASELINE, REPORT)
 O["h13_mape"] = sql(
-    f"SELECT split, round(avg(abs(prediction - dom) / greatest(abs(dom), {EPSILON})), 6) AS mape FROM predicted WHERE dom > 0 GROUP BY split",
+    f"SELECT split, printf('%.5e', avg(abs(prediction - dom) / greatest(abs(dom), {EPSILON}))) AS mape FROM predicted GROUP BY split",
     SPLITS, BASELINE,
 )
 O["h5_interval_length"] = sql(f"SELECT listing_id, {rounds('interval_length')} FROM intervals", SPLITS, BASELINE)
 O["h6_within_interval"] = sql("SELECT listing_id, within_interval FROM intervals", SPLITS, BASELINE)
 O["h7_interval_miss"] = sql(f"SELECT listing_id, {rounds('diff')} FROM intervals", SPLITS, BASELINE)
 O["h8_metrics_by_split"] = sql(
-    f"SELECT split, n, {rounds('r2', 'mae', 'mse', 'rmse', 'median_ae', 'adjusted_r2', digits=5)} FROM report_adjusted",
+    f"SELECT split, n, {rounds('r2', 'mae', 'mse', 'rmse', 'median_ae', 'adjusted_r2', digits=5)}, "
+    "printf('%.5e', mape) AS mape FROM report_adjusted",
     SPLITS, BASELINE, REPORT,
 )
 O["h9_interval_coverage"] = sql(

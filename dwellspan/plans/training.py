@@ -305,9 +305,10 @@ def _(spark, d):
 def _bodies(rows: DataFrame, market: str) -> DataFrame:
     """One JSON body per row; some are cut off, lack a field or carry text in a number field."""
     names = request_schema(market).fieldNames()
+    names = [F.col("listing_id").cast("string").alias("request_id"), *names]
     good = F.to_json(F.struct(*names))
-    lacking = F.to_json(F.struct(*[n for n in names if n != "area"]))
-    worded = F.to_json(F.struct(*[F.lit("many").alias(n) if n == "area" else F.col(n) for n in names]))
+    lacking = F.to_json(F.struct(*[n for n in names if not isinstance(n, str) or n != "area"]))
+    worded = F.to_json(F.struct(*[F.lit("many").alias(n) if isinstance(n, str) and n == "area" else n for n in names]))
     body = (
         F.when(F.col("listing_id") % 5 == 0, worded)
         .when(F.col("listing_id") % 7 == 0, lacking)

@@ -244,7 +244,7 @@ O["k3_rejected_requests"] = sql(f"SELECT listing_id FROM listings WHERE {BAD}")
 def streamed(features) -> str:
     columns = ", ".join(f'"{c}"' for c in features)
     return sql(
-        f"SELECT {columns}, round(margin, 6) AS prediction FROM ready JOIN r_m{SQUARED.n_estimators} USING (listing_id) "
+        f"SELECT CAST(listing_id AS VARCHAR) AS request_id, {columns}, round(margin, 6) AS prediction FROM ready JOIN r_m{SQUARED.n_estimators} USING (listing_id) "
         f"WHERE ready.split = 'test' AND NOT {BAD}",
         SPLITS, READY, boosted("r", "ready", features, SQUARED, BINS),
     )
@@ -253,7 +253,7 @@ def streamed(features) -> str:
 O["k4_score_stream_point_eur"] = streamed(EUR_V2)
 O["k4_score_stream_point_tr"] = streamed(TR_V2)
 O["k5_score_stream_interval"] = sql(
-    f"SELECT {EUR_LIST}, round(lower_bound, 4) AS lower_bound, round(upper_bound, 4) AS upper_bound "
+    f"SELECT CAST(listing_id AS VARCHAR) AS request_id, {EUR_LIST}, round(lower_bound, 4) AS lower_bound, round(upper_bound, 4) AS upper_bound "
     f"FROM ready JOIN found USING (listing_id) WHERE NOT {BAD}",
     SPLITS, READY, *interval_ctes("ready", EUR_V2),
 )

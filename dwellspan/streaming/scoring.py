@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dwellspan.learning.boosting import IntervalModel
@@ -18,6 +19,13 @@ def request_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
+def with_request_id(bodies: DataFrame, body: str = "value") -> DataFrame:
+    """`request_id`: what the caller put into the body under that name, else the SHA-256 of the body; so a caller
+    finds its answer either way."""
+    named = F.get_json_object(body, "$.request_id")
+    return bodies.withColumn("request_id", F.coalesce(named, F.sha2(body, 256)))
+
+
 def score_requests(requests: DataFrame, model: TreeModel | IntervalModel) -> DataFrame:
     """Typed requests with `prediction`, or with `lower_bound` and `upper_bound`."""
     return model.transform(requests)
@@ -39,10 +47,12 @@ def score_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
         batch.persist()
-        good, rejects = validate(batch, market)
-        score_requests(good, model).write.mode("overwrite").parquet(f"{folder}/predictions/batch_id={batch_id}")
-        rejects.write.mode("overwrite").text(f"{folder}/rejects/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            good, rejects = validate(with_request_id(batch), market)
+            score_requests(good, model).write.mode("overwrite").parquet(f"{folder}/predictions/batch_id={batch_id}")
+            rejects.select("value").write.mode("overwrite").text(f"{folder}/rejects/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
         record(batch.sparkSession, batch_id, started)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint")

@@ -60,3 +60,19 @@ def test_crossed_bounds_test_the_lower_one_first(spark):
     assert [r["diff"] for r in rows] == [3.0, 0.0, 4.0]
     assert [r["within_interval"] for r in rows] == [False, True, False]
     assert rows[0]["interval_length"] == -5.0
+
+
+@pytest.mark.parametrize("column, bad", [("published_at", "soon"), ("has_lift", "maybe"), ("area", None), ("area", "x"), ("price", "")])
+def test_strict_casts_stop_on_bad_values_even_if_the_column_is_not_used(spark, column, bad):
+    good = {"listing_id": "1", "area": "3", "price": "5", "has_lift": "true", "published_at": "2024-01-02 03:04:05"}
+    schema = ", ".join(f"{c} string" for c in good)
+    assert cast_listing(spark.createDataFrame([tuple(good.values())], schema)).select("listing_id").first()[0] == 1
+    df = spark.createDataFrame([tuple({**good, column: bad}.values())], schema)
+    with pytest.raises(Exception, match="not castable"):
+        cast_listing(df).select("listing_id").collect()
+    assert cast_listing(df, strict_mode=False).select(column).first()[0] is None
+
+
+def test_missing_dates_and_flags_are_no_bad_values(spark):
+    df = spark.createDataFrame([("1", None, None)], "listing_id string, has_lift string, published_at string")
+    assert tuple(cast_listing(df).first()) == (1, None, None)

@@ -81,8 +81,13 @@ def test_trim_drops_nulls_and_survives_an_empty_table(spark):
 
 
 def test_thresholds_reach_the_scan(spark, listings):
-    plan = trim_outliers(listings)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan and "LessThan(area" in plan
+    from dwellspan.operators.features import build_features
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    for df in (trim_outliers(listings), build_features(listings.drop("split"), "EUR_V2")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters") :]
+        assert all(f"{way}({column}" in pushed for way in ("LessThan", "GreaterThan") for column in ("area", "price"))
 
 
 def test_quartile_labels(spark):

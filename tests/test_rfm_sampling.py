@@ -111,3 +111,33 @@ def test_splits_are_complete_stable_and_near_their_shares(spark):
     assert two["test"] == pytest.approx(6_000, rel=0.05)
     folds = {r["fold"]: r["count"] for r in with_fold(df, 5).groupBy("fold").count().collect()}
     assert set(folds) == set(range(5)) and min(folds.values()) > 3_700
+
+
+def test_sample_tells_microseconds_apart_and_takes_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(6).select(
+        F.lit(1).alias("listing_id"), F.expr("timestamp_micros(1700000000000000 + id)").alias("at"), F.lit(None).cast("string").alias("x")
+    )
+    got = sample_n(rows, 4, 22).collect()
+    assert len(got) == 4 and len({r["at"] for r in got}) == 4
+    keyless = spark.createDataFrame([(None, i) for i in range(5)] + [(7, 9)], "listing_id bigint, v int")
+    got = sample_n(keyless, 5, 22).collect()
+    assert len({(r["listing_id"], r["v"]) for r in got}) == 5
+    copies = spark.createDataFrame([(3, "a")] * 5 + [(3, "")] + [(3, None)], "listing_id int, v string")
+    assert sample_n(copies, 6, 1).count() == 6 and sample_n(copies, 7, 1).exceptAll(copies).count() == 0
+
+
+def test_whole_numbers_stay_whole(spark):
+    from dwellspan.operators.ordered import avg_rank
+
+    big = 9007199254740992
+    df = spark.createDataFrame([(1, big), (2, big + 1), (3, big + 2)], "listing_id int, v bigint")
+    assert [r["rank"] for r in avg_rank(df, "v").orderBy("listing_id").collect()] == [1.0, 2.0, 3.0]
+    import datetime as dt
+
+    rows = spark.createDataFrame(
+        [(i, f"c{i}", big + i, dt.datetime(2020, 1, 1)) for i in range(3)], "listing_id int, city_name string, price bigint, published_at timestamp"
+    )
+    got = {r["city_name"]: (r["monetary"], r["M_rank_norm"]) for r in rfm(rows, "city_name").collect()}
+    assert got == {f"c{i}": (big + i, pytest.approx((i + 1) / 3 * 100)) for i in range(3)}
