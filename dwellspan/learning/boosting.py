@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellspan.functions.columns import logcosh_quantile
+from dwellspan.functions.columns import hash_uniform, logcosh_quantile
 from dwellspan.learning.trees import TreeModel, tree_frame
 from dwellspan.operators.ordered import quantiles
 from dwellspan.session import discard, materialise, materialise_observed, new_path
@@ -231,7 +231,17 @@ def _walk(rows: DataFrame, nodes: list[dict], levels: Sequence[range]) -> DataFr
     return rows
 
 
-def _sampled(features: list[int], fraction: float, rng: random.Random) -> list[int]:
+def row_seed(params: BoostParams, tree: int) -> str:
+    """Rows of a tree are those whose hashed key with this seed falls below `subsample`."""
+    return f"{params.seed}/{tree}"
+
+
+def column_draws(params: BoostParams, tree: int) -> random.Random:
+    """Source of a tree's column draws: one for the tree, then one per level."""
+    return random.Random(f"{params.seed}/{tree}")
+
+
+def sampled_columns(features: list[int], fraction: float, rng: random.Random) -> list[int]:
     return sorted(rng.sample(features, max(1, int(fraction * len(features))))) if fraction < 1 else features
 
 
@@ -250,7 +260,7 @@ def grow_tree(
     left out from then on."""
     new = lambda: {"feature": -1, "bin": 0, "left": 0, "right": 0, "default_left": False, "gain": 0.0}
     nodes, levels, level = [new()], [], range(1)
-    chosen = _sampled(list(range(n_features)), params.colsample_bytree, rng)
+    chosen = sampled_columns(list(range(n_features)), params.colsample_bytree, rng)
     standing, walked, written = rows.withColumn("node", F.lit(0)), 0, []
     while len(level) and len(levels) < params.max_depth:
         if len(levels) - walked == WALK_LEVELS:
@@ -258,7 +268,7 @@ def grow_tree(
             moved = materialise(_walk(standing, nodes, levels[walked:]), "standing", path)
             standing, walked = moved.where(F.col("node") >= level.start), len(levels)
             written.append(path)
-        features = _sampled(chosen, params.colsample_bylevel, rng)
+        features = sampled_columns(chosen, params.colsample_bylevel, rng)
         placed = _walk(standing, nodes, levels[walked:])
         found = best_splits(level_histogram(placed, features), params).collect()
         for split in sorted((s for s in found if s["node"] in level), key=lambda s: s["node"]):
@@ -344,11 +354,10 @@ def fit_boosted(
     history: list[dict] = []
     best_round, best_value, written = None, None, None
     for tree in range(params.n_estimators):
-        rng = random.Random(f"{params.seed}/{tree}")
+        rng = column_draws(params, tree)
         train = state.where(F.col("split") == "train")
         if params.subsample < 1:
-            drawn = F.pmod(F.xxhash64(table.key, F.lit(tree), F.lit(params.seed)), F.lit(1_000_000))
-            train = train.where(drawn < int(params.subsample * 1_000_000))
+            train = train.where(hash_uniform(table.key, row_seed(params, tree)) < float(params.subsample))
         g, h = objective_columns(params, F.col("y"), F.col("margin"))
         nodes, levels = grow_tree(
             train.select(g.alias("g"), h.alias("h"), *[f"b{i}" for i in range(len(table.features))]),

@@ -99,6 +99,13 @@ def build_features(df: DataFrame, name: str, trim: bool = True, **options) -> Da
     return fit_features(df, name, trim=trim, **options).transform(df, trim=trim)
 
 
+def attach(rows: DataFrame, results: DataFrame, key: str = KEY) -> DataFrame:
+    """Predictions or interval columns next to the rows they belong to, by key; every row stays, and a column that
+    both sides have is taken from `rows`. This is the interval export: key, features, place, time, truth, bounds."""
+    new = [c for c in results.columns if c not in rows.columns]
+    return rows.join(results.select(key, *new), key, "left")
+
+
 def subpopulations(
     df: DataFrame, n: int, seed: int, quarters: Sequence[tuple[int, int]]
 ) -> DataFrame:

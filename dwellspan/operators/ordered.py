@@ -151,28 +151,34 @@ def _bracketed(
     """Move values far from the wanted order statistics onto the edge of the nearest bracket above.
 
     The map never reverses an order and leaves the brackets themselves alone, so the order statistics
-    inside them are unchanged, while the histogram shrinks to the brackets. The sketch bounds the rank
-    error by n / accuracy; the brackets are twice as wide on each side. With more than BRACKET_GROUPS
-    groups the rows stay as they are, and the histogram alone reduces them."""
-    margin = 2.0 / SKETCH_ACCURACY
-    low, high = ([min(1.0, max(0.0, q + side)) for q in sorted(qs)] for side in (-margin, margin))
-    marks = F.array(*map(F.lit, low + high))
-    sketch = df.dropna().groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.percentile_approx(value, marks, SKETCH_ACCURACY).alias("edges"),
-        F.max(value).alias("top"),
-    )
-    seen = sketch.limit(BRACKET_GROUPS + 1).collect()
-    if len(seen) > BRACKET_GROUPS or sum(r["n"] for r in seen) <= max(bracket_rows, 10 * SKETCH_ACCURACY):
-        return df
-    kind, half = df.schema[value].dataType.simpleString(), len(qs)
-    names = [f"_lo{i}" for i in range(half)] + [f"_hi{i}" for i in range(half)] + ["_top"]
-    types = [f"{k} {df.schema[k].dataType.simpleString()}" for k in by] + [f"{n} {kind}" for n in names]
-    rows = [(*(r[k] for k in by), *r["edges"], r["top"]) for r in seen if r["edges"]]
-    if by:
-        placed = df.join(F.broadcast(small_table(df.sparkSession, rows, ", ".join(types))), list(by))
-    else:
-        placed = df.withColumns({n: F.lit(v).cast(kind) for n, v in zip(names, rows[0])})
+    inside them are unchanged, while the histogram shrinks to the brackets. A sketch proposes the brackets; a pass
+    counts the rows below and in each, and brackets that miss their ranks are proposed again twice as wide, up to the
+    whole range. With more than BRACKET_GROUPS groups the rows stay as they are, and the histogram alone reduces them."""
+    margin, sketch = 2.0 / SKETCH_ACCURACY, None
+    while True:
+        low, high = ([min(1.0, max(0.0, q + side)) for q in sorted(qs)] for side in (-margin, margin))
+        marks = F.array(*map(F.lit, low + high))
+        sketch = df.dropna().groupBy(*by).agg(
+            F.count(value).alias("n"),
+            F.percentile_approx(value, marks, SKETCH_ACCURACY).alias("edges"),
+            F.min(value).alias("bottom"),
+            F.max(value).alias("top"),
+        )
+        seen = sketch.limit(BRACKET_GROUPS + 1).collect()
+        if len(seen) > BRACKET_GROUPS or sum(r["n"] for r in seen) <= bracket_rows:
+            return df
+        whole = margin >= 1.0
+        half = len(qs)
+        rows = []
+        for r in seen:
+            if r["edges"]:
+                lows = [r["bottom"] if q <= 0.0 or whole else e for q, e in zip(low, r["edges"][:half])]
+                highs = [r["top"] if q >= 1.0 or whole else e for q, e in zip(high, r["edges"][half:])]
+                rows.append((*(r[k] for k in by), *lows, *highs, r["top"], r["n"]))
+        placed, names = _with_brackets(df, value, by, rows, half)
+        if whole or _brackets_hold(placed, value, sorted(qs), by):
+            break
+        margin *= 2
     snapped = F.col("_top")
     for i in reversed(range(half)):
         inside = F.greatest(F.col(value), F.col(f"_lo{i}"))
@@ -180,6 +186,30 @@ def _bracketed(
     return placed.withColumn(value, snapped).drop(*names)
 
 
+def _with_brackets(df: DataFrame, value: str, by: Sequence[str], rows: list[tuple], half: int):
+    """`df` with its group's bracket edges, and the names of those columns. At most BRACKET_GROUPS rows are broadcast."""
+    kind = df.schema[value].dataType.simpleString()
+    names = [f"_lo{i}" for i in range(half)] + [f"_hi{i}" for i in range(half)] + ["_top", "_n"]
+    kinds = [kind] * (len(names) - 1) + ["bigint"]
+    if not by:
+        return df.withColumns({n: F.lit(v).cast(k) for n, v, k in zip(names, rows[0], kinds)}), names
+    types = [f"{k} {df.schema[k].dataType.simpleString()}" for k in by] + [f"{n} {k}" for n, k in zip(names, kinds)]
+    return df.join(F.broadcast(small_table(df.sparkSession, rows, ", ".join(types))), list(by)), names
+
+
+def _brackets_hold(placed: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]) -> bool:
+    """Whether in every group the two ranks next to each quantile lie in its bracket."""
+    counts, held = [], F.lit(True)
+    for i, q in enumerate(qs):
+        counts += [
+            F.count_if(F.col(value) < F.col(f"_lo{i}")).alias(f"below{i}"), F.count_if(F.col(value) <= F.col(f"_hi{i}")).alias(f"upto{i}")
+        ]
+        position = F.lit(float(q)) * (F.col("n") - 1)
+        held = held & (F.col(f"below{i}") <= F.floor(position)) & (F.ceil(position) < F.col(f"upto{i}"))
+    groups = placed.groupBy(*by).agg(F.first("_n").alias("n"), *counts)
+    return groups.where(~held).isEmpty()
+
+
 def quantiles(
     df: DataFrame,
     value: str,

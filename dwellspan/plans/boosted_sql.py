@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from dwellspan.learning.boosting import LEAST_CHANGE, BoostParams
+from dwellspan.learning.boosting import LEAST_CHANGE, BoostParams, column_draws, row_seed, sampled_columns
 
 
 def edges_cte(name: str, source: str, features: Sequence[str], max_bins: int) -> str:
@@ -119,6 +119,12 @@ def boosted(
 
     for t in range(p.n_estimators):
         at, grown, tried, good = f"{prefix}_n{t}", f"{prefix}_g{t}", f"{prefix}_c{t}", f"{prefix}_s{t}"
+        draws = column_draws(p, t)
+        chosen = sampled_columns(list(range(n)), p.colsample_bytree, draws)
+        learnt = "split = 'train'"
+        if p.subsample < 1:
+            digest = f"CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR) || '|{row_seed(p, t)}'), 1, 8) AS BIGINT)"
+            learnt += f" AND {digest} / CAST(4294967296 AS DOUBLE) < {float(p.subsample)!r}"
         for name in (at, grown):
             ctes.append(
                 f"{name}_0 AS MATERIALIZED (SELECT listing_id, split, y, margin, {columns}, {g} AS g, {h} AS h, "
@@ -126,8 +132,8 @@ def boosted(
             )
         for d in range(p.max_depth):
             cells = " UNION ALL ".join(
-                f"SELECT node, {i} AS feature, b{i} AS bin, g, h FROM {grown}_{d} WHERE split = 'train' AND NOT done"
-                for i in range(n)
+                f"SELECT node, {i} AS feature, b{i} AS bin, g, h FROM {grown}_{d} WHERE {learnt} AND NOT done"
+                for i in sampled_columns(chosen, p.colsample_bylevel, draws)
             )
             ctes.append(best_cte(f"{tried}_{d}", f"({cells})", p))
             ctes.append(step(grown, d, tried))
@@ -138,7 +144,7 @@ def boosted(
             ctes.append(step(at, d, good))
         ctes.append(
             f"{prefix}_l{t} AS MATERIALIZED (SELECT node, -{float(p.eta)!r} * {_soft('sum(g)', p)} / (sum(h) + {float(p.reg_lambda)!r}) AS leaf, "
-            f"sum(h) AS cover FROM {at}_{p.max_depth} WHERE split = 'train' GROUP BY node)"
+            f"sum(h) AS cover FROM {at}_{p.max_depth} WHERE {learnt} GROUP BY node)"
         )
         ctes.append(
             f"{prefix}_m{t + 1} AS MATERIALIZED (SELECT listing_id, split, y, {columns}, margin + coalesce(leaf, 0) AS margin "

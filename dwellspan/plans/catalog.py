@@ -16,7 +16,7 @@ from dwellspan.functions.columns import (
 from dwellspan.learning.vectors import assemble
 from dwellspan.operators import evaluate, ordered, rfm, sampling, stats, trim
 from dwellspan.operators.features import (
-    build_features, fit_categories, fit_features, select_features, subpopulations,
+    attach, build_features, fit_categories, fit_features, select_features, subpopulations,
 )
 from dwellspan.plans.data import (
     DATA_MONTHS, DATA_QUARTERS, FRACTIONS, SPLIT_SEED, baseline_intervals, baseline_predictions, splits, staged_splits,
@@ -392,16 +392,11 @@ def _(spark, d):
 
 @query("g3_attach_predictions")
 def _(spark, d):
-    rows = splits(spark, d).where(F.col("split") == "test")
+    rows = splits(spark, d).where(F.col("split") == "test").withColumnRenamed("dom", "true_dom")
     intervals = baseline_intervals(spark, d).where(F.col("within_interval"))
-    joined = rows.join(intervals.drop("true_dom"), "listing_id", "left")
-    return rounded(
-        joined.select(
-            "listing_id", "country_name", "city_name", "published_at", F.col("dom").alias("true_dom"),
-            "lower_bound", "upper_bound", "interval_length",
-            F.col("within_interval").cast("double").alias("within_interval"), "diff",
-        )
-    )
+    columns = [*TR_V2, "country_name", "city_name", "published_at", "true_dom"]
+    joined = attach(rows.select("listing_id", *columns), intervals.drop("true_dom"))
+    return rounded(joined.withColumn("within_interval", F.col("within_interval").cast("double")))
 
 
 @query("g4_onehot_attach")
@@ -552,7 +547,8 @@ def _(spark, d):
 
 @query("i8_subpopulation_frame")
 def _(spark, d):
-    df = subpopulations(staged_listings(spark, d), 1000, 22, DATA_QUARTERS)
+    rows = staged_listings(spark, d)
+    df = subpopulations(rows, rows.count() // 2, 22, DATA_QUARTERS)  # half of the listings, as published
     bins = [f"{c}_{p}" for c in ("price", "dom", "area") for p in ("bin", "lo", "hi")]
     return rounded(df.select("listing_id", "country_name", *bins, "dom_z"))
 

@@ -317,9 +317,9 @@ O["g2_left_join_features"] = sql(
     "known AS (SELECT * FROM listings WHERE country_name <> 'PT')", rfm("known", "city_name"),
 )
 O["g3_attach_predictions"] = sql(
-    f"""SELECT s.listing_id, country_name, city_name, published_at, dom AS true_dom,
+    f"""SELECT s.listing_id, {', '.join(TR_V2)}, country_name, city_name, published_at, dom AS true_dom,
        {rounds('lower_bound', 'upper_bound', 'interval_length')}, CAST(CAST(within_interval AS INTEGER) AS DOUBLE) AS within_interval, {rounds('diff')}
-FROM splits s LEFT JOIN (SELECT * FROM intervals WHERE within_interval) i ON s.listing_id = i.listing_id
+FROM splits s LEFT JOIN (SELECT * EXCLUDE (true_dom) FROM intervals WHERE within_interval) i ON s.listing_id = i.listing_id
 WHERE split = 'test'""",
     SPLITS, BASELINE,
 )
@@ -392,7 +392,7 @@ O["i8_subpopulation_frame"] = sql(
     f"""SELECT listing_id, CASE country_name WHEN 'SP' THEN 'ES' ELSE country_name END AS country_name, {bins()},
        round((dom - mean) / nullif(sd, 0), 6) AS dom_z
 FROM sample CROSS JOIN cuts JOIN groups USING (year_published, quarter_published)""",
-    "sample AS (SELECT * FROM listings ORDER BY md5(CAST(listing_id AS VARCHAR) || '|22'), listing_id LIMIT 1000)",
+    "sample AS (SELECT * FROM listings ORDER BY md5(CAST(listing_id AS VARCHAR) || '|22'), listing_id LIMIT (SELECT count(*) // 2 FROM listings))",
     cuts("sample"), Z.format(source="sample", quarters=QUARTERS),
 )
 O["k6_plot_interval_frame"] = sql(

@@ -10,7 +10,7 @@ from dwellspan.plans.boosted_sql import all_splits, best_cte, binned_cte, booste
 from dwellspan.plans.data import DATA_MONTHS, SPLIT_SEED
 from dwellspan.plans.oracle import MONTH, ORACLES, SPLITS, bucket, onehot, rfm, sql, trimmed
 from dwellspan.plans.training import (
-    DEEP,    BINS, CURVE, CURVE_FOLDS, LOWER, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
+    BINS, CURVE, DEEP, FOLDS, LOWER, SAMPLED, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
     V1, V1_BINS, V1_PARAMS,
 )
 from dwellspan.schema import BOOL_COLUMNS, COUNTRIES, EUR_V2, RFM_COLUMNS, TR_V2
@@ -41,6 +41,10 @@ O["j3_train_gbt_missing"] = sql(
     "holes AS (SELECT * REPLACE (CASE WHEN dom % 5 <> 0 THEN area END AS area) FROM splits)",
     boosted("o", "holes", TREE_FEATURES, SQUARED, BINS),
 )
+O["j3_train_gbt_sampled"] = sql(
+    f"SELECT listing_id, split, round(margin, 6) AS prediction FROM q_m{SAMPLED.n_estimators}",
+    SPLITS, boosted("q", "splits", TR_V2, SAMPLED, BINS),
+)
 O["j3_train_gbt_deep"] = sql(
     f"SELECT listing_id, split, round(margin, 6) AS prediction FROM d_m{DEEP.n_estimators}",
     SPLITS, boosted("d", "splits", TREE_FEATURES, DEEP, BINS),
@@ -110,7 +114,7 @@ FROM splits CROSS JOIN (
                covar_pop(type_group_id, dom) AS c2 FROM splits WHERE split = 'train'))""",
     SPLITS,
 )
-FOLD = f"CAST({bucket('listing_id', SPLIT_SEED)} % 3 AS INTEGER)"
+FOLD = f"CAST({bucket('listing_id', SPLIT_SEED)} % {FOLDS} AS INTEGER)"
 O["j8_train_stacking_linear"] = sql(
     """SELECT listing_id, round(c + d * (a + b * area), 3) AS prediction
 FROM splits
@@ -118,9 +122,9 @@ CROSS JOIN (SELECT regr_intercept(price, area) AS a, regr_slope(price, area) AS
 CROSS JOIN (SELECT regr_intercept(price, p) AS c, regr_slope(price, p) AS d FROM held)""",
     SPLITS,
     f"folds AS (SELECT *, {FOLD} AS fold FROM splits WHERE split = 'train')",
-    """lines AS (
+    f"""lines AS (
   SELECT k AS fold, regr_intercept(price, area) AS a, regr_slope(price, area) AS b
-  FROM range(3) t(k) JOIN folds ON fold <> k GROUP BY k)""",
+  FROM range({FOLDS}) t(k) JOIN folds ON fold <> k GROUP BY k)""",
     "held AS (SELECT price, a + b * area AS p FROM folds JOIN lines USING (fold))",
 )
 _fractions = ", ".join(f"(CAST({f} AS DOUBLE))" for f in CURVE)
@@ -130,7 +134,7 @@ FROM rows JOIN lines USING (fold) GROUP BY fraction, fold""",
     f"rows AS (SELECT *, {FOLD} AS fold, {bucket('listing_id', f'{SPLIT_SEED}/curve')} / CAST(4294967296 AS DOUBLE) AS u FROM listings)",
     f"""lines AS (
   SELECT fraction, CAST(k AS INTEGER) AS fold, regr_intercept(price, area) AS a, regr_slope(price, area) AS b
-  FROM (VALUES {_fractions}) f(fraction) CROSS JOIN range({CURVE_FOLDS}) t(k) JOIN rows ON fold <> k AND u < fraction GROUP BY ALL)""",
+  FROM (VALUES {_fractions}) f(fraction) CROSS JOIN range({FOLDS}) t(k) JOIN rows ON fold <> k AND u < fraction GROUP BY ALL)""",
 )
 
 
@@ -217,7 +221,7 @@ def v1_scored(refit: bool) -> str:
         f"SELECT listing_id, round(margin, 6) AS prediction FROM v_m{V1_PARAMS.n_estimators} WHERE split = 'test'",
         SPLITS,
         "train AS (SELECT * EXCLUDE (split) FROM splits WHERE split = 'train'), "
-        "test AS (SELECT * EXCLUDE (split, dom) FROM splits WHERE split = 'test')",
+        "test AS (SELECT * EXCLUDE (split, dom) FROM splits)",
         trimmed("train"), rfm("trimmed", "city_name"), trimmed("test", "trimmed_test"),
         rfm("trimmed_test", "city_name", "rfm_test"),
         f"""ready AS MATERIALIZED (

@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_folder: str | None = None
+_scopes: list[list[str]] = []
 
 
 def session(app: str = "dwellspan", master: str = "local[*]", **conf: str) -> SparkSession:
@@ -44,7 +47,27 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def work(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that are made inside are deleted at the end: write or collect results before that.
+
+        with work(spark):
+            near_duplicates(docs).write.parquet(target)
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            discard(spark, path)
 
 
 def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:

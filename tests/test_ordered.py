@@ -120,3 +120,29 @@ def test_zscore_of_a_single_row_is_null_and_other_groups_are_dropped(spark):
 def test_value_counts_leave_out_nulls(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "c string")
     assert [tuple(r) for r in stats.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 4])
+def test_brackets_are_verified_and_widened(spark, monkeypatch, accuracy):
+    """A sketch of accuracy 4 misses the ranks at first; results stay exact."""
+    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", accuracy)
+    df = spark.range(5000).selectExpr("id % 3 as k", "cast(pmod(id * 7919, 5000) as double) / 7 as v")
+    qs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    got = {(r["k"], r["q"]): r["value"] for r in ordered.quantiles(df, "v", qs, ["k"], bracket_rows=0).collect()}
+    frame = df.toPandas()
+    for k, part in frame.groupby("k"):
+        for q in qs:
+            assert got[k, q] == pytest.approx(part.v.quantile(q))
+    assert ordered.quantiles(df, "v", [0.3], bracket_rows=0).first()["value"] == pytest.approx(frame.v.quantile(0.3))
+
+
+def test_work_tables_go_with_their_scope(spark):
+    import os
+
+    from dwellspan.session import materialise, work, work_folder
+
+    with work(spark):
+        before = set(os.listdir(work_folder(spark).removeprefix("file:")))
+        assert materialise(spark.range(3), "scoped").count() == 3
+        assert len(set(os.listdir(work_folder(spark).removeprefix("file:"))) - before) == 1
+    assert set(os.listdir(work_folder(spark).removeprefix("file:"))) <= before
