@@ -366,4 +366,6 @@ def _(spark, d):
     rows = _eur_rows(spark, d, "TR_V2")
     folder = _streamed(spark, rows, trained(rows, STUMPS, TR_V2), "TR")
     timed = sinks.read_metrics(spark, f"{folder}/metrics")
-    return timed.select("batch_id", (F.col("process_time") > 0).alias("timed"))
+    return timed.agg(
+        F.sum("answered").alias("answered"), F.sum("rejected").alias("rejected"), F.min(F.col("process_time") > 0).alias("timed")
+    )

@@ -261,3 +261,8 @@ O["k5_score_stream_interval"] = sql(
     f"FROM ready JOIN found USING (listing_id) WHERE NOT {BAD}",
     SPLITS, READY, *interval_ctes("ready", EUR_V2),
 )
+O["a8_sink_request_metrics"] = sql(
+    f"SELECT count(*) FILTER (WHERE NOT {BAD}) AS answered, count(*) FILTER (WHERE {BAD}) AS rejected, true AS timed "
+    "FROM splits WHERE split = 'test'",
+    SPLITS,
+)

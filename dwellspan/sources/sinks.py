@@ -77,17 +77,18 @@ def log_run(spark: SparkSession, meta: Mapping[str, object], path: str) -> None:
     run_row(spark, meta).write.mode("append").parquet(path)
 
 
+METRICS = "start_time double, process_time double, answered bigint, rejected bigint"
+
+
 def metrics_writer(path: str):
-    """A function that stores (start time, duration) of one micro-batch as headerless CSV."""
+    """A function that stores start time, duration, answers and rejects of one micro-batch as headerless CSV."""
 
-    def write(spark: SparkSession, batch_id: int, started: float) -> None:
-        row = [(started, time.time() - started)]
-        spark.createDataFrame(row, "start_time double, process_time double").coalesce(1).write.mode(
-            "overwrite"
-        ).csv(f"{path}/batch_id={batch_id}")
+    def write(spark: SparkSession, batch_id: int, started: float, answered: int, rejected: int) -> None:
+        row = [(started, time.time() - started, answered, rejected)]
+        spark.createDataFrame(row, METRICS).coalesce(1).write.mode("overwrite").csv(f"{path}/batch_id={batch_id}")
 
     return write
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("start_time double, process_time double, batch_id bigint").csv(path)
+    return spark.read.schema(f"{METRICS}, batch_id bigint").csv(path)

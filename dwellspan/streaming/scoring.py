@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,11 +49,14 @@ def score_stream(
         batch.persist()
         try:
             good, rejects = validate(with_request_id(batch), market)
+            answered, rejected = Observation(), Observation()
+            good = good.observe(answered, F.count(F.lit(1)).alias("n"))
             score_requests(good, model).write.mode("overwrite").parquet(f"{folder}/predictions/batch_id={batch_id}")
-            rejects.select("value").write.mode("overwrite").text(f"{folder}/rejects/batch_id={batch_id}")
+            bodies = rejects.select("value").observe(rejected, F.count(F.lit(1)).alias("n"))
+            bodies.write.mode("overwrite").text(f"{folder}/rejects/batch_id={batch_id}")
         finally:
             batch.unpersist()
-        record(batch.sparkSession, batch_id, started)
+        record(batch.sparkSession, batch_id, started, answered.get["n"], rejected.get["n"])
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")

@@ -125,4 +125,5 @@ def test_stream_gives_the_batch_result_and_repeats_nothing(spark, listings, inte
     assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
     assert [r[0] for r in spark.read.text(f"{folder}/rejects").select("value").collect()] == ["not json"]
     timed = sinks.read_metrics(spark, f"{folder}/metrics")
+    assert timed.agg({"answered": "sum", "rejected": "sum"}).first()[:] in ((requests.count(), 1), (1, requests.count()))
     assert timed.count() == 2 and timed.where("process_time > 0").count() == 2
