@@ -330,7 +330,7 @@ def _(spark, d):
 
 @query("e12_profile_table")
 def _(spark, d):
-    return stats.profile(listings_view(spark, d)).select("column", "non_null", "total")
+    return stats.profile(listings_view(spark, d)).select("column", "type", "non_null", "total")
 
 
 @query("e13_histogram")
@@ -370,7 +370,7 @@ def _(spark, d):
 @query("f5_quartile_bins")
 def _(spark, d):
     df = ordered.qcut(staged_listings(spark, d), ["price", "dom", "area"])
-    return df.select("listing_id", *[f"{c}_{p}" for c in ("price", "dom", "area") for p in ("bin", "lo", "hi")])
+    return df.select("listing_id", *[f"{c}_{p}" for c in ("price", "dom", "area") for p in ("bin", "lo", "hi", "label")])
 
 
 # ---- joins and unions --------------------------------------------------------------------------
@@ -549,7 +549,7 @@ def _(spark, d):
 def _(spark, d):
     rows = staged_listings(spark, d)
     df = subpopulations(rows, rows.count() // 2, 22, DATA_QUARTERS)  # half of the listings, as published
-    bins = [f"{c}_{p}" for c in ("price", "dom", "area") for p in ("bin", "lo", "hi")]
+    bins = [f"{c}_{p}" for c in ("price", "dom", "area") for p in ("bin", "lo", "hi", "label")]
     return rounded(df.select("listing_id", "country_name", *bins, "dom_z"))
 
 

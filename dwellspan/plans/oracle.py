@@ -265,7 +265,8 @@ O["e11_median_scalar"] = sql(
 )
 O["e12_profile_table"] = sql(
     "\nUNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) AS total FROM listings"
+        f"SELECT '{c}' AS \"column\", CASE any_value(typeof({c})) WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' "
+        f"WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type, count({c}) AS non_null, count(*) AS total FROM listings"
         for c in TRAIN_COLUMNS
     )
 )
@@ -304,6 +305,8 @@ def bins() -> str:
             f"CAST({index} AS INTEGER) AS {c}_bin",
             f"CAST({c}_q[{index} + 1] AS DOUBLE) AS {c}_lo",
             f"CAST({c}_q[{index} + 2] AS DOUBLE) AS {c}_hi",
+            f"'(' || CAST(round(round(CAST({c}_q[{index} + 1] AS DOUBLE), 3) - CASE WHEN {index} = 0 THEN 0.001::DOUBLE ELSE 0 END, 3) AS VARCHAR) "
+            f"|| ', ' || CAST(round(CAST({c}_q[{index} + 2] AS DOUBLE), 3) AS VARCHAR) || ']' AS {c}_label",
         ]
     return ", ".join(out)
 
