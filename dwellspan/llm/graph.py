@@ -31,6 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _unfinished(edges: DataFrame) -> bool:
     """Whether some node has two roots, or a root that has a root."""
-    double = edges.groupBy("a").count().where("count > 1")
-    chained = edges.select(F.col("b").alias("a")).distinct().join(edges.select("a"), "a", "left_semi")
-    return bool(double.limit(1).count() or chained.limit(1).count())
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    counts = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return not counts.where((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).isEmpty()
