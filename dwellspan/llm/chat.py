@@ -89,7 +89,8 @@ def format_chats(conversations: DataFrame, template: Template = CHATML) -> DataF
                 for part, (segment, loss) in enumerate(template.segments(role, text)):
                     rows.append((conv, place, part, segment, loss, role, state != "?"))
                 place += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SEGMENT)], schema=_SEGMENT) if rows else pa.RecordBatch.from_pylist([], schema=_SEGMENT)
+            columns = zip(*rows) if rows else [()] * len(_SEGMENT)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SEGMENT)], schema=_SEGMENT)
 
     turns = conversations.select(
         F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.col("role").cast("string"), F.col("text").cast("string")

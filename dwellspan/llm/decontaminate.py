@@ -88,6 +88,7 @@ def _fingerprints(column: pa.Array, lengths: list[int], bloom: np.ndarray | None
 
 def _item_fingerprints(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """A row for each kept hash of each item; items of fewer than 13 words keep the hash of all of them."""
+    fields = pa.schema([("item", pa.string()), ("need", pa.int32()), *_KEPT_ARROW.value_type])
 
     def run(batches):
         for batch in batches:
@@ -104,7 +105,7 @@ def _item_fingerprints(benchmark: DataFrame, item: str, text: str) -> DataFrame:
                         {"item": ids[int(rows[first + i])].as_py(), "need": n, **f}
                         for i, found in enumerate(kept) for f in found if n == WINDOW or f["k"] == n
                     ]
-                    yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("item", pa.string()), ("need", pa.int32()), *_KEPT_ARROW.value_type]))
+                    yield pa.RecordBatch.from_pylist(out, schema=fields)
 
     schema = "item string, need int, hash bigint, k int, pos int, before array<string>, gram string, after array<string>"
     return benchmark.select(F.col(item).cast("string"), F.col(text).cast("string")).mapInArrow(run, schema)
@@ -154,8 +155,10 @@ def find_windows(
                 )
 
     names = [*keep, *keys]
-    narrow = docs.select(*[F.col(c) for c in keep], *[h.alias(k) for h, k in zip(text_key(F.col(text)), keys)], F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]), "n_words bigint", f"__kept array<{_KEPT}>"])
+    hashes = [h.alias(k) for h, k in zip(text_key(F.col(text)), keys)]
+    narrow = docs.select(*[F.col(c) for c in keep], *hashes, F.col(text).cast("string").alias("__text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
+    schema = ", ".join([*fields, "n_words bigint", f"__kept array<{_KEPT}>"])
     base = materialise(narrow.mapInArrow(run, schema), "fingerprints")
     found = base.select(*keys, F.inline("__kept"))
     item_side = prints.select("item", "need", "hash", "k", F.col("before").alias("ib"), F.col("gram").alias("ig"), F.col("after").alias("ia"))

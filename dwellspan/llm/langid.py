@@ -28,7 +28,7 @@ from dwellspan.llm.text import free_name, mix, text_chunks
 from dwellspan.llm.urlfilter import host_of
 from dwellspan.session import materialise
 
-CELLS, SMOOTH, EVIDENCE, STRENGTH = 1 << 14, 0.5, 60.0, 5.0
+CELLS, SMOOTH, EVIDENCE, STRENGTH, MAX_LANGUAGES = 1 << 14, 0.5, 60.0, 5.0, 1000
 _DROP = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer)\b.*?</\1\s*>|<[^>]*>")
 _DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)")
 
@@ -70,9 +70,12 @@ class TextModel:
 
 
 def fit_text_model(docs: DataFrame, language: str = "lang", text: str = "text", cells: int = CELLS) -> TextModel:
-    """Trigram counts of all documents. Languages are those of the column; their number bounds the model."""
+    """Trigram counts of all documents. Languages are those of the column; their number bounds the model, so more than
+    MAX_LANGUAGES are an error."""
     named = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull())
-    languages = sorted(r[0] for r in named.select(language).distinct().toLocalIterator())
+    languages = sorted(r[0] for r in named.select(language).distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {language}")
     place = {name: i for i, name in enumerate(languages)}
 
     def part(batch):
@@ -86,7 +89,10 @@ def fit_text_model(docs: DataFrame, language: str = "lang", text: str = "text",
         return total
 
     sums = sum_vectors(named.select(F.col(language).cast("string"), F.col(text).cast("string")), part)
-    return TextModel(languages, np.stack([sums.get(i, np.zeros(cells)) for i in range(len(languages))]) if languages else np.zeros((0, cells)))
+    counts = np.zeros((len(languages), cells))
+    for i, vector in sums.items():
+        counts[i] = vector
+    return TextModel(languages, counts)
 
 
 def _text_evidence(pages: DataFrame, model: TextModel, url: str, markup: str) -> DataFrame:
@@ -160,9 +166,9 @@ def identify(
     said = materialise(_sums(rows.where("__declared <> ''"), ["__declared"], "__share", width, "said"), "declared")
     values = said.count()
     totals = [float(v or 0) for v in said.agg(*[F.sum(F.get("said", F.lit(i))) for i in range(width)]).first()]
-    known = said.select(
-        "__declared", F.zip_with("said", F.array(*[F.lit(t) for t in totals]), lambda n, t: F.log((n + 1.0) / (t + float(values)))).alias("said")
-    )
+    whole_said = F.array(*[F.lit(t) for t in totals])
+    rate = F.zip_with("said", whole_said, lambda n, t: F.log((n + 1.0) / (t + float(values))))
+    known = said.select("__declared", rate.alias("said"))
     nothing = F.array(*[F.lit(0.0)] * width)
     joined = rows.join(materialise(hosts, "priors"), "__host").join(materialise(known, "said"), "__declared", "left")
     others = F.zip_with("n", "__share", lambda n, own: F.greatest(n - own, F.lit(0.0)))  # without the page itself

@@ -98,7 +98,9 @@ def _block(doc_id: Column, borders: list[int]) -> Column:
     return F.when(coarse < 1, 0).otherwise((coarse - 1) * len(groups[0]) + fine - 1)
 
 
-def with_next_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "next_text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def with_next_text(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "next_text", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """The text of the next row by id (and text, for equal ids); the last row's next is the first.
 
     Spark's range partitioner, on ids alone, gives block borders (at most MAX_BLOCKS). Texts move once, to their block; the first
@@ -115,8 +117,9 @@ def with_next_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n = max(1, len(borders))
     heads = F.array(*[F.lit(v).cast("bigint") for v in borders]) if borders else F.expr("array(cast(null as bigint))")
     is_head = F.col(order) == F.get(heads, F.col(block))
-    homes = F.when(is_head, F.array(F.struct(F.col(block), F.lit(False).alias(guest)), F.struct(((F.col(block) + n - 1) % n).alias(block), F.lit(True).alias(guest))))
-    homes = homes.otherwise(F.array(F.struct(F.col(block), F.lit(False).alias(guest))))
+    home = F.struct(F.col(block), F.lit(False).alias(guest))
+    visit = F.struct(((F.col(block) + n - 1) % n).alias(block), F.lit(True).alias(guest))
+    homes = F.when(is_head, F.array(home, visit)).otherwise(F.array(home))
     placed = keyed.withColumn(rows, homes).withColumn(rows, F.explode(rows)).withColumns({
         block: F.col(f"{rows}.{block}"), guest: F.col(f"{rows}.{guest}")
     })

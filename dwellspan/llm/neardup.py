@@ -201,7 +201,8 @@ def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
     linkable = nodes.where(F.col("size") + 1 >= threshold / (1 - threshold))
     leaves = linkable.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
     shared = leaves.groupBy("tree", "prefix").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    meets = leaves.join(shared.hint("merge"), ["tree", "prefix"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    meets = leaves.join(shared.hint("merge"), ["tree", "prefix"]).where("node <> first")
+    meets = meets.select(F.col("node").alias("a"), F.col("first").alias("b"))
     groups = components(meets).select("node", F.col("root").alias("grp"))
     weights = nodes.groupBy("node").agg(F.sum("copies").alias("copies"), F.sum("size").alias("size"))
     placed = materialise(groups.join(weights, "node"), "candidates")
@@ -219,7 +220,10 @@ def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
         nodes.select("s1", "s2", "node", "copies").join(links, "node", "left").join(classes, "node", "left")
-        .select("s1", "s2", F.coalesce("root", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        .select(
+            "s1", "s2", F.coalesce("root", "node").alias("class"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
     )
     out = sets.select("doc", "t1", "t2", "s1", "s2").join(materialise(known, "classes"), ["s1", "s2"], "left")
     return out.select("doc", "t1", "t2", "class", F.col("n_links").cast("bigint").alias("n_links"))
