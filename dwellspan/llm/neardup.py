@@ -11,8 +11,9 @@ returns a row per node (its links, and its root within the blocks), never pairs.
 comparisons, spread over tasks, but only its size times its number of blocks in rows. The text of a candidate moves once to
 be found and once per block of its group. The large joins are sort-merge joins at every size.
 
-Null texts, empty ones and all others without words have the same, empty set: they are copies of each other. Rows without id are one document above all others; rows of one
-id are one document, whatever their texts. Sets of fewer than threshold / (1 - threshold) shingles can only equal each other.
+Null texts, empty ones and all others without words have the same, empty set: they are copies of each other. Nodes are sets and never
+ids: rows without id, or of one id, are linked as their texts are, and only the id of a class is the smallest one in it (a missing id is
+above all others, so a class of nothing else has none). Sets of fewer than threshold / (1 - threshold) shingles can only equal each other.
 Empty tables give no rows. Other columns are ignored."""
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from dwellspan.session import materialise
 
 SHINGLE, THRESHOLD, TARGET_RECALL, TREES, MAX_DEPTH = 5, 0.8, 0.99999, 24, 8
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 400_000
+ROW = ["doc", "t1", "t2"]  # id and text key
 _LAST = (1 << 63) - 1  # stands for a missing id
 
 
@@ -147,7 +149,7 @@ def _verify_groups(members: DataFrame, threshold: float) -> DataFrame:
     """Members sorted by (grp, b1, b2) are streamed; each run of equal keys is one piece of work."""
 
     def run(batches):
-        key, held, seen = None, [], set()
+        key, held = None, []
 
         def result():
             found = _verify(held, key[1] == key[2], threshold) if len(held) > 1 else []
@@ -163,12 +165,9 @@ def _verify_groups(members: DataFrame, threshold: float) -> DataFrame:
                     if keys[r] != key:
                         if held:
                             yield result()
-                        key, held, seen = keys[r], [], set()
+                        key, held = keys[r], []
                     own = hashes[ends[r - first] : ends[r - first + 1]]
-                    identity = (nodes[r], len(own), int(own.sum()))
-                    if len(own) and identity not in seen:
-                        seen.add(identity)
-                        held.append((nodes[r], blocks[r], copies[r], own.copy()))
+                    held.append((nodes[r], blocks[r], copies[r], own.copy()))
         if held:
             yield result()
 
@@ -185,58 +184,64 @@ def near_duplicates(
     documents whose Jaccard similarity is at least the threshold; a copy counts like any other)."""
     found = _classes(docs, doc_id, text, threshold, trees, target_recall)
     missing = F.lit(_LAST)
-    return found.select(F.nullif("doc", missing).alias("doc_id"), F.nullif("class", missing).alias("class_id"), "n_links")
+    return found.select(F.nullif("doc", missing).alias("doc_id"), F.nullif("head.doc", missing).alias("class_id"), "n_links")
 
 
 def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: int, target_recall: float) -> DataFrame:
-    """(doc, t1, t2, class, n_links) of every document; t1 and t2 stand for its text."""
+    """(doc, t1, t2, head, n_links) of every document; t1 and t2 stand for its text, head has those three of the smallest in its class."""
     depth = prefix_depth(trees, threshold, target_recall)
     sets = materialise(_sets(docs, doc_id, text, trees, depth), "sets")
-    nodes = materialise(
-        sets.groupBy("s1", "s2").agg(
-            F.min("doc").alias("node"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("prefixes").alias("prefixes")
-        ),
-        "nodes",
+    # The nodes are numbered once and written, so their numbers hold.
+    nodes = sets.groupBy("s1", "s2").agg(
+        F.min(F.struct(*ROW)).alias("head"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("prefixes").alias("prefixes")
     )
+    nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     linkable = nodes.where(F.col("size") + 1 >= threshold / (1 - threshold))
     leaves = linkable.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
     shared = leaves.groupBy("tree", "prefix").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     meets = leaves.join(shared.hint("merge"), ["tree", "prefix"]).where("node <> first")
     meets = meets.select(F.col("node").alias("a"), F.col("first").alias("b"))
     groups = components(meets).select("node", F.col("root").alias("grp"))
-    weights = nodes.groupBy("node").agg(F.sum("copies").alias("copies"), F.sum("size").alias("size"))
-    placed = materialise(groups.join(weights, "node"), "candidates")
+    placed = materialise(groups.join(nodes.select("node", "head.*", "copies", "size"), "node"), "candidates")
     blocks = placed.groupBy("grp").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("n")
     )
     block = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
     pairs = placed.join(blocks, "grp").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     pairs = pairs.select(
-        "grp", "node", "copies", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2")
+        *ROW, "grp", "node", "copies", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2")
     )
-    texts = docs.select(_id(doc_id).alias("node"), F.col(text).cast("string").alias("text"))
-    found = materialise(_verify_groups(texts.join(pairs.hint("merge"), "node"), threshold), "links")
-    classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    t1, t2 = text_key(F.col(text))
+    texts = docs.select(_id(doc_id).alias("doc"), t1.alias("t1"), t2.alias("t2"), F.col(text).cast("string").alias("text"))
+    if not sets.groupBy(*ROW).count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(ROW)  # one text per node, however often a row is repeated
+    found = materialise(_verify_groups(texts.join(pairs.hint("merge"), ROW), threshold), "links")
+    classes = materialise(
+        components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).join(nodes.select("node", "head"), "node"), "linked"
+    )
+    heads = materialise(classes.groupBy("root").agg(F.min("head").alias("lowest")), "heads")
+    classes = classes.join(heads, "root").select("node", "lowest")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
-        nodes.select("s1", "s2", "node", "copies").join(links, "node", "left").join(classes, "node", "left")
+        nodes.select("s1", "s2", "node", "head", "copies").join(links, "node", "left").join(classes, "node", "left")
         .select(
-            "s1", "s2", F.coalesce("root", "node").alias("class"),
+            "s1", "s2", F.coalesce("lowest", "head").alias("head"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
     out = sets.select("doc", "t1", "t2", "s1", "s2").join(materialise(known, "classes"), ["s1", "s2"], "left")
-    return out.select("doc", "t1", "t2", "class", F.col("n_links").cast("bigint").alias("n_links"))
+    return out.select(*ROW, "head", F.col("n_links").cast("bigint").alias("n_links"))
 
 
 def drop_near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, trees: int = TREES,
     target_recall: float = TARGET_RECALL,
 ) -> DataFrame:
-    """`docs` with the document of the smallest id of each class. Exact repeats of a row's id and text go, too."""
-    keys = [free_name(docs, n) for n in ("doc", "t1", "t2")]
-    classes = _classes(docs, doc_id, text, threshold, trees, target_recall).toDF(*keys, "class", "n_links")
-    gone = materialise(classes.where(F.col(keys[0]) != F.col("class")).select(*keys).distinct(), "gone")
+    """`docs` with the document of the smallest id of each class (of equal ids, that of the smallest text key). Exact repeats of a
+    row's id and text go, too."""
+    keys = [free_name(docs, n) for n in ROW]
+    classes = _classes(docs, doc_id, text, threshold, trees, target_recall).toDF(*keys, "head", "n_links")
+    gone = materialise(classes.where(F.struct(*[F.col(k).alias(n) for k, n in zip(keys, ROW)]) != F.col("head")).select(*keys).distinct(), "gone")
     keyed = docs.withColumns(dict(zip(keys, [_id(doc_id), *text_key(F.col(text))])))
     kept = keyed.join(gone, keys, "left_anti")
     if not classes.groupBy(*keys).count().where("count > 1").isEmpty():

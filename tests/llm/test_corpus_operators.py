@@ -188,6 +188,26 @@ def test_near_duplicates_edges(spark, hard, empty):
     assert neardup.drop_near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("shared_id", [None, 7])
+def test_near_duplicates_of_a_shared_id(spark, monkeypatch, shared_id):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
+    texts = [[f"t{t}w{i}" for i in range(60)] for t in range(4)]
+    a, b, c, d = (" ".join(t) for t in texts)
+    near_a, near_b, near_d = (" ".join([*t[:-1], "edited"]) for t in (texts[0], texts[1], texts[3]))
+    shared = [(shared_id, t) for t in (a, b, c, d, near_d, d)]  # c resembles nothing, d and near_d each other
+    rows = [(5, near_a), (9, near_b), *shared]
+    low_a, low_b, own = (5, 7 if shared_id else 9, shared_id)
+    got = sorted(neardup.near_duplicates(docs_of(spark, rows)).collect(), key=str)
+    want = [
+        (5, low_a, 1), (9, low_b, 1), (shared_id, low_a, 1), (shared_id, low_b, 1), (shared_id, own, 0), *[(shared_id, own, 2)] * 3,
+    ]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    kept = [tuple(r) for r in neardup.drop_near_duplicates(docs_of(spark, rows)).select("doc_id", "text").collect()]
+    assert len(kept) == 4 and (5, near_a) in kept and (shared_id, c) in kept
+    assert ((shared_id, b) if shared_id else (9, near_b)) in kept
+    assert ((shared_id, d) in kept) != ((shared_id, near_d) in kept)
+
+
 def test_prefixes_are_shortened_to_the_target():
     assert neardup.prefix_depth(24, 0.8, 0.99999) == 4 and neardup.prefix_depth(24, 0.8, 0.5) == 8
     with pytest.raises(ValueError):
