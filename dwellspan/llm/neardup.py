@@ -1,9 +1,9 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash banding with exact verification.
 
 A document is the set of its five-word shingles (one shingle of all its words if it has fewer). Documents of
-equal sets are one node, so copies never meet each other. Each tree of the forest sorts the nodes into a prefix trie by
-its own MinHash values; matched prefixes are shortened from MAX_DEPTH values until pairs at the threshold meet in some tree
-with the target probability. Nodes that share such a prefix are candidates; candidates that hang together are verified
+equal sets are one node, so copies never meet each other. Each of TREES bands hashes
+a fixed number of its own MinHash values: the most, up to MAX_DEPTH, with which pairs at the threshold meet in some band with the
+target probability. It follows from the parameters alone; there are no sorted tries, and no data shortens a prefix. Nodes that share such a prefix are candidates; candidates that hang together are verified
 exactly, all with all, on their 64-bit shingle hashes.
 
 A group of candidates is cut into blocks of bounded rows and shingles; each pair of blocks is one task's work, which
