@@ -9,6 +9,8 @@ The text model has a fixed size (CELLS hashed trigrams per language). A text's l
 trigrams, as neighbouring trigrams aren't independent. Tables by host, domain, suffix and declared language stay
 tables; a host with a third of all pages is combined before its shuffle, and its join is split by adaptive execution.
 
+Text within <nav> and <footer> is left out, unless the page has no other.
+
 Nulls: a page without markup has no text and declares nothing, one without URL has an empty host; what is missing says
 nothing. Documents without text or language teach nothing; without any such document the language is null. Repeated
 pages are judged alike. Other columns are carried along; those with the names of the new columns are replaced."""
@@ -30,11 +32,14 @@ from dwellspan.session import materialise
 
 CELLS, SMOOTH, EVIDENCE, STRENGTH, MAX_LANGUAGES = 1 << 14, 0.5, 60.0, 5.0, 1000
 _DROP = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer)\b.*?</\1\s*>|<[^>]*>")
+_DROP_LESS = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>")
 _DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)")
 
 
 def visible_text(page: str) -> str:
-    return html.unescape(_DROP.sub(" ", page))
+    """Text outside of <nav> and <footer>, or theirs if there is no other."""
+    text = html.unescape(_DROP.sub(" ", page))
+    return text if text.strip() else html.unescape(_DROP_LESS.sub(" ", page))
 
 
 def declared_language(page: str) -> str:

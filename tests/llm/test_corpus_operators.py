@@ -328,6 +328,13 @@ def test_language_evidence(spark):
     assert {r["lang"] for r in langid.identify(pages, nothing).collect()} == {None}
 
 
+def test_language_of_text_in_navigation_only():
+    menu = "<nav>der Hund</nav><script>x = 1</script><style>p {}</style><!-- c --><footer>die Katze</footer>"
+    assert langid.visible_text(menu).split() == ["der", "Hund", "die", "Katze"]
+    assert langid.visible_text(f"{menu}<p>the dog</p>").split() == ["the", "dog"]
+    assert not langid.visible_text("<script>x</script><p> &nbsp; </p>").strip()
+
+
 def test_language_of_given_pages(spark):
     got = QUERIES["op7_langid"](spark, SMALL).toPandas()
     assert (got.lang == got.declared).mean() > 0.95 and got.confidence.between(0, 1).all()
