@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter
-from dwellspan.session import small_table
+from dwellspan.llm import bpe, chat, convtrie, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter
+from dwellspan.session import materialise, small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,3 +286,51 @@ def _(spark, d):
     model = langid.fit_text_model(table(spark, d, "documents").select("lang", "text"))
     judged = langid.identify(table(spark, d, "pages").select("page_id", "url", "html"), model)
     return judged.select("page_id", "host", "declared", "lang", "confidence")
+
+
+# ---- conversation prefix trie ------------------------------------------------------------------
+
+
+@query("op13_conversation_trie")
+def _(spark, d):
+    turns = materialise(convtrie.numbered_turns(table(spark, d, "conversations")), "turns")
+    return convtrie.conversation_trie(convtrie.rebuilt_turns(turns))
+
+
+ORACLES["op13_conversation_trie"] = r"""
+WITH RECURSIVE crc(byte, v, n) AS (
+  SELECT CAST(range AS BIGINT), CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL SELECT byte, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, n + 1 FROM crc WHERE n < 8),
+crc_table AS (SELECT list(v ORDER BY byte) AS step FROM crc WHERE n = 8),
+t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+    string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda v, x: xor(v // 256, step[xor(v % 256, x) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t), crc_table),
+u AS (
+  SELECT ids.c, 1 AS part, p, role, text FROM ids JOIN t ON t.c = base AND p <= h
+  UNION ALL SELECT ids.c, 2, p, role, text FROM ids JOIN t ON t.c = ids.c AND p > h),
+s AS (
+  SELECT ids.c, list(sha256(role) || sha256(text) ORDER BY part, p) FILTER (WHERE part IS NOT NULL) AS k,
+    list(octet_length(encode(text)) ORDER BY part, p) FILTER (WHERE part IS NOT NULL) AS b
+  FROM ids LEFT JOIN u ON u.c = ids.c GROUP BY ids.c),
+v AS (SELECT c, coalesce(len(k), 0) AS len, coalesce(k, []) AS k, coalesce(b, []) AS b FROM s),
+x AS (
+  SELECT c, d, len, sha256(array_to_string(k[1:d], '')) AS node, sha256(array_to_string(k[1:d - 1], '')) AS parent, coalesce(b[d], 0) AS bytes
+  FROM (SELECT *, unnest(range(0, len + 1)) AS d FROM v)),
+n AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, any_value(parent) AS parent, (count(*) - 1) * any_value(bytes) AS saved,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = len), '') AS ends FROM x GROUP BY node, d),
+k AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.node = k.parent AND n.d = k.d),
+a AS (
+  SELECT x.node, x.d, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM m JOIN x ON x.c = m.conv_id AND x.d <= m.d GROUP BY x.node, x.d)
+SELECT m.conv_id, m.d AS depth, n.conv_id AS parent_conv_id, m.n_convs, m.n_children, a.n_leaves,
+  CAST(a.saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN a ON a.node = m.node AND a.d = m.d LEFT JOIN n ON n.node = m.parent AND n.d = m.d - 1 AND m.d > 0
+"""
