@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, convtrie, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter
+from dwellspan.llm import bpe, chat, convtrie, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter, whitening
 from dwellspan.session import materialise, small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +288,14 @@ def _(spark, d):
     return judged.select("page_id", "host", "declared", "lang", "confidence")
 
 
+# ---- embedding whitening -----------------------------------------------------------------------
+
+
+@query("op11_whitening")
+def _(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
 # ---- conversation prefix trie ------------------------------------------------------------------
 
 
