@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, convtrie, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter, whitening
+from dwellspan.llm import bpe, chat, convtrie, decontaminate, langid, linededup, merkle, neardup, pieces, quality, sharding, urlfilter, whitening
 from dwellspan.session import materialise, small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -296,6 +296,21 @@ def _(spark, d):
     return whitening.whiten(table(spark, d, "embeddings"))
 
 
+# ---- SentencePiece encoding --------------------------------------------------------------------
+
+
+@query("op12_pieces")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs.withColumn("text_bytes", F.octet_length(F.coalesce("text", F.lit("")))), public_tokenizers.path(pieces.VOCABULARY), decoded="decoded")
+    return coded.select(
+        "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)) == F.col("text_bytes")).alias("spans_reach_end"),
+    )
+
+
 # ---- conversation prefix trie ------------------------------------------------------------------
 
 
