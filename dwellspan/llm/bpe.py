@@ -5,30 +5,34 @@ some token may still be growing since the place where the token before it ended.
 and (token before, t) is a pair that the merges leave apart, a new configuration starts at the root after t. A token sequence is
 what the merges give exactly when all its neighbours are such pairs, so one segmentation of each prefix survives.
 Sets of configurations, each with the tokens it has ahead of the others, are the states of the deterministic machine.
-They and their transitions are made when first needed and kept in tables of bounded size; tokens that all configurations
-share are emitted at once, so lookahead is at most the longest token.
+They and their transitions are made when first needed, in tables of `TABLE_BYTES`; when these are full, also within a match, all but
+the current state is forgotten. Tokens that all configurations share are emitted at once, so lookahead is at most the longest token.
 
 A match of the pattern that is itself a token is emitted whole, as the rank tables' users do. Texts are encoded match by
-match; frequent matches are remembered, in a bounded table as well. Decoding joins the tokens' bytes; a UTF-8 machine
-that holds at most three bytes turns a stream of tokens into text.
+match; frequent matches are remembered in tables of `MATCH_BYTES`. Decoding feeds the bytes of some thousand tokens at a time to a
+UTF-8 machine that holds back at most three bytes, and so turns a stream of tokens into text.
 
-Nulls: a null text is empty and has no tokens. Repeated rows each keep theirs. Other columns are carried along; those with the
-names of the new columns are replaced."""
+Nulls: a null text is empty and has no tokens; null tokens decode to an empty text, bytes that are no UTF-8 to U+FFFD. Repeated rows
+each keep theirs. Other columns are carried along; those with the names of the new columns are replaced."""
 
 from __future__ import annotations
 
 import base64
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from dwellspan.llm.text import CHUNK_BYTES, row_chunks, schema_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-STATES, MATCHES, PAIRS = 250_000, 300_000, 400_000  # entries of the tables of a worker, some 150 MB in all
+TABLE_BYTES = 40 << 20  # of states, transitions and pairs of a worker
+MATCH_BYTES = 40 << 20  # of remembered matches, the newer and the older ones
+DECODED = 4096  # tokens that are decoded at a time
 _made: dict[tuple[str, str], "Transducer"] = {}
 _bytes: dict[str, list[bytes]] = {}
 
@@ -86,14 +90,17 @@ class Transducer:
                     self.inner[node] = True
                 node = step
             self.token_at[node] = rank
-        self.apart: dict[int, bool] = {}
         self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.match_bytes = 0
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[tuple, int] = {}
         self.states: list[tuple] = []
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # 256 * state + byte: state, tokens emitted
+        self.apart: dict[int, bool] = {}
+        self.table_bytes = 0
         self._state(((0, -1, ()),))
 
     def _state(self, configurations: tuple) -> int:
@@ -101,19 +108,24 @@ class Transducer:
         if at is None:
             at = self.number[configurations] = len(self.states)
             self.states.append(configurations)
+            self.table_bytes += 200 + 190 * len(configurations)  # about what these objects take
         return at
 
     def stays_apart(self, before: int, token: int) -> bool:
         """Whether the merges leave this pair of tokens as it is."""
         known = self.apart.get(before << 20 | token)
         if known is None:
-            if len(self.apart) >= PAIRS:
-                self.apart.clear()
             a, b = self.token_bytes[before], self.token_bytes[token]
             known = self.apart[before << 20 | token] = merge(a + b, self.ranks) == [a, b]
+            self.table_bytes += 110
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """The transition, made and kept."""
+        if self.table_bytes > TABLE_BYTES:
+            here = self.states[state]
+            self._forget()
+            state = self._state(here)
         moved, ended, inner, child, token_at = [], None, self.inner, self.child.get, self.token_at
         for node, before, ahead in self.states[state]:
             step = child(node << 8 | byte)
@@ -135,38 +147,39 @@ class Transducer:
                 emitted = emitted[: next(i for i, t in enumerate(emitted) if i >= len(ahead) or ahead[i] != t)]
         if n := len(emitted):
             moved = [(node, before, ahead[n:]) for node, before, ahead in moved]
-        return self._state(tuple(moved)), emitted
+        step = self.steps[state << 8 | byte] = self._state(tuple(moved)), emitted
+        self.table_bytes += 230
+        return step
 
     def encode_match(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > STATES:
-            self._forget()
-        state, out, known = 0, [], self.steps.get
+        state, out = 0, []
         for byte in piece:
-            step = known(state << 8 | byte)
-            if step is None:
-                step = self.steps[state << 8 | byte] = self._step(state, byte)
-            state, emitted = step
+            state, emitted = self.steps.get(state << 8 | byte) or self._step(state, byte)
             if emitted:
                 out += emitted
         out += self.states[state][-1][2]  # the configuration at the root: all bytes are in tokens
         return out
 
     def _learn(self, match: str) -> bytes:
-        ids = self.encode_match(match.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(match) <= 64:
-            if len(self.remembered) >= MATCHES:
-                self.remembered.clear()
-            self.remembered[match] = packed
+        packed = self.older.get(match)
+        if packed is None:
+            ids = self.encode_match(match.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(match) > 64:
+                return packed
+        self.match_bytes += 230 + len(packed)
+        if self.match_bytes > MATCH_BYTES // 2:  # matches that don't come again go with the older table
+            self.remembered, self.older, self.match_bytes = {}, self.remembered, 0
+        self.remembered[match] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, learn = self.remembered.get, self._learn
-        return b"".join([known(match) or learn(match) for match in self.matches_of(text)])
+        learn = self._learn
+        return b"".join([self.remembered.get(match) or learn(match) for match in self.matches_of(text)])
 
 
 class Utf8Stream:
@@ -194,16 +207,20 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-def stream_decode(ids: Iterable[int], token_bytes: list[bytes]) -> Iterator[str]:
-    """Text as soon as its bytes are there."""
-    stream = Utf8Stream()
-    for token in ids:
-        if piece := stream.feed(token_bytes[token]):
+def stream_decode(ids: Iterable[int], token_bytes: list[bytes], at_once: int = 1) -> Iterator[str]:
+    """Text as soon as its bytes are there, from `at_once` tokens at a time."""
+    stream, coming = Utf8Stream(), iter(ids)
+    while some := list(islice(coming, at_once)):
+        if piece := stream.feed(b"".join([token_bytes[token] for token in some])):
             yield piece
     if piece := stream.end():
         yield piece
 
 
+def text_of(tokens: bytes, token_bytes: list[bytes]) -> str:
+    return "".join(stream_decode(memoryview(tokens).cast("I"), token_bytes, DECODED))
+
+
 def transducer(path: str, pattern: str) -> Transducer:
     """One for each vocabulary and Python worker."""
     if (path, pattern) not in _made:
@@ -218,41 +235,43 @@ def vocabulary(path: str) -> list[bytes]:
     return _bytes[path]
 
 
-def _schema(df: DataFrame, extra: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), extra])
-
-
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", tokens: str = "tokens", n_tokens: str = "n_tokens") -> DataFrame:
-    """`docs` with the ids of each text, packed as little-endian unsigned 32-bit integers, and their number."""
-    rows = docs.drop(tokens, n_tokens)
-    at, names = rows.columns.index(text), [*rows.columns, tokens, n_tokens]
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", tokens: str = "tokens", n_tokens: str = "n_tokens",
+    decoded: str | None = None,
+) -> DataFrame:
+    """`docs` with the ids of each text, packed as little-endian unsigned 32-bit integers, and their number; with `decoded`, also
+    the text that these ids decode to, in the same pass, so each core has one worker."""
+    new = [tokens, n_tokens, *([decoded] if decoded else [])]
+    rows = docs.drop(*new)
+    at, names = rows.columns.index(text), [*rows.columns, *new]
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path, pattern)
         for batch in batches:
-            packed = [machine.encode(value.as_py() or "") for value in batch.column(at)]
-            counts = [len(p) // 4 for p in packed]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(packed, pa.binary()), pa.array(counts, pa.int64())], names
-            )
+            for part in row_chunks(batch, at, CHUNK_BYTES):
+                packed = [machine.encode(value.as_py() or "") for value in part.column(at)]
+                made = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())]
+                if decoded:
+                    made.append(pa.array([text_of(p, machine.token_bytes) for p in packed], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
 
-    return rows.mapInArrow(run, _schema(rows, f"`{tokens}` binary, `{n_tokens}` bigint"))
+    added = f"`{tokens}` binary, `{n_tokens}` bigint" + (f", `{decoded}` string" if decoded else "")
+    return rows.mapInArrow(run, f"{schema_of(rows)}, {added}")
 
 
 def decode(encoded: DataFrame, path: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
-    """`encoded` with the bytes of the texts (`stream_decode` gives them as text, piece by piece)."""
+    """`encoded` with the texts of its ids."""
     rows = encoded.drop(decoded)
     at, names = rows.columns.index(tokens), [*rows.columns, decoded]
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_bytes = vocabulary(path)
         for batch in batches:
-            joined = [
-                b"".join([token_bytes[i] for i in np.frombuffer(value.as_py() or b"", "<u4").tolist()]) for value in batch.column(at)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined, pa.binary())], names)
+            for part in row_chunks(batch, at, CHUNK_BYTES):
+                texts = [text_of(value.as_py() or b"", token_bytes) for value in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
-    return rows.mapInArrow(run, _schema(rows, f"`{decoded}` binary"))
+    return rows.mapInArrow(run, f"{schema_of(rows)}, `{decoded}` string")
 
 
 def ids_of(tokens: bytes) -> np.ndarray:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dwellspan.llm.text import CHUNK_BYTES
+from dwellspan.llm.text import CHUNK_BYTES, row_chunks, schema_of
 
 VOCABULARY = "piece_bpe_32k.model"
 WORDS_BYTES = 64 << 20  # of a worker's tables of words, the newer and the older one
@@ -392,18 +392,6 @@ def pieces(path: str) -> Pieces:
     return _made[path]
 
 
-def chunks(column: pa.Array, size_of, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """(first row, end row) of consecutive rows of at most `limit` bytes together; a larger one comes alone."""
-    row = 0
-    while row < len(column):
-        end, held = row, 0
-        while end < len(column) and (end == row or held + size_of(column[end]) <= limit):
-            held += size_of(column[end])
-            end += 1
-        yield row, end
-        row = end
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.empty(0)
@@ -423,17 +411,15 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = pieces(path)
         for batch in batches:
-            texts = batch.column(at)
-            for row, end in chunks(texts, lambda value: value.as_buffer().size if value.is_valid else 0):
-                coded = [machine.encode(value.as_py() or "") for value in texts[row:end]]
+            for part in row_chunks(batch, at, CHUNK_BYTES):
+                coded = [machine.encode(value.as_py() or "") for value in part.column(at)]
                 made = [_lists([c[i] for c in coded]) for i in range(3)]
                 if decoded:
                     made.append(pa.array([machine.decode(c[0]) for c in coded], pa.string()))
-                yield pa.RecordBatch.from_arrays([*batch.slice(row, end - row).columns, *made], names)
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
 
     added = ", ".join([*(f"`{n}` array<int>" for n in new[:3]), *([f"`{decoded}` string"] if decoded else [])])
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{kept}, {added}")
+    return rows.mapInArrow(run, f"{schema_of(rows)}, {added}")
 
 
 def decode(encoded: DataFrame, path: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
@@ -444,10 +430,8 @@ def decode(encoded: DataFrame, path: str, tokens: str = "tokens", decoded: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = pieces(path)
         for batch in batches:
-            lists = batch.column(at)
-            for row, end in chunks(lists, lambda value: 8 * len(value.values) if value.is_valid else 0):
-                texts = [machine.decode(np.array(value.as_py() or [], np.int64)) for value in lists[row:end]]
-                yield pa.RecordBatch.from_arrays([*batch.slice(row, end - row).columns, pa.array(texts, pa.string())], names)
+            for part in row_chunks(batch, at, CHUNK_BYTES):
+                texts = [machine.decode(np.array(ids.as_py() or [], np.int64)) for ids in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{kept}, `{decoded}` string")
+    return rows.mapInArrow(run, f"{schema_of(rows)}, `{decoded}` string")

@@ -10,10 +10,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20  # numpy needs some fifty times as much for a moment
+CHUNK_BYTES = 1 << 18  # numpy needs some fifty times as much for a moment
 UPPER, LOWER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -38,6 +39,25 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
+def schema_of(df) -> str:
+    """The columns of `df` as a schema string."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def row_chunks(batch: pa.RecordBatch, at: int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows whose values in column `at` have at most `limit` bytes together; a larger value comes alone. An entry of a
+    list counts as the 32 bytes of a Python integer."""
+    column = batch.column(at)
+    listed = pa.types.is_list(column.type)
+    size = pc.fill_null(pc.list_value_length(column) if listed else pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    size = size.astype(np.int64) * (32 if listed else 1)
+    until, row = np.cumsum(size), 0
+    while row < len(size):
+        end = max(row + 1, int(np.searchsorted(until, until[row] - size[row] + limit, "right")))
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows of at most `limit` bytes; a longer text comes alone."""
     if isinstance(column, pa.ChunkedArray):

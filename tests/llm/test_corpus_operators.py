@@ -278,14 +278,41 @@ def test_bpe_equals_the_merges(machine, monkeypatch):
     parts = ["a", "b", "e", "é", "ß", "漢", " ", "\n", "!", "1", "'s", "\u0301", "\U0001F600", "the", "ing", "%%%", "AAAA", "\x00"]
     texts = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(3000)]
     texts += ["a" * 5000, "=" * 3000, " " * 2000, "é" * 999, "\U0001F600" * 300, LONG, ""]
-    for states in (bpe.STATES, 50):  # 50: the lazy tables are forgotten all the time
-        monkeypatch.setattr(bpe, "STATES", states)
+    for table, remembered in ((bpe.TABLE_BYTES, bpe.MATCH_BYTES), (20_000, 2_000)):  # small: forgotten all the time
+        monkeypatch.setattr(bpe, "TABLE_BYTES", table)
+        monkeypatch.setattr(bpe, "MATCH_BYTES", remembered)
         machine.remembered.clear()
+        machine.older.clear()
         for text in texts:
             assert bpe.ids_of(machine.encode(text)).tolist() == judge.encode_ordinary(text)
     ids = bpe.ids_of(machine.encode(texts[0] + "漢字 \U0001F600é"))
-    pieces = list(bpe.stream_decode(ids.tolist(), machine.token_bytes))
-    assert "".join(pieces) == texts[0] + "漢字 \U0001F600é"
+    for at_once in (1, 3, 1000):
+        pieces = list(bpe.stream_decode(ids.tolist(), machine.token_bytes, at_once))
+        assert "".join(pieces) == texts[0] + "漢字 \U0001F600é"
+
+
+def test_bpe_tables_are_bounded_within_a_match(machine, monkeypatch):
+    import tiktoken
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 4 << 20)
+    rng = random.Random(9)
+    match = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß", k=2_000_000))  # one match of the pattern
+    machine._forget()
+    largest, step = 0, machine._step
+
+    def watched(state, byte):
+        nonlocal largest
+        out = step(state, byte)
+        largest = max(largest, machine.table_bytes)
+        return out
+
+    monkeypatch.setattr(machine, "_step", watched)
+    got = machine.encode(match)
+    assert largest < (4 << 20) + 100_000 and bpe.text_of(got, machine.token_bytes) == match
+    judge = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=machine.ranks, special_tokens={})
+    head = match[:20_000]  # the other library is too slow on the whole
+    assert bpe.ids_of(machine.encode(head)).tolist() == judge.encode_ordinary(head)
 
 
 def test_utf8_stream_holds_unfinished_code_points():
@@ -303,10 +330,28 @@ def test_bpe_round_trip(spark, hard, empty):
     vocabulary = public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN
     back = bpe.decode(bpe.encode(hard, *vocabulary), vocabulary[0])
     rows = back.select("text", "decoded", "n_tokens", F.octet_length("tokens").alias("n")).collect()
-    assert len(rows) == len(HARD) and all((r["text"] or "").encode() == bytes(r["decoded"]) and r["n"] == 4 * r["n_tokens"] for r in rows)
+    assert len(rows) == len(HARD) and all((r["text"] or "") == r["decoded"] and r["n"] == 4 * r["n_tokens"] for r in rows)
+    once = bpe.encode(hard, *vocabulary, decoded="score").select("text", "score").collect()
+    assert all((r["text"] or "") == r["score"] for r in once)
     assert bpe.encode(empty, *vocabulary).count() == 0
 
 
+def test_bpe_query_digests_equal_the_library(spark):
+    import numpy as np
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    judge = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = QUERIES["op6_bpe"](spark, SMALL).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = judge.encode_ordinary(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(judge.decode_bytes(ids)).hexdigest()
+
+
 # ---- language ----------------------------------------------------------------------------------
 
 
