@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspan.llm import bpe, decontaminate, linededup, neardup, quality
+from dwellspan.llm.text import free_name
 from dwellspan.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -44,8 +45,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the token ids of each text."""
-    return bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
+    """Adds the token ids of each text, and stops if they don't decode to the text."""
+    back = free_name(docs, "back")
+    coded = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN, decoded=back)
+    same = F.col(back) == F.coalesce("text", F.lit(""))
+    checked = F.when(same, F.col("tokens")).otherwise(F.raise_error(F.lit("a text doesn't come back from its tokens")))
+    return coded.withColumn("tokens", checked).drop(back)
 
 
 STAGES: list[tuple[str, Stage]] = [
