@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from dwellspan.llm.text import CHUNK_BYTES, row_chunks, schema_of
+from dwellspan.llm.text import add_in_arrow
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 TABLE_BYTES = 40 << 20  # of states, transitions and pairs of a worker
@@ -241,37 +241,25 @@ def encode(
 ) -> DataFrame:
     """`docs` with the ids of each text, packed as little-endian unsigned 32-bit integers, and their number; with `decoded`, also
     the text that these ids decode to, in the same pass, so each core has one worker."""
-    new = [tokens, n_tokens, *([decoded] if decoded else [])]
-    rows = docs.drop(*new)
-    at, names = rows.columns.index(text), [*rows.columns, *new]
+    new = {tokens: "binary", n_tokens: "bigint"} | ({decoded: "string"} if decoded else {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array) -> list[pa.Array]:
         machine = transducer(path, pattern)
-        for batch in batches:
-            for part in row_chunks(batch, at, CHUNK_BYTES):
-                packed = [machine.encode(value.as_py() or "") for value in part.column(at)]
-                made = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())]
-                if decoded:
-                    made.append(pa.array([text_of(p, machine.token_bytes) for p in packed], pa.string()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
+        packed = [machine.encode(value.as_py() or "") for value in texts]
+        made = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())]
+        return made + ([pa.array([text_of(p, machine.token_bytes) for p in packed], pa.string())] if decoded else [])
 
-    added = f"`{tokens}` binary, `{n_tokens}` bigint" + (f", `{decoded}` string" if decoded else "")
-    return rows.mapInArrow(run, f"{schema_of(rows)}, {added}")
+    return add_in_arrow(docs.drop(*new), text, run, new)
 
 
 def decode(encoded: DataFrame, path: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
     """`encoded` with the texts of its ids."""
-    rows = encoded.drop(decoded)
-    at, names = rows.columns.index(tokens), [*rows.columns, decoded]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(packed: pa.Array) -> list[pa.Array]:
         token_bytes = vocabulary(path)
-        for batch in batches:
-            for part in row_chunks(batch, at, CHUNK_BYTES):
-                texts = [text_of(value.as_py() or b"", token_bytes) for value in part.column(at)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
+        return [pa.array([text_of(value.as_py() or b"", token_bytes) for value in packed], pa.string())]
 
-    return rows.mapInArrow(run, f"{schema_of(rows)}, `{decoded}` string")
+    return add_in_arrow(encoded.drop(decoded), tokens, run, {decoded: "string"})
 
 
 def ids_of(tokens: bytes) -> np.ndarray:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dwellspan.llm.text import CHUNK_BYTES, row_chunks, schema_of
+from dwellspan.llm.text import add_in_arrow
 
 VOCABULARY = "piece_bpe_32k.model"
 WORDS_BYTES = 64 << 20  # of a worker's tables of words, the newer and the older one
@@ -152,13 +152,18 @@ class Pieces:
                 self.bytes_of.append((self.unknown_text if i == self.unknown else text.replace(BLANK, " ")).encode())
         self.size = np.array([-1 if k == BYTE else len(t.encode()) for t, k in zip(self.texts, self.kinds)])
         self.byte_of = np.array([int(t[3:5], 16) if k == BYTE else 0 for t, k in zip(self.texts, self.kinds)])
-        self.characters = {t: i for t, i in self.id_of.items() if len(t) == 1}
-        self.pair = {}  # ids of two neighbours: rank and id of what they merge to
+        # characters that only longer pieces have get numbers after the ids
+        self.characters = {c: self.id_of.get(c) for t in self.id_of for c in t}
+        for c, i in self.characters.items():
+            if i is None:
+                self.characters[c] = len(self.texts) + ord(c)
+        known = self.id_of | self.characters
+        self.pair = {}  # numbers of two neighbours: rank and id of what they merge to
         for text, i in self.id_of.items():
             for cut in range(1, len(text)):
-                a, b = self.id_of.get(text[:cut]), self.id_of.get(text[cut:])
+                a, b = known.get(text[:cut]), known.get(text[cut:])
                 if a is not None and b is not None:
-                    self.pair[a << 20 | b] = self.rank[text] << 20 | i
+                    self.pair[a << 24 | b] = self.rank[text] << 24 | i
         ranks = [self.rank[text] for text in self.id_of if len(text) > 1]
         self.tied = {r for r, n in Counter(ranks).items() if n > 1}
         self.control = np.array([k == CONTROL for k in self.kinds])
@@ -279,17 +284,17 @@ class Pieces:
         return out if not split else [p for piece in out for p in self._used(piece, split)]
 
     def _merged_short(self, word: str) -> list[int]:
-        """The same for a short word and a model without unused pieces, as ids; negative ones are characters without a piece."""
+        """The same for a short word and a model without unused pieces, as ids; others are those of characters without a piece."""
         parts, pair, never = [self.characters.get(c, -1 - ord(c)) for c in word], self.pair.get, 1 << 60
-        places = [pair(a << 20 | b, never) for a, b in zip(parts, parts[1:])]
+        places = [pair(a << 24 | b, never) for a, b in zip(parts, parts[1:])]
         while places and (best := min(places)) != never:
-            at = places.index(best) if best >> 20 not in self.tied else [v >> 20 for v in places].index(best >> 20)
-            merged = places.pop(at) & 0xFFFFF
+            at = places.index(best) if best >> 24 not in self.tied else [v >> 24 for v in places].index(best >> 24)
+            merged = places.pop(at) & 0xFFFFFF
             parts[at : at + 2] = [merged]
             if at:
-                places[at - 1] = pair(parts[at - 1] << 20 | merged, never)
+                places[at - 1] = pair(parts[at - 1] << 24 | merged, never)
             if at < len(places):
-                places[at] = pair(merged << 20 | parts[at + 1], never)
+                places[at] = pair(merged << 24 | parts[at + 1], never)
         return parts
 
     def _used(self, piece: str, split: dict[str, tuple[str, str]]) -> list[str]:
@@ -307,10 +312,14 @@ class Pieces:
         return [word[a:b] for a, b in zip(edges, edges[1:])]
 
     def _ids_of(self, piece: str) -> list[int]:
+        """The id of a piece; of a character without one its bytes' ids, or without these a negative number."""
         number = self.id_of.get(piece)
         if number is not None:
             return [number]
-        return [self.byte_id[b] for b in piece.encode()] if self.fallback else [self.unknown]
+        return [self.byte_id[b] for b in piece.encode()] if self.fallback else [-1 - ord(piece)]
+
+    def _character(self, number: int) -> str:
+        return chr(-1 - number if number < 0 else number - len(self.texts))
 
     def _learn(self, word: str) -> bytes:
         packed = self.older.get(word)
@@ -322,8 +331,8 @@ class Pieces:
                 ids = [i for piece in self._merged(word) for i in self._ids_of(piece)]
             else:
                 ids = self._merged_short(word)
-                if min(ids) < 0:
-                    ids = [x for i in ids for x in ([i] if i >= 0 else self._ids_of(chr(-1 - i)))]
+                if min(ids) < 0 or max(ids) >= len(self.texts):
+                    ids = [x for i in ids for x in ([i] if 0 <= i < len(self.texts) else self._ids_of(self._character(i)))]
             packed = array("i", ids).tobytes()
         self.known_bytes += 200 + len(packed)  # about what an entry takes
         if self.known_bytes > WORDS_BYTES // 2:  # words that are not used again go with the older table
@@ -331,17 +340,16 @@ class Pieces:
         self.known[word] = packed
         return packed
 
-    def _sizes(self, ids: np.ndarray, normal: str) -> np.ndarray:
+    def _sizes(self, ids: np.ndarray) -> np.ndarray:
         """How many normalised bytes each id takes: of a character in bytes, the last one takes all."""
-        sizes = self.size[ids]
+        sizes = self.size[np.maximum(ids, 0)]
         if (at := np.flatnonzero(sizes < 0)).size:
             lead = self.byte_of[ids[at]]
             need = np.where(lead < 0x80, 1, np.where(lead < 0xC0, 0, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))))
             sizes[at] = 0
             sizes[at[need > 0] + need[need > 0] - 1] = need[need > 0]
-        if not self.fallback and (at := np.flatnonzero(ids == self.unknown)).size:
-            strange = [len(c.encode()) for c in normal if c not in self.characters]
-            sizes[at] = strange
+        if not self.fallback and (strange := ids < 0).any():
+            sizes[strange] = 1 + np.searchsorted([0x80, 0x800, 0x10000], -1 - ids[strange], "right")
         return sizes
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -354,9 +362,10 @@ class Pieces:
             else:
                 parts += [self.known.get(word) or learn(word) for word in self.words_of(stretch) if word]
         ids = np.frombuffer(b"".join(parts), "<i4")
-        ends = np.cumsum(self._sizes(ids, normal))
+        ends = np.cumsum(self._sizes(ids))
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         if not self.fallback and len(ids):  # neighbouring unknown symbols are one
+            ids = np.where(ids < 0, self.unknown, ids)
             first = np.ones(len(ids), dtype=bool)
             first[1:] = (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)
             last = np.append(first[1:], True)
@@ -404,34 +413,22 @@ def encode(
 ) -> DataFrame:
     """`docs` with the ids of each text and the bytes [begin, end) of the text that each stands for; with `decoded`, also the
     text that the ids decode to (in the same pass, so a worker holds one table)."""
-    new = [tokens, begins, ends, *([decoded] if decoded else [])]
-    rows = docs.drop(*new)
-    at, names = rows.columns.index(text), [*rows.columns, *new]
+    new = {tokens: "array<int>", begins: "array<int>", ends: "array<int>"} | ({decoded: "string"} if decoded else {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array) -> list[pa.Array]:
         machine = pieces(path)
-        for batch in batches:
-            for part in row_chunks(batch, at, CHUNK_BYTES):
-                coded = [machine.encode(value.as_py() or "") for value in part.column(at)]
-                made = [_lists([c[i] for c in coded]) for i in range(3)]
-                if decoded:
-                    made.append(pa.array([machine.decode(c[0]) for c in coded], pa.string()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
+        coded = [machine.encode(value.as_py() or "") for value in texts]
+        made = [_lists([c[i] for c in coded]) for i in range(3)]
+        return made + ([pa.array([machine.decode(c[0]) for c in coded], pa.string())] if decoded else [])
 
-    added = ", ".join([*(f"`{n}` array<int>" for n in new[:3]), *([f"`{decoded}` string"] if decoded else [])])
-    return rows.mapInArrow(run, f"{schema_of(rows)}, {added}")
+    return add_in_arrow(docs.drop(*new), text, run, new)
 
 
 def decode(encoded: DataFrame, path: str, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
     """`encoded` with the texts of its ids."""
-    rows = encoded.drop(decoded)
-    at, names = rows.columns.index(tokens), [*rows.columns, decoded]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(lists: pa.Array) -> list[pa.Array]:
         machine = pieces(path)
-        for batch in batches:
-            for part in row_chunks(batch, at, CHUNK_BYTES):
-                texts = [machine.decode(np.array(ids.as_py() or [], np.int64)) for ids in part.column(at)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
+        return [pa.array([machine.decode(np.array(ids.as_py() or [], np.int64)) for ids in lists], pa.string())]
 
-    return rows.mapInArrow(run, f"{schema_of(rows)}, `{decoded}` string")
+    return add_in_arrow(encoded.drop(decoded), tokens, run, {decoded: "string"})

@@ -5,7 +5,7 @@ A word is a maximal run of ASCII digits, ASCII letters (A-Z lower-cased) and byt
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,6 +58,20 @@ def row_chunks(batch: pa.RecordBatch, at: int, limit: int = CHUNK_BYTES) -> Iter
         row = end
 
 
+def add_in_arrow(rows, column: str, run: Callable[[pa.Array], list[pa.Array]], new: dict[str, str]):
+    """`rows` with new columns (name: type) that `run` makes of the values of one column, some at a time. Any column names do."""
+    at, plain = rows.columns.index(column), rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    names = [*plain.columns, *[f"n{i}" for i in range(len(new))]]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_chunks(batch, at):
+                yield pa.RecordBatch.from_arrays([*part.columns, *run(part.column(at))], names)
+
+    added = ", ".join(f"n{i} {kind}" for i, kind in enumerate(new.values()))
+    return plain.mapInArrow(work, f"{schema_of(plain)}, {added}").toDF(*rows.columns, *new)
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows of at most `limit` bytes; a longer text comes alone."""
     if isinstance(column, pa.ChunkedArray):
