@@ -1,32 +1,29 @@
 """Second-order boosted trees as Spark jobs (Chen & Guestrin 2016).
 
-Features are binned once and kept in a compact table. Each level of a tree is one job: rows are routed
-through the tree grown so far, gradients are summed per (node, feature, bin) with map-side combine, and
-the best split per node is picked from those sums. Only splits reach the driver (one row per open node);
-the shuffled histogram has at most nodes x features x bins rows, whatever the number of listings.
+Features are binned once, into a table bucketed by row; trees are grown over it as tables (`grow.py`). The driver sees a few
+counts per level, and the nodes when the model is done.
 """
 
 from __future__ import annotations
 
-import json
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dwellspan.functions.columns import hash_uniform, logcosh_quantile
+from dwellspan.learning.grow import LEAST_CHANGE, MISSING, NODES, best_splits, grow_tree, level_histogram  # noqa: F401
 from dwellspan.learning.trees import TreeModel, tree_frame
 from dwellspan.operators.ordered import quantiles
-from dwellspan.session import discard, materialise, materialise_observed, new_path
+from dwellspan.session import discard, materialise, materialise_bucketed, new_path
 
-MISSING = -1
-# Fixed value: the least loss reduction at which the usual libraries try a split.
-LEAST_CHANGE = 1e-6
-# Levels that rows walk down within one job before their place is written.
-WALK_LEVELS = 5
+# Rows of a bucket: a join by row holds a bucket's margins and places in memory, some 50 bytes a row.
+BUCKET_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -51,17 +48,18 @@ class BoostParams:
     metric: str = "mae"
     patience: int | None = None
     seed: int = 0
-    checkpoint_every: int = 1
 
 
 @dataclass(frozen=True)
 class BinnedTable:
-    """(key, split, y, b0, b1, ...) in the work folder, and the bin edges per feature."""
+    """(row, key, split, y, b) in the work folder, bucketed by `row`, a number given when it was written; b is the array of the
+    features' bins. And the bin edges per feature."""
 
     rows: DataFrame
     features: tuple[str, ...]
     edges: tuple[tuple[float, ...], ...]
     key: str
+    buckets: int
 
 
 def objective_columns(params: BoostParams, y: Column, margin: Column) -> tuple[Column, Column]:
@@ -132,103 +130,23 @@ def bin_table(
         handleInvalid="keep",
     )
     bins = [
-        F.when(F.isnan(n), F.lit(MISSING)).otherwise(F.col(f"b{i}").cast("int") if edges[i] else F.lit(0)).alias(f"b{i}")
+        F.when(F.isnan(n), F.lit(MISSING)).otherwise(F.col(f"b{i}").cast("int") if edges[i] else F.lit(0))
         for i, n in enumerate(names)
     ]
-    rows = (bucketizer.transform(named) if cut else named).select(key, "split", "y", *bins)
-    # Every level of every tree reads this table again, so it is worth one shuffle into even parts.
-    rows = rows.repartition(key)
-    return BinnedTable(materialise(rows, "binned"), features, edges, key)
-
-
-def level_histogram(rows: DataFrame, features: Sequence[int]) -> DataFrame:
-    """Sums of gradient and hessian, and counts, per (node, feature, bin) of rows (node, g, h, b0, ...).
-
-    A row is unfolded into one cell per feature inside the stage and added up before the shuffle. (An
-    Arrow version with one bincount per feature was measured slower: the hand-over costs more than it
-    saves.)"""
-    cells = ", ".join(f"struct({f} AS feature, b{f} AS bin)" for f in features)
-    return (
-        rows.selectExpr("node", "g", "h", f"inline(array({cells}))")
-        .groupBy("node", "feature", "bin")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("c"))
+    binned = (bucketizer.transform(named) if cut else named).select(
+        F.col(key).alias("key"), "split", "y", F.array(*bins).cast("array<smallint>").alias("b"),
     )
+    # Rows get their number where they are first written, so it stays the same whatever is computed again.
+    numbered = materialise(binned.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    buckets = _buckets(numbered)
+    rows, _ = materialise_bucketed(numbered.select("row", "key", "split", "y", "b"), "binned", "row", buckets)
+    return BinnedTable(rows, features, edges, key, buckets)
 
 
-def best_splits(hist: DataFrame, params: BoostParams) -> DataFrame:
-    """Per node the split with the largest gain, both ways of sending missing values tried.
-
-    One row per node: feature, bin (goes left up to and including it), default_left, gain, sums of the
-    node (g, h, c) and of its left child (gl, hl, cl). The gain is the loss reduction left + right - parent;
-    it is null if no split is allowed. `gamma` counts later, when the grown tree is pruned."""
-
-    cell = "OVER (PARTITION BY node, feature)"
-    upto = "OVER (PARTITION BY node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING)"
-    sums = hist.selectExpr(
-        "node", "feature", "bin",
-        *[f"sum({x}) {cell} AS {x}" for x in "ghc"],
-        *[f"sum(if(bin = {MISSING}, {x}, 0)) {cell} AS {x}_missing" for x in "ghc"],
-        *[f"sum(if(bin = {MISSING}, 0, {x})) {upto} AS {x}_known" for x in "ghc"],
-    )
-    sides = sums.selectExpr(
-        "*", "explode(if(c_missing > 0, array(false, true), array(false))) AS default_left"
-    ).selectExpr("*", *[f"{x}_known + if(default_left, {x}_missing, 0) AS {x}l" for x in "ghc"])
-
-    def score(g: str, h: str) -> str:
-        kept = f"greatest(abs({g}) - {float(params.reg_alpha)!r}D, 0D)"
-        return f"{kept} * {kept} / nullif({h} + {float(params.reg_lambda)!r}D, 0D)"
-
-    weight = f"{float(params.min_child_weight)!r}D"
-    allowed = f"bin <> {MISSING} AND cl > 0 AND c > cl AND hl >= {weight} AND h - hl >= {weight}"
-    change = f"{score('gl', 'hl')} + {score('g - gl', 'h - hl')} - {score('g', 'h')}"
-    gain = f"if({allowed}, {change}, NULL)"
-    payload = "default_left, g, h, c, gl, hl, cl"
-    best = sides.selectExpr(
-        "node", f"struct({gain} AS gain, -feature AS minus_feature, -bin AS minus_bin, {payload}) AS s"
-    ).groupBy("node").agg(F.max("s").alias("s"))
-    return best.selectExpr(
-        "node", "-s.minus_feature AS feature", "-s.minus_bin AS bin", "s.gain AS gain",
-        *[f"s.{c} AS {c}" for c in payload.split(", ")],
-    )
-
-
-LEVEL = "s int, f array<int>, b array<int>, l array<int>, r array<int>, d array<boolean>"
-
-
-def _route(nodes: list[dict], levels: Sequence[range], features: Sequence[int]) -> str:
-    """SQL for the node a row stands at after the given levels of a tree.
-
-    The levels are one literal, folded at planning, and the way down is a fold over it, so the plan does
-    not grow with the depth. The nodes of a level are numbered in a row; a row that stopped higher up
-    stays where it is."""
-    names = {"f": "feature", "b": "bin", "l": "left", "r": "right", "d": "default_left"}
-    steps = [{"s": v.start, **{k: [nodes[i][n] for i in v] for k, n in names.items()}} for v in levels]
-    at = {k: f"get(v.{k}, n - v.s)" for k in names}
-    bins = f"get(array({', '.join(f'b{f}' for f in features)}), {at['f']})"
-    left = f"if({bins} = {MISSING}, {at['d']}, {bins} <= {at['b']})"
-    step = f"if(coalesce({at['f']}, -1) < 0, n, if({left}, {at['l']}, {at['r']}))"
-    return f"aggregate(from_json('{json.dumps(steps)}', 'array<struct<{LEVEL}>>'), 0, (n, v) -> {step})"
-
-
-def _walk(rows: DataFrame, nodes: list[dict], levels: Sequence[range]) -> DataFrame:
-    """Move the column `node` of rows down the given levels, one generated projection per level. Faster
-    per row than `_route`, but only for a few levels, and with no filter on `node` above it: pushed
-    down, that would repeat the whole way for every use of `node` in it."""
-    others = [c for c in rows.columns if c != "node"]
-    kinds = {"feature": "int", "bin": "int", "left": "int", "right": "int", "default_left": "boolean"}
-    for level in levels:
-        at = {
-            n: f"get(from_json('{json.dumps([nodes[i][n] for i in level])}', 'array<{kind}>'), node - {level.start})"
-            for n, kind in kinds.items()
-        }
-        used = sorted({nodes[i]["feature"] for i in level} - {-1})
-        pick = "CASE _f " + " ".join(f"WHEN {f} THEN b{f}" for f in used) + " END"
-        rows = rows.selectExpr(*others, "node", f"{at['feature']} AS _f").selectExpr(
-            *others, "node", "_f", f"{pick} AS _bin"
-        )
-        left = f"if(_bin = {MISSING}, {at['default_left']}, _bin <= {at['bin']})"
-        rows = rows.selectExpr(*others, f"if(_f >= 0, if({left}, {at['left']}, {at['right']}), node) AS node")
-    return rows
+def _buckets(rows: DataFrame) -> int:
+    """A bucket has at most BUCKET_ROWS rows; small tables are spread over the cores."""
+    count = rows.count()
+    return max(-(-count // BUCKET_ROWS), min(rows.sparkSession.sparkContext.defaultParallelism, -(-count // 2500)), 1)
 
 
 def row_seed(params: BoostParams, tree: int) -> str:
@@ -245,82 +163,33 @@ def sampled_columns(features: list[int], fraction: float, rng: random.Random) ->
     return sorted(rng.sample(features, max(1, int(fraction * len(features))))) if fraction < 1 else features
 
 
-def _leaf_value(node: dict, params: BoostParams) -> float:
-    shrunk = max(abs(node["g"]) - params.reg_alpha, 0.0) * (1 if node["g"] > 0 else -1)
-    weight = node["h"] + params.reg_lambda
-    return -params.eta * shrunk / weight if weight else 0.0
-
+def leaf_sql(params: BoostParams) -> Callable[[str, str], str]:
+    """Value of a leaf from its sums of gradient and hessian."""
+    alpha, lambda_, eta = (f"{float(v)!r}D" for v in (params.reg_alpha, params.reg_lambda, params.eta))
+    return lambda g, h: f"coalesce(-{eta} * sign({g}) * greatest(abs({g}) - {alpha}, 0D) / nullif({h} + {lambda_}, 0D), 0D)"
 
-def grow_tree(
-    rows: DataFrame, params: BoostParams, n_features: int, rng: random.Random
-) -> tuple[list[dict], list[range]]:
-    """One tree over rows (g, h, b0, ...), level by level, then pruned: its nodes, and which of them each level has.
 
-    A split is kept if its gain reaches `gamma` or a split below it is kept. Every WALK_LEVELS levels the rows are written with their node, and those that have come to rest are
-    left out from then on."""
-    new = lambda: {"feature": -1, "bin": 0, "left": 0, "right": 0, "default_left": False, "gain": 0.0}
-    nodes, levels, level = [new()], [], range(1)
+def level_features(params: BoostParams, n_features: int, tree: int) -> tuple[list[int], list[list[int]]]:
+    """Features of a tree, and those that each of its levels tries."""
+    rng = column_draws(params, tree)
     chosen = sampled_columns(list(range(n_features)), params.colsample_bytree, rng)
-    standing, walked, written = rows.withColumn("node", F.lit(0)), 0, []
-    while len(level) and len(levels) < params.max_depth:
-        if len(levels) - walked == WALK_LEVELS:
-            path = new_path(rows.sparkSession, "standing")
-            moved = materialise(_walk(standing, nodes, levels[walked:]), "standing", path)
-            standing, walked = moved.where(F.col("node") >= level.start), len(levels)
-            written.append(path)
-        features = sampled_columns(chosen, params.colsample_bylevel, rng)
-        placed = _walk(standing, nodes, levels[walked:])
-        found = best_splits(level_histogram(placed, features), params).collect()
-        for split in sorted((s for s in found if s["node"] in level), key=lambda s: s["node"]):
-            node = nodes[split["node"]]
-            node.update(g=split["g"], h=split["h"])
-            if split["gain"] is None or split["gain"] <= LEAST_CHANGE:
-                continue
-            node.update(
-                feature=split["feature"], bin=split["bin"], left=len(nodes), right=len(nodes) + 1,
-                default_left=split["default_left"], gain=split["gain"],
-            )
-            nodes.append({**new(), "g": split["gl"], "h": split["hl"]})
-            nodes.append({**new(), "g": split["g"] - split["gl"], "h": split["h"] - split["hl"]})
-        grown = range(level.stop, len(nodes))
-        if len(grown):
-            levels.append(level)
-        level = grown
-    for path in written:
-        discard(rows.sparkSession, path)
-    nodes, levels = _pruned(nodes, params.gamma)
-    for node in nodes:
-        node["leaf"] = _leaf_value(node, params) if node["feature"] < 0 and "g" in node else 0.0
-    return nodes, levels
-
-
-def _pruned(nodes: list[dict], gamma: float) -> tuple[list[dict], list[range]]:
-    """Undo weak splits from the bottom up; number what is left by level. Levels: those that some node splits in."""
-    for node in reversed(nodes):  # children come after their parents
-        if node["feature"] >= 0 and node["gain"] < gamma:
-            if nodes[node["left"]]["feature"] < 0 and nodes[node["right"]]["feature"] < 0:
-                node.update(feature=-1, bin=0, left=0, right=0, default_left=False, gain=0.0)
-    kept, levels, level = [], [], [nodes[0]]
-    while level:
-        start, below = len(kept), []
-        for node in level:
-            kept.append(node)
-            if node["feature"] >= 0:
-                first = start + len(level) + len(below)
-                below += [nodes[node["left"]], nodes[node["right"]]]
-                node.update(left=first, right=first + 1)
-        if below:
-            levels.append(range(start, start + len(level)))
-        level = below
-    return kept, levels
-
-
-def _threshold(node: dict, edges: Sequence[Sequence[float]]) -> float:
-    """Values below it go left; a split of the last bin parts the known values from the missing ones."""
-    if node["feature"] < 0:
-        return 0.0
-    own = edges[node["feature"]]
-    return own[node["bin"]] if node["bin"] < len(own) else float("inf")
+    return chosen, [sampled_columns(chosen, params.colsample_bylevel, rng) for _ in range(params.max_depth)]
+
+
+def model_nodes(grown: pd.DataFrame, edges: Sequence[Sequence[float]]) -> pd.DataFrame:
+    """Nodes (tree, heap number, bin, ..) as the model keeps them: numbered by level within each tree, with thresholds. Values below
+    a threshold go left; a split of the last bin parts the known values from the missing ones."""
+    grown = grown.sort_values(["tree", "node"], ignore_index=True)
+    number = grown.groupby("tree").cumcount()
+    places = pd.Series(number.to_numpy(), index=pd.MultiIndex.from_frame(grown[["tree", "node"]]))
+    splits = grown["feature"] >= 0
+    left = np.zeros(len(grown), dtype=np.int32)
+    left[splits] = places.loc[list(zip(grown.loc[splits, "tree"], 2 * grown.loc[splits, "node"]))].to_numpy()
+    padded = np.full((len(edges), max(map(len, edges), default=0) + 1), np.inf)
+    for i, own in enumerate(edges):
+        padded[i, : len(own)] = own
+    threshold = np.where(splits, padded[grown["feature"].clip(lower=0), grown["bin"]], 0.0)
+    return tree_frame(grown.assign(node=number, left=left, right=np.where(splits, left + 1, 0), threshold=threshold))
 
 
 def _first_margin(table: BinnedTable, params: BoostParams) -> float:
@@ -346,44 +215,39 @@ def fit_boosted(
     """Grow trees until `n_estimators`, or until the metric of the `valid` split has not improved for
     `patience` rounds; predictions then stop at the best round.
 
-    Margins are written to the work folder every `checkpoint_every` trees, which bounds the plan and
-    lets the job go on when executors are lost; the metrics are observed during that pass."""
-    base = _first_margin(table, params)
-    state = table.rows.withColumn("margin", F.lit(base))
-    all_nodes: list[dict] = []
-    history: list[dict] = []
-    best_round, best_value, written = None, None, None
-    for tree in range(params.n_estimators):
-        rng = column_draws(params, tree)
-        train = state.where(F.col("split") == "train")
+    The binned rows stay as they were written. Margins are a narrow table (row, margin), bucketed alike and joined without a
+    shuffle; a new one is written after each tree, which cuts lineage, and the metrics are observed in that pass. Nodes are
+    appended to a table and are read once, at the end."""
+    spark, base = table.rows.sparkSession, _first_margin(table, params)
+    total, widest = table.rows.count(), max(map(len, table.edges), default=0)
+    folder, history = new_path(spark, "nodes"), []
+    best_round, best_value, margins, drop = None, None, None, None
+    tree = -1
+    for tree in range(params.n_estimators if total else 0):
+        if margins is None:
+            state = table.rows.withColumn("margin", F.lit(float(base)))
+        else:
+            state = table.rows.join(margins.hint("shuffle_hash"), "row")
+        learns = F.col("split") == "train"
         if params.subsample < 1:
-            train = train.where(hash_uniform(table.key, row_seed(params, tree)) < float(params.subsample))
+            learns &= hash_uniform("key", row_seed(params, tree)) < float(params.subsample)
         g, h = objective_columns(params, F.col("y"), F.col("margin"))
-        nodes, levels = grow_tree(
-            train.select(g.alias("g"), h.alias("h"), *[f"b{i}" for i in range(len(table.features))]),
-            params, len(table.features), rng,
+        rows = state.select("row", learns.alias("learns"), g.alias("g"), h.alias("h"), "b")
+        chosen, levels = level_features(params, len(table.features), tree)
+        grown = grow_tree(rows, total, params, levels, chosen, widest + 2, table.buckets, leaf_sql(params))
+        grown.nodes.select(F.lit(tree).alias("tree"), "*").write.mode("append").parquet(folder)
+        moved = grown.placed(state).join(grown.values, "node", "left")
+        moved = moved.withColumn("margin", F.col("margin") + F.coalesce("value", F.lit(0.0)))
+        seen = Observation()
+        metrics = [F.count(F.lit(1)).alias("rows"), *[_metric_of(params.metric, s).alias(s) for s in eval_splits]]
+        newer, drop_newer = materialise_bucketed(
+            moved.observe(seen, *metrics).select("row", "margin"), "margins", "row", table.buckets
         )
-        node = _route(nodes, levels, range(len(table.features))) if levels else "0"
-        leaf = f"get(from_json('{json.dumps([n['leaf'] for n in nodes])}', 'array<double>'), {node})"
-        state = state.withColumn("margin", F.col("margin") + F.expr(leaf))
-        for number, n in enumerate(nodes):
-            all_nodes.append(
-                {
-                    "tree": tree, "node": number, "feature": n["feature"],
-                    "threshold": _threshold(n, table.edges), "left": n["left"], "right": n["right"],
-                    "default_left": n["default_left"], "leaf": n["leaf"], "gain": n["gain"],
-                    "cover": n.get("h", 0.0),
-                }
-            )
-        metrics = {s: _metric_of(params.metric, s) for s in eval_splits}
-        if (tree + 1) % params.checkpoint_every == 0:
-            path = new_path(state.sparkSession, "margins")
-            state, values = materialise_observed(state, "margins", path, **metrics)
-            if written:
-                discard(state.sparkSession, written)
-            written = path
-        else:
-            values = state.agg(*[m.alias(s) for s, m in metrics.items()]).first().asDict()
+        values = seen.get
+        grown.discard()
+        if drop:
+            drop()
+        margins, drop = newer, drop_newer
         for s in eval_splits:
             if values[s] is not None:
                 history.append({"round": tree, "split": s, "metric": params.metric, "value": values[s]})
@@ -392,9 +256,11 @@ def fit_boosted(
                 best_round, best_value = tree, values[valid]
             elif tree - best_round >= params.patience:
                 break
-    if written:
-        discard(table.rows.sparkSession, written)
-    return TreeModel(table.features, base, tree_frame(all_nodes), history, best_round)
+    if drop:
+        drop()
+    nodes = spark.read.schema(f"tree int, {NODES}").parquet(folder).toPandas() if tree >= 0 else None
+    discard(spark, folder)
+    return TreeModel(table.features, base, tree_frame([]) if nodes is None else model_nodes(nodes, table.edges), history, best_round)
 
 
 @dataclass

@@ -226,7 +226,7 @@ def global_contributions(model: TreeModel, df: DataFrame, key: str = "listing_id
     return means.select(F.inline(F.array(*pairs))).orderBy(F.desc("importance"), "feature").limit(top)
 
 
-def tree_frame(rows: Sequence[dict]) -> pd.DataFrame:
+def tree_frame(rows: pd.DataFrame | Sequence[dict]) -> pd.DataFrame:
     columns = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
-    frame = pd.DataFrame(list(rows), columns=columns)
+    frame = pd.DataFrame(rows, columns=columns)
     return frame.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32", "right": "int32"})

@@ -79,11 +79,10 @@ def _predictions(model: TreeModel, rows: DataFrame) -> DataFrame:
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = staged_splits(spark, d)
     table = binned(rows)
-    nodes = table.rows.where(F.col("split") == "train").join(rows.select("listing_id", "contact_type_id"), "listing_id")
-    ready = nodes.select(
-        F.col("contact_type_id").alias("node"), *[f"b{i}" for i in range(len(TREE_FEATURES))], (F.lit(0.5) - F.col("y")).alias("g"), F.lit(1.0).alias("h")
-    )
-    best = best_splits(level_histogram(ready, range(len(TREE_FEATURES))), SQUARED)
+    types = rows.select(F.col("listing_id").alias("key"), F.col("contact_type_id").alias("node"))
+    nodes = table.rows.where(F.col("split") == "train").join(types, "key")
+    ready = nodes.select("node", "b", (F.lit(0.5) - F.col("y")).alias("g"), F.lit(1.0).alias("h"))
+    best = best_splits(level_histogram(ready), SQUARED)
     return rounded(best.select("node", "feature", "bin", "gain", "g", "h", "gl", "hl"), 5)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -88,6 +88,22 @@ def materialise_observed(
     return written, seen.get
 
 
+def materialise_bucketed(
+    df: DataFrame, label: str, key: str, buckets: int
+) -> tuple[DataFrame, Callable[[], None]]:
+    """`materialise` into a table bucketed by `key`: joins by it with tables of as many buckets move no rows. Also gives the
+    function that drops the table. Rows that are not dealt by `key` yet are, so that a bucket is a file."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, path)
+
+    return spark.table(name), drop
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as literals of the plan."""
     kinds = [c.split() for c in schema.split(", ")]

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dwellspan.learning import boosting, trees
+from dwellspan.learning import boosting, grow, trees
 from dwellspan.learning.boosting import (
     BoostedTrees, BoostParams, IntervalModel, best_splits, bin_edges, bin_table, fit_boosted,
     fit_interval, level_histogram,
@@ -15,7 +15,7 @@ from dwellspan.learning.trees import TreeModel, contributions, global_contributi
 from dwellspan.operators.features import fit_features
 from dwellspan.plans.data import DATA_MONTHS
 from dwellspan.schema import feature_set
-from dwellspan.session import new_path
+from dwellspan.session import materialise_bucketed, new_path
 
 FEATURES = ("area", "price", "has_lift", "type_group_id")
 PARAMS = BoostParams(n_estimators=3, max_depth=3, eta=0.3, max_bins=16)
@@ -46,8 +46,8 @@ def test_single_split_worked_by_hand(spark):
         [(0, None, 1), (1, 1.0, 1), (2, 2.0, 1), (3, 3.0, 9), (4, 4.0, 9)], "listing_id int, x double, dom int"
     )
     t = bin_table(df, ["x"], split=None, edges=[[2.0, 3.0, 4.0]])
-    rows = t.rows.select(F.lit(0).alias("node"), "b0", (-F.col("y")).alias("g"), F.lit(1.0).alias("h"))
-    best = best_splits(level_histogram(rows, [0]), BoostParams(reg_lambda=1.0)).first()
+    rows = t.rows.select(F.lit(0).alias("node"), "b", (-F.col("y")).alias("g"), F.lit(1.0).alias("h"))
+    best = best_splits(level_histogram(rows), BoostParams(reg_lambda=1.0)).first()
     assert (best["bin"], best["default_left"]) == (1, True)
     assert best["gain"] == pytest.approx(36.75)
     assert (best["gl"], best["hl"], best["cl"]) == (-3.0, 3.0, 3)
@@ -75,7 +75,7 @@ def test_training_error_falls_and_scoring_repeats_the_margins(table, learnable,
 @pytest.mark.parametrize("partitions", [1, 4, 17])
 def test_result_does_not_depend_on_partitions(table, learnable, model, partitions):
     moved = replace(table, rows=table.rows.repartition(partitions))
-    other = fit_boosted(moved, replace(PARAMS, checkpoint_every=2))
+    other = fit_boosted(moved, PARAMS)
     pd.testing.assert_frame_equal(other.nodes, model.nodes, rtol=1e-9)
 
 
@@ -194,15 +194,57 @@ def test_batch_scoring_with_and_without_refit(spark, listings):
     assert 0 < score(new, features, m, refit=True).count() < rows.count()
 
 
-def test_deep_trees_do_not_depend_on_where_rows_are_written(monkeypatch, table, learnable):
-    params = BoostParams(n_estimators=1, max_depth=5, eta=1.0)
+@pytest.mark.parametrize(("local_rows", "walk_levels"), [(0, 2), (0, 9), (60, 2), (10**9, 9)])
+def test_deep_trees_do_not_depend_on_where_nodes_are_grown(monkeypatch, table, learnable, local_rows, walk_levels):
+    """By the cluster, level by level, in tasks, or both; with columns and rows sampled."""
+    params = BoostParams(n_estimators=2, max_depth=6, eta=0.5, subsample=0.8, colsample_bylevel=0.75, gamma=50.0, seed=3)
     plain = fit_boosted(table, params)
-    assert len(plain.nodes) > 15
-    monkeypatch.setattr(boosting, "WALK_LEVELS", 2)
-    written = fit_boosted(table, params)
-    pd.testing.assert_frame_equal(written.nodes, plain.nodes, rtol=1e-9)
-    mae = written.transform(learnable.where("split = 'train'")).agg(F.avg(F.abs(F.col("prediction") - F.col("label")))).first()[0]
-    assert mae == pytest.approx([h["value"] for h in written.history if h["split"] == "train"][0])
+    assert len(plain.nodes) > 30
+    monkeypatch.setattr(grow, "WALK_LEVELS", walk_levels)
+    monkeypatch.setattr(grow, "LOCAL_ROWS", local_rows)
+    other = fit_boosted(table, params)
+    pd.testing.assert_frame_equal(other.nodes, plain.nodes, rtol=1e-9)
+    scored = other.transform(learnable.where("split = 'train'"))
+    mae = scored.agg(F.avg(F.abs(F.col("prediction") - F.col("label")))).first()[0]
+    assert mae == pytest.approx([h["value"] for h in other.history if h["split"] == "train"][-1])
+
+
+def _grown(table, params, local_rows):
+    state = table.rows.withColumn("margin", F.lit(0.5))
+    rows = state.select("row", F.lit(True).alias("learns"), (F.col("margin") - F.col("y")).alias("g"), F.lit(1.0).alias("h"), "b")
+    chosen, levels = boosting.level_features(params, len(table.features), 0)
+    return state, grow.grow_tree(rows, table.rows.count(), params, levels, chosen, 20, table.buckets, boosting.leaf_sql(params), local_rows)
+
+
+def test_at_most_half_of_the_rows_are_summed_below_the_root(table):
+    total = table.rows.count()
+    _, tree = _grown(table, BoostParams(max_depth=5), 0)
+    assert len(tree.summed) == 5 and all(0 < n <= total / 2 for n in tree.summed[:4]) and tree.summed[4] == 0
+    _, all_levels = _grown(table, BoostParams(max_depth=5, colsample_bylevel=0.5), 0)  # here sums of fewer columns are cheaper
+    assert all_levels.nodes.count() > 1
+
+
+def test_margins_are_updated_without_a_shuffle(spark, monkeypatch, table):
+    """Binned rows, margins and places are bucketed alike: only small tables of nodes are exchanged."""
+    state, tree = _grown(table, BoostParams(max_depth=4), 200)
+    margins, drop = materialise_bucketed(table.rows.select("row", F.lit(0.5).alias("margin")), "margins", "row", table.buckets)
+    moved = tree.placed(table.rows.join(margins.hint("shuffle_hash"), "row")).select("row", "node", "margin")
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "Bucketed: true" in plan
+    assert "Exchange hashpartitioning(row" not in plan and "Sort [row" not in plan
+    assert set(margins.columns) == {"row", "margin"} and "b" not in margins.columns
+    assert moved.count() == table.rows.count() and moved.where("node is null").count() == 0
+    drop()
+
+
+def test_repeated_keys_and_empty_tables(spark):
+    rows = [(1, 1.0, 1), (1, 1.0, 1), (None, 5.0, 9), (None, None, 9)] * 3
+    df = spark.createDataFrame(rows, "listing_id int, x double, dom int")
+    fit = lambda d: fit_boosted(
+        bin_table(d, ["x"], split=None, max_bins=4), BoostParams(n_estimators=1, max_depth=2, eta=1.0, reg_lambda=0.0), valid=None, eval_splits=("train",)
+    )
+    assert sorted(r["prediction"] for r in fit(df).transform(df).collect()) == [1.0] * 6 + [9.0] * 6
+    assert len(fit(df.limit(0)).nodes) == 0
 
 
 def test_known_against_missing_splits_behind_the_last_bin(spark):
