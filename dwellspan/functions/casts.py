@@ -11,22 +11,38 @@ from pyspark.sql import types as T
 from dwellspan.schema import BOOL_COLUMNS, LISTING
 
 
-def _accepts(field: T.StructField, given: T.DataType) -> Column:
-    """Whether a value can be taken: whole numbers must be there, dates and flags may be missing, nothing may be garbled."""
+def _accepts(field: T.StructField, given: T.DataType) -> Column | None:
+    """Whether a value can be taken: whole numbers must be there, dates and flags may be missing, nothing may be garbled.
+    None if every value can."""
     column = F.col(field.name)
-    fits = F.lit(True) if given == field.dataType else column.isNull() | column.try_cast(field.dataType).isNotNull()
-    return fits & column.isNotNull() if isinstance(field.dataType, (T.IntegerType, T.LongType)) else fits
-
-
-def checked(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    """`df`; a value that can't be taken stops the job. The check is a filter, so dropping the column doesn't drop it."""
-    condition = None
-    for field in fields:
-        shown = F.coalesce(F.col(field.name).cast("string"), F.lit("null"))
-        failed = F.raise_error(F.concat(F.lit(f"{field.name}: not castable: "), shown)).cast("boolean")
-        ok = F.when(_accepts(field, df.schema[field.name].dataType), True).otherwise(failed)
-        condition = ok if condition is None else condition & ok
-    return df if condition is None else df.where(condition)
+    whole = isinstance(field.dataType, (T.IntegerType, T.LongType))
+    if given == field.dataType:
+        return column.isNotNull() if whole else None
+    parsed = column.try_cast(field.dataType).isNotNull()
+    return parsed if whole else column.isNull() | parsed
+
+
+def refuse_uncastable(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """`df`, after one pass over the columns in question that counts the values that can't be taken; any of them is an error.
+
+    The pass comes first, on its own: whatever filters follow, also those that reach the scan and skip parts of files, every row
+    has been looked at. A stream, which can't be passed over twice, is checked row by row as it comes."""
+    checks = {f.name: ok for f in fields if (ok := _accepts(f, df.schema[f.name].dataType)) is not None}
+    if not checks:
+        return df
+    shown = {n: F.coalesce(F.col(n).cast("string"), F.lit("null")) for n in checks}
+    if df.isStreaming:
+        stop = lambda n: F.raise_error(F.concat(F.lit(f"{n}: not castable: "), shown[n])).cast("boolean")
+        return df.where(reduce(lambda a, b: a & b, [F.when(ok, True).otherwise(stop(n)) for n, ok in checks.items()]))
+    counts = [F.count_if(~ok).alias(f"bad_{i}") for i, ok in enumerate(checks.values())]
+    samples = [F.min(F.when(~ok, shown[n])).alias(f"like_{i}") for i, (n, ok) in enumerate(checks.items())]
+    found = df.agg(*counts, *samples).first()
+    bad = [
+        f"{n}: not castable: {found[f'like_{i}']} ({found[f'bad_{i}']} rows)" for i, n in enumerate(checks) if found[f"bad_{i}"]
+    ]
+    if bad:
+        raise ValueError("; ".join(bad))
+    return df
 
 
 def truthy(name: str, kind: T.DataType) -> Column:
@@ -49,12 +65,13 @@ def _required(df: DataFrame) -> list[T.StructField]:
 
 
 def cast_listing(df: DataFrame, strict_mode: bool = True, pandas_truthiness: bool = False) -> DataFrame:
-    """Cast every listing column present in `df`. Strict mode stops on missing whole numbers and on values of any
-    column that don't parse, whatever columns are used later; otherwise they become null (see `split_castable`). A column
-    that has its type already is left as it is, so filters on it reach the scan."""
+    """Cast every listing column present in `df`. Strict mode looks at all rows first (a pass over a written table is cheap, over a
+    long computation it is not) and stops on missing whole numbers and on values of any column that don't parse, whatever columns
+    and rows are used later; otherwise they become null (see `split_castable`). A column that has its type already is left
+    as it is, so filters on it reach the scan."""
     fields = _required(df)
     if strict_mode:
-        df = checked(df, [f for f in fields if not (f.name in BOOL_COLUMNS and pandas_truthiness)])
+        df = refuse_uncastable(df, [f for f in fields if not (f.name in BOOL_COLUMNS and pandas_truthiness)])
     casts = {}
     for field in fields:
         name, given = field.name, df.schema[field.name].dataType

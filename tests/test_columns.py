@@ -76,3 +76,26 @@ def test_strict_casts_stop_on_bad_values_even_if_the_column_is_not_used(spark, c
 def test_missing_dates_and_flags_are_no_bad_values(spark):
     df = spark.createDataFrame([("1", None, None)], "listing_id string, has_lift string, published_at string")
     assert tuple(cast_listing(df).first()) == (1, None, None)
+
+
+def test_filters_that_skip_files_do_not_skip_the_check(spark, tmp_path):
+    """A missing area among high prices: a filter on the price would skip that file before any row check."""
+    path = str(tmp_path / "two")
+    for area, price in ((3, 10), (None, 10**6)):
+        spark.createDataFrame([(1, area, price)], "listing_id long, area int, price long").write.mode("append").parquet(path)
+    table = spark.read.parquet(path)
+    with pytest.raises(ValueError, match=r"area: not castable: null \(1 rows\)"):
+        cast_listing(table).where("price < 100000").count()
+    good = cast_listing(table.where("area is not null"))
+    plan = good.where("price < 100000")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(price,100000)" in plan
+    assert cast_listing(table, strict_mode=False).where("price < 100000").count() == 1
+
+
+def test_streams_are_checked_as_they_come(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("x",)], "area string").write.parquet(path)
+    stream = cast_listing(spark.readStream.schema("area string").parquet(path))
+    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).format("parquet").start(out)
+    with pytest.raises(Exception, match="not castable"):
+        query.awaitTermination()
