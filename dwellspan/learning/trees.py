@@ -16,8 +16,8 @@ NODE_SCHEMA = (
 )
 # Nodes shipped to the executors with one scoring function (40 bytes each).
 NODES_PER_UDF = 1_000_000
-# Leaves explained in one pass over the rows; larger models take several passes.
-LEAVES_PER_PASS = 50_000
+# Rows that are explained together: a path of d features holds some d * d numbers for each.
+ROWS_AT_ONCE = 2_000
 
 
 @dataclass
@@ -65,6 +65,7 @@ class TreeModel:
                 "right": part["right"].to_numpy(np.int64) + shift,
                 "default_left": part["default_left"].to_numpy(bool),
                 "leaf": part["leaf"].to_numpy(float),
+                "cover": part["cover"].to_numpy(float),
             }
 
     def margin(self, prefix: str = "") -> Column:
@@ -130,38 +131,29 @@ def importance(model: TreeModel, spark: SparkSession, kind: str = "weight") -> D
     return gains.select("feature", (F.col("gain") / F.nullif(whole, F.lit(0.0))).alias("importance"))
 
 
-def _paths(nodes: pd.DataFrame) -> list[tuple[float, list[tuple[int, float, list[tuple]]]]]:
-    """Per leaf: its value and, per distinct feature on the way, the share of training rows that go the
-    same way and the tests (threshold, go left, missing goes left) passed."""
-    leaves = []
-    for _, tree in nodes.groupby("tree"):
-        table = {row["node"]: row for row in tree.to_dict("records")}
-        stack = [(table[0], {})]
-        while stack:
-            row, steps = stack.pop()
-            feature = row["feature"]
-            if feature < 0:
-                leaves.append((row["leaf"], [(f, share, tests) for f, (share, tests) in steps.items()]))
-                continue
-            share, tests = steps.get(feature, (1.0, []))
-            for side, goes_left in (("left", True), ("right", False)):
-                child = table[row[side]]
-                part = share * child["cover"] / max(row["cover"], 1e-300)
-                test = (row["threshold"], goes_left, row["default_left"])
-                stack.append((child, {**steps, feature: (part, [*tests, test])}))
-    return leaves
-
-
 def expected_value(model: TreeModel) -> float:
     """Mean prediction under the training cover of the nodes."""
-    used = model.nodes[model.nodes["tree"] < model.rounds]
-    return model.base_score + sum(v * float(np.prod([s for _, s, _ in p])) for v, p in _paths(used))
+    return model.base_score + sum(float(_means(arrays)[arrays["roots"]].sum()) for arrays in model._chunks())
+
+
+def _shares(arrays: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each split, the shares of its cover that go left and right."""
+    cover = np.maximum(arrays["cover"], 1e-300)
+    return arrays["cover"][arrays["left"]] / cover, arrays["cover"][arrays["right"]] / cover
+
+
+def _means(arrays: dict[str, np.ndarray]) -> np.ndarray:
+    """Mean leaf value below each node; children come after their parents."""
+    means, (left, right) = arrays["leaf"].copy(), _shares(arrays)
+    for node in np.flatnonzero(arrays["feature"] >= 0)[::-1]:
+        means[node] = left[node] * means[arrays["left"][node]] + right[node] * means[arrays["right"][node]]
+    return means
 
 
 def contributions(model: TreeModel, df: DataFrame, key: str = "listing_id") -> DataFrame:
     """Additive per-row contributions of each feature (Shapley values under the path-dependent
-    expectation, Lundberg et al. 2018), with `expected_value`; they sum to the prediction."""
-    leaves = _paths(model.nodes[model.nodes["tree"] < model.rounds])
+    expectation), with `expected_value`; they sum to the prediction. By the recursive path algorithm of Lundberg et al. 2018,
+    for all rows of an Arrow batch at once: work per row grows with leaves x depth squared."""
     features = list(model.features)
     inputs, sums = [f"_x{i}" for i in range(len(features))], [f"_s{i}" for i in range(len(features))]
     kind = df.schema[key].dataType.simpleString()
@@ -171,8 +163,8 @@ def contributions(model: TreeModel, df: DataFrame, key: str = "listing_id") -> D
         *[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(features, inputs)],
         *[F.lit(0.0).alias(s) for s in sums],
     )
-    for start in range(0, len(leaves), LEAVES_PER_PASS):
-        rows = rows.mapInPandas(_explainer(leaves[start : start + LEAVES_PER_PASS], inputs, sums), schema)
+    for arrays in model._chunks():
+        rows = rows.mapInPandas(_explainer(arrays, inputs, sums), schema)
     return rows.select(
         key,
         *[F.col(s).alias(c) for c, s in zip(features, sums)],
@@ -180,40 +172,73 @@ def contributions(model: TreeModel, df: DataFrame, key: str = "listing_id") -> D
     )
 
 
-def _explainer(leaves: list, inputs: list[str], sums: list[str]):
-    """Batch function that adds the contributions of the given leaves to the sums so far."""
+class _Path:
+    """The distinct features on the way to a node: for each the share of training rows that go this way (`zero`), whether a row does
+    (`one`, 0 or 1 per row), and the weights of subsets by size (`weight`, per row)."""
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from math import factorial
+    def __init__(self, features: list[int], zero: list[float], one: list[np.ndarray], weight: np.ndarray):
+        self.features, self.zero, self.one, self.weight = features, zero, one, weight
 
+    def extended(self, feature: int, zero: float, one: np.ndarray) -> _Path:
+        size = len(self.features)
+        weight = np.zeros((size + 1, len(one)))
+        weight[:size] = self.weight * (zero * np.arange(size, 0, -1) / (size + 1))[:, None]
+        weight[1:] += one * self.weight * (np.arange(1, size + 1) / (size + 1))[:, None]
+        return _Path([*self.features, feature], [*self.zero, zero], [*self.one, one], weight)
+
+    def _weights_without(self, place: int) -> np.ndarray:
+        """Weights as they were before the feature at `place` came in."""
+        size = len(self.features) - 1
+        zero, goes = self.zero[place], self.one[place] > 0
+        out = np.zeros((size, self.weight.shape[1]))
+        rest = self.weight[size].copy()
+        for j in range(size - 1, -1, -1):
+            with_one = rest * ((size + 1) / (j + 1))
+            without = self.weight[j] * ((size + 1) / (zero * (size - j))) if zero > 0 else 0.0
+            out[j] = np.where(goes, with_one, without)
+            rest = self.weight[j] - with_one * (zero * (size - j) / (size + 1))
+        return out
+
+    def without(self, place: int) -> _Path:
+        cut = lambda values: values[:place] + values[place + 1 :]
+        return _Path(cut(self.features), cut(self.zero), cut(self.one), self._weights_without(place))
+
+    def credit(self, leaf: float, phi: np.ndarray) -> None:
+        for place in range(1, len(self.features)):
+            total = self._weights_without(place).sum(axis=0)
+            phi[:, self.features[place]] += total * (self.one[place] - self.zero[place]) * leaf
+
+
+def _explainer(arrays: dict[str, np.ndarray], inputs: list[str], sums: list[str]):
+    """Batch function that adds the contributions of the given trees to the sums so far."""
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left_share, right_share = _shares(arrays)
+        feature, threshold, missing_left = arrays["feature"], arrays["threshold"], arrays["default_left"]
         for batch in batches:
-            values = batch[inputs].to_numpy(dtype=float, na_value=np.nan)
-            phi = batch[sums].to_numpy(dtype=float).copy()
-            for leaf, path in leaves:
-                size = len(path)
-                passed = []
-                for feature, _, tests in path:
-                    ok = np.ones(len(batch), bool)
-                    for threshold, goes_left, missing_left in tests:
-                        v = values[:, feature]
-                        left = np.where(np.isnan(v), missing_left, (v < threshold) | np.isposinf(threshold))
-                        ok &= left == goes_left
-                    passed.append(ok.astype(float))
-                for j, (feature, share, _) in enumerate(path):
-                    # poly[k]: sum over subsets of k other features of passed x share of the rest
-                    poly = np.zeros((size, len(batch)))
-                    poly[0] = 1.0
-                    for i, (_, other, _) in enumerate(path):
-                        if i != j:
-                            grown = poly * other
-                            grown[1:] += poly[:-1] * passed[i]
-                            poly = grown
-                    weight = sum(
-                        poly[k] * (factorial(k) * factorial(size - k - 1) / factorial(size)) for k in range(size)
-                    )
-                    phi[:, feature] += leaf * weight * (passed[j] - share)
-            batch[sums] = phi
-            yield batch
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.iloc[start : start + ROWS_AT_ONCE].copy()
+                values = part[inputs].to_numpy(dtype=float, na_value=np.nan)
+                phi, every = part[sums].to_numpy(dtype=float).copy(), np.ones(len(part))
+                top = _Path([-1], [1.0], [every], np.ones((1, len(part))))
+                stack = [(root, top) for root in arrays["roots"].tolist()]
+                while stack:
+                    node, path = stack.pop()
+                    own = int(feature[node])
+                    if own < 0:
+                        path.credit(arrays["leaf"][node], phi)
+                        continue
+                    zero, one = 1.0, every
+                    if own in path.features:
+                        place = path.features.index(own)
+                        zero, one = path.zero[place], path.one[place]
+                        path = path.without(place)
+                    value, cut = values[:, own], threshold[node]
+                    left = np.where(np.isnan(value), missing_left[node], (value < cut) | np.isposinf(cut)).astype(float)
+                    stack.append((arrays["left"][node], path.extended(own, zero * left_share[node], one * left)))
+                    stack.append((arrays["right"][node], path.extended(own, zero * right_share[node], one * (1 - left))))
+                part[sums] = phi
+                yield part
 
     return explain
 

@@ -83,7 +83,7 @@ def test_small_scoring_chunks_and_passes_change_nothing(monkeypatch, learnable,
     plain = model.transform(learnable).orderBy("listing_id").toPandas()["prediction"]
     phi = contributions(model, learnable).orderBy("listing_id").toPandas()
     monkeypatch.setattr(trees, "NODES_PER_UDF", 1)
-    monkeypatch.setattr(trees, "LEAVES_PER_PASS", 5)
+    monkeypatch.setattr(trees, "ROWS_AT_ONCE", 7)
     assert len(list(model._chunks())) == 3
     np.testing.assert_allclose(model.transform(learnable).orderBy("listing_id").toPandas()["prediction"], plain)
     again = contributions(model, learnable).orderBy("listing_id").toPandas()
@@ -104,7 +104,7 @@ def test_contributions_equal_the_definition(spark, learnable):
     from itertools import combinations
     from math import factorial
 
-    deep = fit_boosted(bin_table(learnable, FEATURES, "label", max_bins=8), BoostParams(n_estimators=1, max_depth=4))
+    deep = fit_boosted(bin_table(learnable, FEATURES, "label", max_bins=8), BoostParams(n_estimators=1, max_depth=7))
     rows = learnable.where("split = 'test'").limit(5)
     nodes = deep.nodes.set_index("node")
 
@@ -121,6 +121,7 @@ def test_contributions_equal_the_definition(spark, learnable):
     got = contributions(deep, rows).toPandas().set_index("listing_id")
     for r in rows.collect():
         x = [float(r[c]) for c in FEATURES]
+        assert got.loc[r["listing_id"], "expected_value"] == pytest.approx(deep.base_score + value(x, set()))
         for j, name in enumerate(FEATURES):
             others = [i for i in range(4) if i != j]
             want = sum(
