@@ -6,8 +6,8 @@ its prefix began, so a piece is projected to the bytes of the source text: `begi
 library, the pieces of a character that falls back to bytes are empty spans but for the last, which has the character.
 
 The best-scored neighbours merge first, the left ones of equals. No merge crosses two neighbouring characters that no piece
-has side by side, so texts are cut there into words, encoded word by word; frequent words are remembered in a table of
-bounded size. A word that can't be cut is merged with a heap, in linear memory. Decoding joins pieces, turns runs of byte pieces
+has side by side, so texts are cut there into words. New words of a chunk of texts are merged together, array by array, and are
+remembered in tables of bounded size. A long word that can't be cut is merged with a heap, in linear memory. Decoding joins pieces, turns runs of byte pieces
 into characters, and takes off the dummy prefix.
 
 Nulls: a null text is empty and has no tokens; null tokens decode to an empty text. Repeated rows each keep theirs. Other columns are
@@ -19,7 +19,6 @@ import codecs
 import re
 import struct
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -30,11 +29,12 @@ from pyspark.sql import DataFrame
 from dwellspan.llm.text import add_in_arrow
 
 VOCABULARY = "piece_bpe_32k.model"
-WORDS_BYTES = 64 << 20  # of a worker's tables of words, the newer and the older one
+WORDS_BYTES = 96 << 20  # of a worker's tables of words, the newer and the older one
 LONG_WORD = 48  # characters from which on a word is cut at unknown pairs first
 # Piece types and the blank of the format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
+NEVER = np.int64(1 << 62)
 _made: dict[str, "Pieces"] = {}
 codecs.register_error("dwellspan-bytewise", lambda e: ("�", e.start + 1))
 
@@ -152,20 +152,20 @@ class Pieces:
                 self.bytes_of.append((self.unknown_text if i == self.unknown else text.replace(BLANK, " ")).encode())
         self.size = np.array([-1 if k == BYTE else len(t.encode()) for t, k in zip(self.texts, self.kinds)])
         self.byte_of = np.array([int(t[3:5], 16) if k == BYTE else 0 for t, k in zip(self.texts, self.kinds)])
-        # characters that only longer pieces have get numbers after the ids
-        self.characters = {c: self.id_of.get(c) for t in self.id_of for c in t}
-        for c, i in self.characters.items():
-            if i is None:
-                self.characters[c] = len(self.texts) + ord(c)
-        known = self.id_of | self.characters
-        self.pair = {}  # numbers of two neighbours: rank and id of what they merge to
+        # a number for each character: its id, after the ids if only longer pieces have it, below zero if none has
+        known = {c: len(self.texts) + ord(c) for t in self.id_of for c in t} | self.id_of
+        self.number = -1 - np.arange(0x110000, dtype=np.int64)
+        for c, i in known.items():
+            if len(c) == 1:
+                self.number[ord(c)] = i
+        merges = {}  # numbers of two neighbours: rank and id of what they merge to
         for text, i in self.id_of.items():
             for cut in range(1, len(text)):
                 a, b = known.get(text[:cut]), known.get(text[cut:])
                 if a is not None and b is not None:
-                    self.pair[a << 24 | b] = self.rank[text] << 24 | i
-        ranks = [self.rank[text] for text in self.id_of if len(text) > 1]
-        self.tied = {r for r, n in Counter(ranks).items() if n > 1}
+                    merges[a << 24 | b] = self.rank[text] << 24 | i
+        self.pair = np.array(sorted(merges), dtype=np.int64)
+        self.merged = np.array([merges[k] for k in self.pair.tolist()] or [0], dtype=np.int64)
         self.control = np.array([k == CONTROL for k in self.kinds])
 
     # ---- normalisation -----------------------------------------------------------------------
@@ -283,19 +283,48 @@ class Pieces:
             at = after[at]
         return out if not split else [p for piece in out for p in self._used(piece, split)]
 
-    def _merged_short(self, word: str) -> list[int]:
-        """The same for a short word and a model without unused pieces, as ids; others are those of characters without a piece."""
-        parts, pair, never = [self.characters.get(c, -1 - ord(c)) for c in word], self.pair.get, 1 << 60
-        places = [pair(a << 24 | b, never) for a, b in zip(parts, parts[1:])]
-        while places and (best := min(places)) != never:
-            at = places.index(best) if best >> 24 not in self.tied else [v >> 24 for v in places].index(best >> 24)
-            merged = places.pop(at) & 0xFFFFFF
-            parts[at : at + 2] = [merged]
-            if at:
-                places[at - 1] = pair(parts[at - 1] << 24 | merged, never)
-            if at < len(places):
-                places[at] = pair(merged << 24 | parts[at + 1], never)
-        return parts
+    def _places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and id of what pairs of numbers merge to; NEVER if they don't."""
+        keys = np.where((left < 0) | (right < 0), -1, left << 24 | right)
+        if not len(self.pair):
+            return np.full(len(keys), NEVER)
+        at = np.minimum(np.searchsorted(self.pair, keys), len(self.pair) - 1)
+        return np.where(self.pair[at] == keys, self.merged[at], NEVER)
+
+    def _merged_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The merges of many words at once, one in each word per round: the best, the left one of equals. Gives the numbers
+        of all words in a row, and where each word's begin."""
+        numbers = self.number[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        place = np.full(len(numbers), NEVER)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        place[inside] = self._places(numbers[inside], numbers[inside + 1])
+        done = []
+        while len(numbers):
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            best = np.minimum.reduceat(place, starts)
+            best = np.repeat(best, np.diff(starts, append=len(owner)))
+            if (rest := best == NEVER).any():
+                done.append((owner[rest], numbers[rest]))
+                going = ~rest
+                owner, numbers, place, best = owner[going], numbers[going], place[going], best[going]
+                continue
+            at = np.flatnonzero(place >> 24 == best >> 24)
+            at = at[np.diff(owner[at], prepend=-1) != 0]
+            numbers[at] = place[at] & 0xFFFFFF
+            keep = np.ones(len(numbers), dtype=bool)
+            keep[at + 1] = False
+            owner, numbers, place = owner[keep], numbers[keep], place[keep]
+            at -= np.arange(len(at))
+            for left in (at, at - 1):
+                inside = (left >= 0) & (left + 1 < len(owner))
+                inside[inside] = owner[left[inside]] == owner[left[inside] + 1]
+                place[left[~inside & (left == at)]] = NEVER
+                left = left[inside]
+                place[left] = self._places(numbers[left], numbers[left + 1])
+        owner, numbers = (np.concatenate([d[i] for d in done]) for i in (0, 1))
+        order = np.argsort(owner, kind="stable")
+        return numbers[order], np.searchsorted(owner[order], np.arange(len(words) + 1))
 
     def _used(self, piece: str, split: dict[str, tuple[str, str]]) -> list[str]:
         if piece not in split or self.kinds[self.id_of[piece]] != UNUSED:
@@ -318,27 +347,35 @@ class Pieces:
             return [number]
         return [self.byte_id[b] for b in piece.encode()] if self.fallback else [-1 - ord(piece)]
 
-    def _character(self, number: int) -> str:
-        return chr(-1 - number if number < 0 else number - len(self.texts))
-
-    def _learn(self, word: str) -> bytes:
-        packed = self.older.get(word)
-        if packed is None:
-            if len(word) > LONG_WORD:
-                merged = [piece for part in self._cuts(word) for piece in self._merged(part)]
-                return array("i", [i for piece in merged for i in self._ids_of(piece)]).tobytes()
-            if self.unused:
-                ids = [i for piece in self._merged(word) for i in self._ids_of(piece)]
-            else:
-                ids = self._merged_short(word)
-                if min(ids) < 0 or max(ids) >= len(self.texts):
-                    ids = [x for i in ids for x in ([i] if 0 <= i < len(self.texts) else self._ids_of(self._character(i)))]
-            packed = array("i", ids).tobytes()
-        self.known_bytes += 200 + len(packed)  # about what an entry takes
+    def _packed(self, words: list[str]) -> list[bytes]:
+        """The ids of words."""
+        numbers, edges = self._merged_many(words)
+        data, edges = numbers.astype("<i4").tobytes(), edges.tolist()
+        out = [data[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
+        strange = np.flatnonzero((numbers < 0) | (numbers >= len(self.texts)))
+        of = lambda n: chr(-1 - n if n < 0 else n - len(self.texts))
+        for word in np.unique(np.searchsorted(edges, strange, "right") - 1).tolist():
+            own = numbers[edges[word] : edges[word + 1]].tolist()
+            ids = [i for n in own for i in ([n] if 0 <= n < len(self.texts) else self._ids_of(of(n)))]
+            out[word] = array("i", ids).tobytes()
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember new words of at most LONG_WORD characters."""
+        new = [w for w in words if w not in self.older]
+        packed = {w: self.older[w] for w in words if w in self.older}
+        if self.unused:
+            packed |= {w: array("i", [i for piece in self._merged(w) for i in self._ids_of(piece)]).tobytes() for w in new}
+        elif new:
+            packed |= dict(zip(new, self._packed(new)))
+        self.known_bytes += sum(200 + len(p) for p in packed.values())  # about what entries take
         if self.known_bytes > WORDS_BYTES // 2:  # words that are not used again go with the older table
             self.known, self.older, self.known_bytes = {}, self.known, 0
-        self.known[word] = packed
-        return packed
+        self.known |= packed
+
+    def _long(self, word: str) -> bytes:
+        merged = [piece for part in self._cuts(word) for piece in self._merged(part)]
+        return array("i", [i for piece in merged for i in self._ids_of(piece)]).tobytes()
 
     def _sizes(self, ids: np.ndarray) -> np.ndarray:
         """How many normalised bytes each id takes: of a character in bytes, the last one takes all."""
@@ -352,16 +389,29 @@ class Pieces:
             sizes[strange] = 1 + np.searchsorted([0x80, 0x800, 0x10000], -1 - ids[strange], "right")
         return sizes
 
+    def encode_all(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text its ids, and the source bytes [begin, end) of each."""
+        out, normal = [], [self.normalise(text) for text in texts]
+        stretches = [self.own_symbols.split(n) if self.own_symbols else [n] for n, _ in normal]
+        words = [[self.words_of(s) if place % 2 == 0 else s for place, s in enumerate(parts)] for parts in stretches]
+        wanted = {w for parts in words for part in parts[::2] for w in part if len(w) <= LONG_WORD and w not in self.known}
+        before = self.known
+        self._learn([w for w in wanted if w])
+        known = self.known if self.known is before else before | self.known
+        for (_, source), parts in zip(normal, words):
+            packed = []
+            for place, part in enumerate(parts):
+                if place % 2:
+                    packed.append(array("i", [self.id_of[part]]).tobytes())
+                else:
+                    packed += [known[w] if len(w) <= LONG_WORD else self._long(w) for w in part if w]
+            out.append(self._aligned(np.frombuffer(b"".join(packed), "<i4"), source))
+        return out
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and the source bytes [begin, end) of each."""
-        normal, source = self.normalise(text)
-        learn, parts = self._learn, []
-        for place, stretch in enumerate(self.own_symbols.split(normal) if self.own_symbols else [normal]):
-            if place % 2:
-                parts.append(array("i", [self.id_of[stretch]]).tobytes())
-            else:
-                parts += [self.known.get(word) or learn(word) for word in self.words_of(stretch) if word]
-        ids = np.frombuffer(b"".join(parts), "<i4")
+        return self.encode_all([text])[0]
+
+    def _aligned(self, ids: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ends = np.cumsum(self._sizes(ids))
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         if not self.fallback and len(ids):  # neighbouring unknown symbols are one
@@ -417,7 +467,7 @@ def encode(
 
     def run(texts: pa.Array) -> list[pa.Array]:
         machine = pieces(path)
-        coded = [machine.encode(value.as_py() or "") for value in texts]
+        coded = machine.encode_all([value.as_py() or "" for value in texts])
         made = [_lists([c[i] for c in coded]) for i in range(3)]
         return made + ([pa.array([machine.decode(c[0]) for c in coded], pa.string())] if decoded else [])
 
