@@ -6,6 +6,7 @@ counts per level, and the nodes when the model is done.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dwellspan.functions.columns import hash_uniform, logcosh_quantile
-from dwellspan.learning.grow import LEAST_CHANGE, MISSING, NODES, best_splits, grow_tree, level_histogram  # noqa: F401
+from dwellspan.learning.grow import LEAST_CHANGE, MAX_DEPTH, MISSING, NODES, best_splits, grow_tree, level_histogram  # noqa: F401
 from dwellspan.learning.trees import TreeModel, tree_frame
 from dwellspan.operators.ordered import quantiles
 from dwellspan.session import discard, materialise, materialise_bucketed, new_path
@@ -263,6 +264,60 @@ def fit_boosted(
     return TreeModel(table.features, base, tree_frame([]) if nodes is None else model_nodes(nodes, table.edges), history, best_round)
 
 
+def _poisson() -> tuple[float, ...]:
+    """P(X <= k) of the Poisson distribution of mean 1, for k = 0, 1, .. as far as a 32-bit hash can tell."""
+    term, total, out = math.exp(-1), 0.0, []
+    while total < 1 - 2.0**-33:
+        total += term
+        out.append(total)
+        term /= len(out)
+    return tuple(out)
+
+
+POISSON = _poisson()
+
+
+def bag_seed(params: BoostParams, tree: int) -> str:
+    return f"{params.seed}/bag/{tree}"
+
+
+def fit_forest(
+    table: BinnedTable, trees: int = 100, max_depth: int | None = None, min_child_weight: float = 1.0,
+    colsample_bylevel: float = 1.0, seed: int = 0,
+) -> TreeModel:
+    """Random forest for the squared error on the same engine: a tree learns the label from training rows that count as often as a
+    Poisson draw seeded by their key says (a bootstrap sample, for large tables); predictions are means over trees. Trees
+    grow until no split helps; `max_depth` None is as deep as nodes can be numbered."""
+    params = forest_params(trees, max_depth, min_child_weight, colsample_bylevel, seed)
+    spark, total, folder = table.rows.sparkSession, table.rows.count(), new_path(table.rows.sparkSession, "nodes")
+    widest = max(map(len, table.edges), default=0)
+    for tree in range(trees if total else 0):
+        drawn = hash_uniform("key", bag_seed(params, tree))
+        weight = F.size(F.filter(F.array(*map(F.lit, POISSON)), lambda p: p <= drawn)).cast("double")  # noqa: B023
+        bag = table.rows.withColumn("w", weight)
+        rows = bag.select(
+            "row", ((F.col("split") == "train") & (F.col("w") > 0)).alias("learns"), (-F.col("w") * F.col("y")).alias("g"),
+            F.col("w").alias("h"), "b",
+        )
+        chosen, levels = level_features(params, len(table.features), tree)
+        grown = grow_tree(rows, total, params, levels, chosen, widest + 2, table.buckets, leaf_sql(params))
+        grown.nodes.select(F.lit(tree).alias("tree"), "*").write.mode("append").parquet(folder)
+        grown.discard()
+    nodes = spark.read.schema(f"tree int, {NODES}").parquet(folder).toPandas() if total and trees else None
+    discard(spark, folder)
+    return TreeModel(table.features, 0.0, tree_frame([]) if nodes is None else model_nodes(nodes, table.edges), name="forest")
+
+
+def forest_params(
+    trees: int, max_depth: int | None = None, min_child_weight: float = 1.0, colsample_bylevel: float = 1.0, seed: int = 0
+) -> BoostParams:
+    """A forest as boosting parameters: leaves are means, divided by the number of trees."""
+    return BoostParams(
+        n_estimators=trees, max_depth=max_depth or MAX_DEPTH, eta=1 / trees, reg_lambda=0.0, base_score=0.0,
+        min_child_weight=min_child_weight, colsample_bylevel=colsample_bylevel, seed=seed,
+    )
+
+
 @dataclass
 class BoostedTrees:
     """Estimator over raw feature columns: `fit` bins the features and boosts, `transform` of the model

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from dwellspan.learning.boosting import LEAST_CHANGE, BoostParams, column_draws, row_seed, sampled_columns
+from dwellspan.learning.boosting import LEAST_CHANGE, POISSON, BoostParams, column_draws, row_seed, sampled_columns
 
 
 def edges_cte(name: str, source: str, features: Sequence[str], max_bins: int) -> str:
@@ -88,11 +88,13 @@ def best_cte(name: str, cells: str, p: BoostParams) -> str:
 
 
 def boosted(
-    prefix: str, source: str, features: Sequence[str], p: BoostParams, max_bins: int, label: str = "dom"
+    prefix: str, source: str, features: Sequence[str], p: BoostParams, max_bins: int, label: str = "dom",
+    bag: Callable[[int], str] | None = None,
 ) -> str:
     """CTEs that bin `source` and grow p.n_estimators trees of depth p.max_depth. After tree t the
     margins are in `{prefix}_m{t + 1}` and the splits of its level d in `{prefix}_s{t}_{d}`. Rows first walk the
-    grown tree (`_g`), whose splits (`_c`) are kept if they reach gamma or have a kept one below, then the kept one (`_n`)."""
+    grown tree (`_g`), whose splits (`_c`) are kept if they reach gamma or have a kept one below, then the kept one (`_n`).
+    `bag`: SQL of a row's weight in a tree; trees then learn the label itself, whatever the margins are."""
     n = len(features)
     base = {
         "mean": "(SELECT avg(y) FROM {b} WHERE split = 'train')",
@@ -125,6 +127,9 @@ def boosted(
         if p.subsample < 1:
             digest = f"CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR) || '|{row_seed(p, t)}'), 1, 8) AS BIGINT)"
             learnt += f" AND {digest} / CAST(4294967296 AS DOUBLE) < {float(p.subsample)!r}"
+        if bag:
+            g, h = f"-({bag(t)}) * y", f"CAST({bag(t)} AS DOUBLE)"
+            learnt += f" AND {bag(t)} > 0"
         for name in (at, grown):
             ctes.append(
                 f"{name}_0 AS MATERIALIZED (SELECT listing_id, split, y, margin, {columns}, {g} AS g, {h} AS h, "
@@ -153,6 +158,12 @@ def boosted(
     return ",\n".join(c.strip() for c in ctes)
 
 
+def bag_sql(key: str, seed: str) -> str:
+    """How often a row is drawn: the number of thresholds at or below its hashed key."""
+    digest = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 8) AS BIGINT)"
+    return f"len(list_filter([{', '.join(map(repr, POISSON))}], lambda p: p <= {digest} / CAST(4294967296 AS DOUBLE)))"
+
+
 def all_splits(prefix: str, p: BoostParams) -> str:
     """Every split of the ensemble: (feature, gain)."""
     return " UNION ALL ".join(

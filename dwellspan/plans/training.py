@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dwellspan.functions.columns import interval_cols
 from dwellspan.learning.boosting import (
-    BoostParams, IntervalModel, best_splits, bin_edges, bin_table, fit_boosted, fit_interval,
+    BoostParams, IntervalModel, best_splits, bin_edges, bin_table, fit_boosted, fit_forest, fit_interval, forest_params,
     level_histogram,
 )
 from dwellspan.learning.ensemble import Stacking, fast_boosted, forest, learning_curve, linear
@@ -34,6 +34,8 @@ SQUARED = BoostParams(
     n_estimators=2, max_depth=2, eta=0.3, reg_lambda=2.5, reg_alpha=5.0, gamma=1.0, min_child_weight=14.0
 )
 STUMPS = replace(SQUARED, max_depth=1)
+EXPLAINED = replace(SQUARED, max_depth=4)
+FOREST = forest_params(5, 5, seed=11)
 STOPPING = replace(SQUARED, n_estimators=4, max_depth=1, eta=1.6, patience=1)
 UPPER = BoostParams(
     objective="logcosh", alpha=0.95, base_score="quantile", n_estimators=2, max_depth=2, eta=0.05,
@@ -172,6 +174,12 @@ def _(spark, d):
 
 
 @query("j7_train_forest")
+def _(spark, d):
+    rows = staged_splits(spark, d)
+    return _predictions(fit_forest(binned(rows, TR_V2), FOREST.n_estimators, FOREST.max_depth, seed=FOREST.seed), rows)
+
+
+@query("j7_train_forest_fast_lane")
 def _(spark, d):
     rows = materialise(assemble(staged_splits(spark, d), TR_V2).select("listing_id", "split", "dom", "features"), "vectors")
     model = forest(numTrees=5, maxDepth=5).fit(rows.where(F.col("split") == "train"))
@@ -227,14 +235,13 @@ def _(spark, d):
 @query("j12_shap_contributions")
 def _(spark, d):
     rows = staged_splits(spark, d)
-    model = trained(rows, STUMPS)
-    return rounded(contributions(model, rows.where(F.col("split") == "test")))
+    return rounded(contributions(trained(rows, EXPLAINED), rows))
 
 
 @query("j12_shap_global")
 def _(spark, d):
     rows = staged_splits(spark, d)
-    return rounded(global_contributions(trained(rows, STUMPS), rows.where(F.col("split") == "test")))
+    return rounded(global_contributions(trained(rows, EXPLAINED), rows))
 
 
 @query("j12_shap_sums_to_prediction")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import fields, replace
+from math import factorial
 
-from dwellspan.learning.boosting import BoostParams
-from dwellspan.plans.boosted_sql import all_splits, best_cte, binned_cte, boosted, edges_cte
+from dwellspan.learning.boosting import BoostParams, bag_seed
+from dwellspan.plans.boosted_sql import all_splits, bag_sql, best_cte, binned_cte, boosted, edges_cte
 from dwellspan.plans.data import DATA_MONTHS, SPLIT_SEED
 from dwellspan.plans.oracle import MONTH, ORACLES, SPLITS, bucket, onehot, rfm, sql, trimmed
 from dwellspan.plans.training import (
-    BINS, CURVE, DEEP, FOLDS, LOWER, SAMPLED, SMALL_SPACE, SQUARED, STOPPING, STUMPS, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
+    BINS, CURVE, DEEP, EXPLAINED, FOLDS, FOREST, LOWER, SAMPLED, SMALL_SPACE, SQUARED, STOPPING, TREE_FEATURES, TRIAL_BASE, TRIAL_SEED, TRIALS, UPPER,
     V1, V1_BINS, V1_PARAMS,
 )
 from dwellspan.schema import BOOL_COLUMNS, COUNTRIES, EUR_V2, RFM_COLUMNS, TR_V2
@@ -50,6 +51,10 @@ O["j3_train_gbt_deep"] = sql(
     SPLITS, boosted("d", "splits", TREE_FEATURES, DEEP, BINS),
 )
 O["a7_model_save_load"] = O["j3_train_gbt"]
+O["j7_train_forest"] = sql(
+    f"SELECT listing_id, split, round(margin, 6) AS prediction FROM w_m{FOREST.n_estimators}",
+    SPLITS, boosted("w", "splits", TR_V2, FOREST, BINS, bag=lambda tree: bag_sql("listing_id", bag_seed(FOREST, tree))),
+)
 O["j12_shap_sums_to_prediction"] = sql(
     f"SELECT listing_id, round(margin, 6) AS prediction FROM {LAST}", SPLITS, MODEL
 )
@@ -181,31 +186,53 @@ FROM (SELECT feature, avg(gain) AS gain FROM all_splits GROUP BY feature)""",
     SPLITS, MODEL, SPLIT_ROWS,
 )
 
-# A stump moves a row by leaf minus the mean leaf under the training cover, all on its one feature.
-STUMP_MODEL = boosted("k", "splits", TREE_FEATURES, STUMPS, BINS)
-_moves = ",\n".join(
-    f"""moved{t} AS (
-  SELECT listing_id, (SELECT feature FROM k_s{t}_0) AS feature, leaf - mean AS phi, mean
-  FROM k_n{t}_1 JOIN k_l{t} USING (node)
-  CROSS JOIN (SELECT sum(leaf * cover) / sum(cover) AS mean FROM k_l{t}) WHERE split = 'test')"""
-    for t in range(STUMPS.n_estimators)
+# Shapley values by their definition. A leaf's value counts for a set of known features as far as a row passes the tests on these,
+# times the shares of the training cover that pass the tests on the others.
+EXPLAINED_MODEL = boosted("k", "splits", TREE_FEATURES, EXPLAINED, BINS)
+_all = range(len(TREE_FEATURES))
+_steps = " UNION ALL ".join(
+    f"SELECT {t} AS tree, {d} AS level, node, feature, bin, h, hl FROM k_s{t}_{d}"
+    for t in range(EXPLAINED.n_estimators) for d in range(EXPLAINED.max_depth)
+)
+_leaves = " UNION ALL ".join(f"SELECT {t} AS tree, node, leaf FROM k_l{t}" for t in range(EXPLAINED.n_estimators))
+_tests = ", ".join(
+    f"coalesce(product(CASE WHEN goes_left THEN hl / h ELSE (h - hl) / h END) FILTER (WHERE feature = {i}), 1.0) AS s{i}, "
+    f"coalesce(max(bin) FILTER (WHERE feature = {i} AND NOT goes_left), -1) AS lo{i}, "
+    f"coalesce(min(bin) FILTER (WHERE feature = {i} AND goes_left), 1000) AS hi{i}"
+    for i in _all
+)
+_passes = {i: f"CASE WHEN b{i} > lo{i} AND b{i} <= hi{i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for i in _all}
+_values = ", ".join(
+    f"sum(leaf * {' * '.join(f'({_passes[i]})' if known >> i & 1 else f's{i}' for i in _all)}) AS v{known}"
+    for known in range(1 << len(TREE_FEATURES))
 )
-_phi = " UNION ALL ".join(f"SELECT * FROM moved{t}" for t in range(STUMPS.n_estimators))
-PHI = f"phi AS (SELECT * FROM ({_phi}))"
-_columns = ", ".join(
-    f"round(sum(CASE WHEN feature = {i} THEN phi ELSE 0 END), 6) AS {c}" for i, c in enumerate(TREE_FEATURES)
+
+
+def _shapley(j: int) -> str:
+    n = len(TREE_FEATURES)
+    weight = lambda k: factorial(k) * factorial(n - k - 1) / factorial(n)
+    return " + ".join(
+        f"{weight(known.bit_count())!r}::DOUBLE * (v{known | 1 << j} - v{known})" for known in range(1 << n) if not known >> j & 1
+    )
+
+
+PHI = (
+    f"""leaves AS (SELECT *, CAST(floor(log2(node)) AS INTEGER) AS level FROM ({_leaves})),
+tests AS (
+  SELECT l.tree, l.node, any_value(l.leaf) AS leaf, {_tests}
+  FROM (SELECT l.tree, l.node, l.leaf, s.feature, s.bin, s.h, s.hl, ((l.node >> (l.level - s.level - 1)) & 1) = 0 AS goes_left
+        FROM leaves l LEFT JOIN ({_steps}) s ON s.tree = l.tree AND s.level < l.level AND s.node = l.node >> (l.level - s.level)) l
+  GROUP BY l.tree, l.node),
+known AS MATERIALIZED (SELECT listing_id, {_values} FROM k_b, tests GROUP BY listing_id),
+phi AS (SELECT listing_id, v0, {", ".join(f"{_shapley(j)} AS {c}" for j, c in enumerate(TREE_FEATURES))} FROM known)"""
 )
+_rounded = ", ".join(f"round({c}, 6) AS {c}" for c in TREE_FEATURES)
 O["j12_shap_contributions"] = sql(
-    f"SELECT listing_id, {_columns}, round({STUMPS.base_score!r} + sum(mean), 6) AS expected_value FROM phi GROUP BY listing_id",
-    SPLITS, STUMP_MODEL, _moves, PHI,
+    f"SELECT listing_id, {_rounded}, round({EXPLAINED.base_score!r} + v0, 6) AS expected_value FROM phi", SPLITS, EXPLAINED_MODEL, PHI,
 )
 O["j12_shap_global"] = sql(
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, round(avg(abs(p)), 6) AS importance FROM "
-        f"(SELECT sum(CASE WHEN feature = {i} THEN phi ELSE 0 END) AS p FROM phi GROUP BY listing_id)"
-        for i, c in enumerate(TREE_FEATURES)
-    ),
-    SPLITS, STUMP_MODEL, _moves, PHI,
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg(abs({c})), 6) AS importance FROM phi" for c in TREE_FEATURES),
+    SPLITS, EXPLAINED_MODEL, PHI,
 )
 
 # The V1 model learns on trimmed training rows with their city scores; the scored rows take the same
