@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellspan.session import discard, materialise, materialise_bucketed, materialise_observed, new_path, small_table
+from dwellspan.session import discard, materialise, materialise_bucketed, materialise_observed, new_path
 
 MISSING = -1
 # Fixed value: the least loss reduction at which the usual libraries try a split.
@@ -28,7 +28,7 @@ LEAST_CHANGE = 1e-6
 # Levels that rows walk down within one job before their place is written.
 WALK_LEVELS = 4
 # Rows up to which a node is grown in one task.
-LOCAL_ROWS = 4096
+LOCAL_ROWS = 8192
 # Deepest tree whose nodes a long can number.
 MAX_DEPTH = 60
 RECORD = "node bigint, feature int, bin int, default_left boolean, gain double, g double, h double, gl double, hl double"
@@ -300,10 +300,10 @@ def grow_tree(
         local, gone = materialise_bucketed(grown.where("row IS NOT NULL").select("row", "node"), "placed", "row", buckets)
         written.append(gone)
 
-    records = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RECORD)
+    records = (reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RECORD)).coalesce(1)
     nodes, _ = keep(_pruned(records, params.gamma, leaf), "nodes")
     return GrownTree(
-        nodes, _values(records, nodes), lambda source: _reached(placed(source), local), summed_rows,
+        nodes, _values(records, nodes, params.gamma), lambda source: _reached(placed(source), local), summed_rows,
         lambda: [gone() for gone in written],
     )
 
@@ -325,27 +325,30 @@ def _reached(placed: DataFrame, local: DataFrame | None) -> DataFrame:
 
 
 def _pruned(records: DataFrame, gamma: float, leaf: Callable[[str, str], str]) -> DataFrame:
-    """Splits that reach `gamma` or have one below them that does, and the leaves under them."""
+    """Splits that reach `gamma` or have one below them that does, and the leaves under them. `records`: in one partition, so
+    that these small joins need no exchange (they sort, and spill if a tree should be that large)."""
     grown = records.where(f"gain > {LEAST_CHANGE!r}D")
     kept = grown
     if gamma > LEAST_CHANGE:
-        strong = _ancestors(grown.where(f"gain >= {float(gamma)!r}D").select("node")).select(F.col("above").alias("node")).distinct()
-        kept = grown.join(strong, "node", "left_semi")
+        strong = _ancestors(grown.where(f"gain >= {float(gamma)!r}D").select("node")).select(F.col("above").alias("node"))
+        kept = grown.join(strong.hint("merge"), "node", "left_semi")
     children = kept.selectExpr("inline(array(struct(node * 2 AS node, gl AS g, hl AS h), struct(node * 2 + 1 AS node, g - gl AS g, h - hl AS h)))")
     root = records.where("node = 1").select("node", "g", "h")
-    leaves = children.unionByName(root).join(kept.select("node"), "node", "left_anti")
+    leaves = children.unionByName(root).coalesce(1).join(kept.select("node").hint("merge"), "node", "left_anti")
     return kept.selectExpr(
         "node", "feature", "bin", "default_left", "gain", "h AS cover", "0D AS leaf"
     ).unionByName(leaves.selectExpr(
         "node", "-1 AS feature", "0 AS bin", "false AS default_left", "0D AS gain", "h AS cover", f"{leaf('g', 'h')} AS leaf"
-    ))
+    )).coalesce(1)
 
 
-def _values(records: DataFrame, nodes: DataFrame) -> DataFrame:
+def _values(records: DataFrame, nodes: DataFrame, gamma: float) -> DataFrame:
     """Of each node where rows come to rest in the grown tree, the value of the leaf at or above it."""
+    leaves = nodes.where("feature < 0").select("node", F.col("leaf").alias("value"))
+    if gamma <= LEAST_CHANGE:
+        return leaves  # nothing was pruned
     grown = records.where(f"gain > {LEAST_CHANGE!r}D").select("node")
-    ends = grown.selectExpr("explode(array(node * 2, node * 2 + 1)) AS node").unionByName(
-        small_table(records.sparkSession, [(1,)], "node bigint")
-    ).join(grown, "node", "left_anti")
-    leaves = nodes.where("feature < 0").select(F.col("node").alias("above"), F.col("leaf").alias("value"))
-    return _ancestors(ends).join(leaves, "above").select("node", "value")
+    root = records.where("node = 1").select("node")
+    ends = grown.selectExpr("explode(array(node * 2, node * 2 + 1)) AS node").unionByName(root).coalesce(1)
+    rest = ends.join(grown.hint("merge"), "node", "left_anti")
+    return _ancestors(rest).join(leaves.withColumnRenamed("node", "above").coalesce(1).hint("merge"), "above").select("node", "value")
