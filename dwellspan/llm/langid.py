@@ -31,20 +31,56 @@ from dwellspan.llm.urlfilter import host_of
 from dwellspan.session import materialise
 
 CELLS, SMOOTH, EVIDENCE, STRENGTH, MAX_LANGUAGES = 1 << 14, 0.5, 60.0, 5.0, 1000
-_DROP = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer)\b.*?</\1\s*>|<[^>]*>")
-_DROP_LESS = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)")
+_OPENING = re.compile(r"<(script|style|nav|footer)\b", re.I)
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "nav", "footer")}
+_HTML, _LANG = re.compile(r"<html\b", re.I), re.compile(r"\blang\s*=\s*[\"']?([a-z]+)", re.I)
+
+
+def _text_outside(page: str, dropped: tuple[str, ...]) -> str:
+    """The page without comments, tags, and elements of these names, each replaced by a blank. What isn't closed is a tag, and
+    without a `>` text. One walk from left to right: where no closing mark is found once, none is looked for again."""
+    parts, at, never = [], 0, set()
+
+    def find(mark: str, start: int) -> int:
+        if mark in never:
+            return -1
+        if mark in _CLOSING:
+            found = _CLOSING[mark].search(page, start)
+            place = found.end() if found else -1
+        else:
+            place = page.find(mark, start)
+            place = place + len(mark) if place >= 0 else -1
+        if place < 0:
+            never.add(mark)
+        return place
+
+    while (tag := page.find("<", at)) >= 0:
+        end = find("-->", tag + 4) if page.startswith("<!--", tag) else -1
+        if end < 0 and (opening := _OPENING.match(page, tag)) and opening[1].lower() in dropped:
+            end = find(opening[1].lower(), opening.end())
+        if end < 0 and (end := find(">", tag + 1)) < 0:
+            break
+        parts.append(page[at:tag])
+        at = end
+    return " ".join([*parts, page[at:]])
 
 
 def visible_text(page: str) -> str:
     """Text outside of <nav> and <footer>, or theirs if there is no other."""
-    text = html.unescape(_DROP.sub(" ", page))
-    return text if text.strip() else html.unescape(_DROP_LESS.sub(" ", page))
+    text = html.unescape(_text_outside(page, tuple(_CLOSING)))
+    return text if text.strip() else html.unescape(_text_outside(page, ("script", "style")))
 
 
 def declared_language(page: str) -> str:
-    found = _DECLARED.search(page)
-    return found[1].lower() if found else ""
+    at = 0
+    while tag := _HTML.search(page, at):
+        at = page.find(">", tag.end())
+        end = at if at >= 0 else len(page)
+        if found := _LANG.search(page, tag.end(), end):
+            return found[1].lower()
+        if at < 0:
+            break
+    return ""
 
 
 def trigram_cells(data: np.ndarray, offsets: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +184,16 @@ def identify(
     pages: DataFrame, model: TextModel, url: str = "url", markup: str = "html", strength: float = STRENGTH
 ) -> DataFrame:
     """`pages` with host, declared (language of the markup), lang and confidence (its posterior)."""
-    pages = pages.select(*[c for c in pages.columns if c.lower() not in ("host", "declared", "lang", "confidence")])
+    # within, other columns have names that none of ours is
+    new = ("host", "declared", "lang", "confidence")
+    names = [c for c in pages.columns if c.lower() not in new]
+    plain = pages.toDF(*[f"c{i}" for i in range(len(pages.columns))])
+    place = {c: f"c{i}" for i, c in enumerate(pages.columns)}
+    judged = _judged(plain.select(*[place[c] for c in names]), model, place[url], place[markup], strength)
+    return judged.toDF(*names, *new)
+
+
+def _judged(pages: DataFrame, model: TextModel, url: str, markup: str, strength: float) -> DataFrame:
     width = len(model.languages)
     if not width:
         nothing = {"declared": F.lit(None).cast("string"), "lang": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")}

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellspan.llm.text import LOWER_CASE, UPPER, free_name, text_key
+from dwellspan.llm.text import LOWER_CASE, UPPER, free_name, plain_names, text_key
 from dwellspan.session import materialise
 
 MIN_CHARS, MIN_DOCS = 10, 2
@@ -57,6 +57,7 @@ def drop_shared_lines(
     n_lines: str | None = None, n_dropped: str | None = None,
 ) -> DataFrame:
     """`docs` with the kept lines as `text`; two more columns, if named, count lines before and dropped lines."""
+    docs, named = plain_names(docs)
     lines = _occurrences(docs, doc_id, text, min_chars)
     doc, th, drops = (free_name(docs, n) for n in ("doc", "th", "drops"))
     dropped = (
@@ -76,6 +77,6 @@ def drop_shared_lines(
     )[0]
     counts = {n_lines: F.size(all_lines).cast("bigint"), n_dropped: F.coalesce(F.size(drops), F.lit(0)).cast("bigint")}
     new = {text: F.when(F.col(drops).isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(kept, "\n"))}
-    return rows.withColumns({n: c for n, c in counts.items() if n} | new).select(
+    return named(rows.withColumns({n: c for n, c in counts.items() if n} | new).select(
         *docs.columns, *[n for n in counts if n and n not in docs.columns]
-    )
+    ))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dwellspan.llm.text import free_name
+from dwellspan.llm.text import free_name, plain_names
 
 PARAGRAPH = 160
 # Up to PARAGRAPH code points before an end mark with a blank, or before the end; else PARAGRAPH of them.
@@ -106,6 +106,7 @@ def with_next_text(
     Spark's range partitioner, on ids alone, gives block borders (at most MAX_BLOCKS). Texts move once, to their block; the first
     row of each block also goes to the block before, as a guest. Rows without id come first. A single id must not
     hold more rows than a task can spill."""
+    docs, named = plain_names(docs.drop(name))
     key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63)))
     block, order, guest, rows = (free_name(docs, n) for n in ("block", "order", "guest", "rows"))
     ids = docs.select(key.alias(order))
@@ -124,7 +125,7 @@ def with_next_text(
         block: F.col(f"{rows}.{block}"), guest: F.col(f"{rows}.{guest}")
     })
     turn = Window.partitionBy(block).orderBy(guest, order, text)
-    return placed.withColumn(name, F.lead(text).over(turn)).where(~F.col(guest)).select(*docs.columns, name)
+    return named(placed.withColumn(name, F.lead(text).over(turn)).where(~F.col(guest)).select(*docs.columns, name))
 
 
 def edited_text(text: Column, other: Column) -> Column:

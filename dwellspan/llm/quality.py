@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspan.llm.sums import sum_vectors
-from dwellspan.llm.text import free_name, mix, text_chunks, words_of
+from dwellspan.llm.text import free_name, mix, plain_names, text_chunks, words_of
 from dwellspan.session import materialise
 
 STATISTICS = (
@@ -250,6 +250,7 @@ def train_and_score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score at least `threshold`, with all their columns."""
+    docs, named = plain_names(docs)
     name = free_name(docs, "text")
     rows = docs.withColumn(name, F.col(text).cast("string"))
     schema = docs.schema
@@ -261,4 +262,4 @@ def keep_good(docs: DataFrame, model: QualityModel, text: str = "text", threshol
                 part = batch.slice(first, end - first).filter(good)
                 yield pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1])
 
-    return rows.mapInArrow(run, schema)
+    return named(rows.mapInArrow(run, schema))

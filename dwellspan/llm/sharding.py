@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dwellspan.llm.text import free_name
+from dwellspan.llm.text import free_name, plain_names
 from dwellspan.session import materialise, new_path
 
 SHARDS, BUCKET_BYTES, BUCKETS_PER_TASK = 16, 4 << 20, 8
@@ -34,15 +34,16 @@ def shuffle_into_shards(
 ) -> DataFrame:
     """The shards' files, read back: the columns of `docs`, size, shard and slot (gapless from 0 in each shard)."""
     spark = docs.sparkSession
+    docs, named = plain_names(docs)
     docs = docs.select(*[c for c in docs.columns if c.lower() not in ("shard", "slot", "size")])
     total = docs.agg(F.sum(record_size(F.col(text)))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     seen, out = Observation(), path or new_path(spark, "shards")
     expected = _two_passes(docs, shards, seed, doc_id, text, buckets, seen, out)
     if (seen.get["rows"], seen.get["odd"]) != (expected, 0):
-        return shuffle_into_shards(materialise(docs, "records"), shards, seed, doc_id, text, bucket_bytes, path)
+        return named(shuffle_into_shards(materialise(docs, "records"), shards, seed, doc_id, text, bucket_bytes, path))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return spark.read.schema(f"{fields}, size bigint, slot bigint, shard int").parquet(out)
+    return named(spark.read.schema(f"{fields}, size bigint, slot bigint, shard int").parquet(out))
 
 
 def _two_passes(docs, shards, seed, doc_id, text, buckets, seen, out) -> int:

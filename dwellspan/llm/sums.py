@@ -8,22 +8,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-SHARES = 32
+FAN = 64  # vectors that a task adds in the later rounds
 
 
 def sum_vectors(rows: DataFrame, part_of: Callable[[pa.RecordBatch], dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
     """Add up what `part_of` gives of each batch: {block: vector of doubles}.
 
-    A partition sends one vector per block. Vectors of a block are added in two rounds, so no task gets those of all
-    partitions; the driver gets one per block."""
+    A partition sends one vector per block. Vectors of a block are added in three rounds, so that no task gets those of all
+    partitions, or of more than FAN in the rounds after the first; the driver gets one per block."""
 
     def run(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, vector in part_of(batch).items():
                 total[block] = total[block] + vector if block in total else np.asarray(vector, float)
-        share = TaskContext.get().partitionId() % SHARES
+        share = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(total), pa.int32()), pa.array([share] * len(total), pa.int32()),
@@ -37,5 +38,7 @@ def sum_vectors(rows: DataFrame, part_of: Callable[[pa.RecordBatch], dict[int, n
         return table.slice(0, 1).set_column(2, "vector", pa.array([total.tobytes()], pa.binary()))
 
     schema = "block int, share int, vector binary"
-    some = rows.mapInArrow(run, schema).groupBy("block", "share").applyInArrow(add, schema)
-    return {r["block"]: np.frombuffer(r["vector"]) for r in some.groupBy("block").applyInArrow(add, schema).toLocalIterator()}
+    some = rows.mapInArrow(run, schema)
+    for shares in (FAN * FAN, FAN, 1):
+        some = some.withColumn("share", F.col("share") % shares).groupBy("block", "share").applyInArrow(add, schema)
+    return {r["block"]: np.frombuffer(r["vector"]) for r in some.toLocalIterator()}

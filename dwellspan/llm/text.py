@@ -33,6 +33,15 @@ def free_name(df, stem: str) -> str:
     return name
 
 
+def plain_names(df):
+    """`df` with other names for columns whose names would need quotes, and the function that gives theirs back."""
+    odd = {c: f"__odd{i}" for i, c in enumerate(df.columns) if "." in c or "`" in c}
+    if not odd:
+        return df, lambda out: out
+    given = {new: c for c, new in odd.items()}
+    return df.toDF(*[odd.get(c, c) for c in df.columns]), lambda out: out.toDF(*[given.get(c, c) for c in out.columns])
+
+
 def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a text (a null is an empty text)."""
     text = F.coalesce(text, F.lit(""))

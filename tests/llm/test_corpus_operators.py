@@ -13,7 +13,11 @@ from dwellspan.llm.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 # Columns whose names the operators use for their own columns.
-EXTRA = "lang string, score double, n_words bigint, shard int, slot int, size int, tokens string, __th1 int, __text int, statistics int, block int"
+EXTRA = (
+    "lang string, score double, n_words bigint, shard int, slot int, size int, tokens string, __th1 int, __text int, statistics int, "
+    "block int, next_text string, n int, parent int, said int, __host int, __share int, rows int, c0 int, n0 int, pos int, line string, "
+    "k1 int, doc int, first int, class_id int, a.b int"
+)
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -24,7 +28,7 @@ def words(text):
 def docs_of(spark, rows):
     """(doc_id, text) rows with clashing columns, null in all of them."""
     base = spark.createDataFrame(rows, "doc_id bigint, text string")
-    return base.selectExpr("*", *[f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in EXTRA.split(", ")])
+    return base.selectExpr("*", *[f"cast(null as {c.split()[1]}) as `{c.split()[0]}`" for c in EXTRA.split(", ")])
 
 
 LONG = " ".join(f"w{i % 977}" for i in range(120_000))
@@ -363,7 +367,10 @@ def test_language_evidence(spark):
     page = lambda lang, text: f'<html lang="{lang}"><style>x</style><p>{text}</p></html>'
     rows = [(i, "http://a.de/x", page("de", "und der Hund und die Katze")) for i in range(20)]
     rows += [(20, "http://a.de/y", page("de", "zzz")), (21, "http://b.org/", page("en", "the dog and there the cat")), (22, None, None), (22, "", "<p>")]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("lang", F.lit("old"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns(
+        {c: F.lit("old") for c in ("lang", "n", "parent", "said", "__host", "__share", "__logs", "nd", "ns", "all", "a.b", "c1")}
+    )
+    assert set(langid.identify(pages, model).select("__host", "`a.b`", "n").distinct().collect()) == {("old",) * 3}
     got = {(r["page_id"], r["url"]): r for r in langid.identify(pages, model).collect()}
     assert len(got) == len(rows)
     assert got[20, "http://a.de/y"]["lang"] == "de"  # no text, but the host and the markup say so
@@ -380,6 +387,59 @@ def test_language_of_text_in_navigation_only():
     assert not langid.visible_text("<script>x</script><p> &nbsp; </p>").strip()
 
 
+@pytest.mark.parametrize("mark", ["<nav>", "<!--", "<html ", "<", "</nav  ", "<html lang", "<nav></nav", "<script x"])
+def test_hostile_markup_takes_linear_time(mark):
+    import time
+
+    page = mark * (1_000_000 // len(mark))
+    started = time.process_time()
+    langid.visible_text(page)
+    langid.declared_language(page)
+    assert time.process_time() - started < 3
+
+
+def test_language_equals_bayes_by_hand(spark):
+    """The same sums and products over a small table, one page at a time."""
+    import numpy as np
+
+    docs = [("the cat and the dog went there", "en"), ("der Hund und die Katze gehen dort", "de"), ("le chat et le chien", "fr")]
+    model = langid.fit_text_model(spark.createDataFrame(docs, "text string, lang string"))
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        text = " ".join(rng.choices(docs[rng.randrange(3)][0].split(), k=rng.randrange(6)))
+        said = rng.choice(["", ' lang="en"', ' lang="de"', ' lang="xx"'])
+        rows.append((i, f"http://{rng.choice(['a.de', 'b.de', 'www.b.de', 'c.org', '1.c.org'])}/", f"<html{said}><p>{text}</p>"))
+    rows.append((60, None, None))
+    width = len(model.languages)
+    pages = []
+    for page_id, url, markup in rows:
+        host = url.split("/")[2] if url else ""
+        data = langid.visible_text(markup or "").encode()
+        logs = model.log_likelihoods(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]
+        share = np.exp(logs - logs.max())
+        pages.append((page_id, host, ".".join(host.split(".")[-2:]), host.split(".")[-1], langid.declared_language(markup or ""), logs, share / share.sum()))
+    total = lambda chosen: sum((p[6] for p in chosen), np.zeros(width))
+    smooth = lambda counts, above: (counts + langid.STRENGTH * above) / (counts.sum() + langid.STRENGTH)
+    values = {p[4] for p in pages if p[4]}
+    said_in_all = total([p for p in pages if p[4]])
+    want = {}
+    for page_id, host, domain, suffix, said, logs, share in pages:
+        prior = smooth(total(pages), np.full(width, 1 / width))
+        prior = smooth(total([p for p in pages if p[3] == suffix]), prior)
+        prior = smooth(total([p for p in pages if p[2:4] == (domain, suffix)]), prior)
+        prior = smooth(np.maximum(total([p for p in pages if p[1] == host]) - share, 0), prior)
+        score = logs + np.log(prior)
+        if said:
+            score = score + np.log((total([p for p in pages if p[4] == said]) + 1) / (said_in_all + len(values)))
+        mass = np.exp(score - score.max())
+        want[page_id] = model.languages[int(score.argmax())], 1 / mass.sum()
+    got = langid.identify(spark.createDataFrame(rows, "page_id bigint, url string, html string"), model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["lang"] == want[r["page_id"]][0] and r["confidence"] == pytest.approx(want[r["page_id"]][1])
+
+
 def test_language_of_given_pages(spark):
     got = QUERIES["op7_langid"](spark, SMALL).toPandas()
     assert (got.lang == got.declared).mean() > 0.95 and got.confidence.between(0, 1).all()
