@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from dwellspan.llm.text import add_in_arrow
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-TABLE_BYTES = 40 << 20  # of states, transitions and pairs of a worker
-MATCH_BYTES = 40 << 20  # of remembered matches, the newer and the older ones
+TABLE_BYTES = 256 << 20  # of states, transitions and pairs of a worker
+MATCH_BYTES = 128 << 20  # of remembered matches, the newer and the older ones
 DECODED = 4096  # tokens that are decoded at a time
 _made: dict[tuple[str, str], "Transducer"] = {}
 _bytes: dict[str, list[bytes]] = {}
@@ -108,7 +108,7 @@ class Transducer:
         if at is None:
             at = self.number[configurations] = len(self.states)
             self.states.append(configurations)
-            self.table_bytes += 200 + 190 * len(configurations)  # about what these objects take
+            self.table_bytes += 120 + 115 * len(configurations)  # about what these objects take, as measured
         return at
 
     def stays_apart(self, before: int, token: int) -> bool:
@@ -117,7 +117,7 @@ class Transducer:
         if known is None:
             a, b = self.token_bytes[before], self.token_bytes[token]
             known = self.apart[before << 20 | token] = merge(a + b, self.ranks) == [a, b]
-            self.table_bytes += 110
+            self.table_bytes += 65
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -148,7 +148,7 @@ class Transducer:
         if n := len(emitted):
             moved = [(node, before, ahead[n:]) for node, before, ahead in moved]
         step = self.steps[state << 8 | byte] = self._state(tuple(moved)), emitted
-        self.table_bytes += 230
+        self.table_bytes += 140
         return step
 
     def encode_match(self, piece: bytes) -> list[int]:
@@ -170,7 +170,7 @@ class Transducer:
             packed = struct.pack(f"<{len(ids)}I", *ids)
             if len(match) > 64:
                 return packed
-        self.match_bytes += 230 + len(packed)
+        self.match_bytes += 140 + len(packed)
         if self.match_bytes > MATCH_BYTES // 2:  # matches that don't come again go with the older table
             self.remembered, self.older, self.match_bytes = {}, self.remembered, 0
         self.remembered[match] = packed
