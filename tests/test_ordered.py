@@ -46,7 +46,7 @@ def test_bracketing_changes_no_quantile(spark, by):
     pdf = pd.DataFrame({"k": rng.choice(list("aab"), n), "x": np.round(rng.lognormal(3, 2, n), 4)})
     df = spark.createDataFrame(pdf)
     qs = [0.05, 0.5, 0.501, 0.95]
-    narrow = ordered._bracketed(df.select(*by, "x"), "x", qs, by, 0)
+    narrow = ordered._narrowed(df.select(*by, "x"), "x", qs, by, 0)
     assert narrow.select(*by, "x").distinct().count() < 0.05 * n
     got = ordered.quantiles(df, "x", qs, by, bracket_rows=0).collect()
     want = pdf.groupby("k")["x"].quantile(qs) if by else pdf["x"].quantile(qs)
@@ -122,10 +122,11 @@ def test_value_counts_leave_out_nulls(spark):
     assert [tuple(r) for r in stats.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 4])
-def test_brackets_are_verified_and_widened(spark, monkeypatch, accuracy):
-    """A sketch of accuracy 4 misses the ranks at first; results stay exact."""
-    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", accuracy)
+@pytest.mark.parametrize(("size", "pivots"), [(1024, 256), (8, 16), (8, 256)])
+def test_pivots_are_counted_and_widened(spark, monkeypatch, size, pivots):
+    """A sketch of size 8 misses the ranks at first; results stay exact."""
+    monkeypatch.setattr(ordered, "SKETCH_K", size)
+    monkeypatch.setattr(ordered, "PIVOTS", pivots)
     df = spark.range(5000).selectExpr("id % 3 as k", "cast(pmod(id * 7919, 5000) as double) / 7 as v")
     qs = [0.0, 0.05, 0.5, 0.95, 1.0]
     got = {(r["k"], r["q"]): r["value"] for r in ordered.quantiles(df, "v", qs, ["k"], bracket_rows=0).collect()}
