@@ -48,4 +48,4 @@ def test_run_is_registered(spark):
     import __spark_entry__
 
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in __spark_entry__.queries() if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in __spark_entry__.queries() if q.startswith("op")}
