@@ -74,7 +74,8 @@ def test_search_returns_the_trial_with_the_least_loss(spark, rows):
     space = {"max_depth": ("int", 1, 3), "eta": ("real", 0.1, 0.9), "n_estimators": ("int", 1, 2)}
     trials = sample_space(spark, 2, 3, space)
     table = bin_table(rows, FEATURES, "label", max_bins=8)
-    results = search(rows, table, trials, loss="median_ae", label="label").collect()
+    results = search(rows, table, trials, loss="median_ae", label="label", parallel=3).collect()
+    assert results == search(rows, table, trials, loss="median_ae", label="label", parallel=1).collect()
     assert len(results) == 2 and all(r["loss"] > 0 for r in results)
     best = best_trial(spark.createDataFrame(results)).first()
     assert best["loss"] == min(r["loss"] for r in results)
