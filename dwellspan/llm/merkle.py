@@ -66,18 +66,45 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(root(a) == root(b), 1.0).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
-def edited_leaves(a: Column, b: Column) -> Column:
-    """Indexes of the leaves of `a` that `b` doesn't have."""
-    pair = F.array(F.struct(leaves_of(a).alias("mine"), leaves_of(b).alias("other")))
-    places = F.transform(
-        pair,
-        lambda p: F.map_from_entries(
-            F.transform(
-                F.array_except(p["mine"], p["other"]), lambda d: F.struct(d, F.array_position(p["mine"], d).cast("int") - 1)
-            )
+def _sections(print_: Column) -> Column:
+    """The branches of a fingerprint: digest, leaf digests, and the index of its first leaf."""
+    branches = F.transform(
+        F.split(F.substring_index(print_, ":", -1), r"\|", -1),
+        lambda s: F.struct(
+            F.substring_index(s, "=", 1).alias("digest"),
+            F.filter(F.split(F.substring_index(s, "=", -1), ",", -1), lambda d: d != "").alias("leaves"),
         ),
+    )
+    start = lambda all_, i: F.aggregate(F.slice(all_, 1, i), F.lit(0), lambda n, t: n + F.size(t["leaves"]))
+    return F.transform(
+        F.array(branches),
+        lambda all_: F.transform(all_, lambda s, i: F.struct(s["digest"], s["leaves"], start(all_, i).alias("start"))),
     )[0]
-    return F.when(root(a) == root(b), F.expr("cast(array() as array<int>)")).otherwise(F.array_sort(F.map_values(places)))
+
+
+def _beyond(mine: Column, other: Column, digest) -> Column:
+    """The items of `mine` that `other` doesn't have, or not so often: of equal ones the last are left over."""
+    return F.filter(
+        mine,
+        lambda s, i: F.size(F.filter(F.slice(mine, 1, i + 1), lambda t: digest(t) == digest(s)))
+        > F.size(F.filter(other, lambda t: digest(t) == digest(s))),
+    )
+
+
+def edited_leaves(a: Column, b: Column) -> Column:
+    """Indexes of the leaves of `a` that `b` doesn't have, or not so often. Where the roots differ, sections are compared by their
+    digests, and only the leaves of those that differ are looked at; work grows with the square of these."""
+    leaf = lambda t: t["leaf"]
+    leaves = lambda sections: F.flatten(F.transform(
+        sections, lambda s: F.transform(s["leaves"], lambda d, j: F.struct(d.alias("leaf"), (s["start"] + j).cast("int").alias("at")))
+    ))
+    branches = F.array(F.struct(_sections(a).alias("mine"), _sections(b).alias("other")))
+    differing = F.transform(branches, lambda p: F.struct(
+        leaves(_beyond(p["mine"], p["other"], lambda t: t["digest"])).alias("mine"),
+        leaves(_beyond(p["other"], p["mine"], lambda t: t["digest"])).alias("other"),
+    ))
+    places = F.transform(differing, lambda p: F.transform(_beyond(p["mine"], p["other"], leaf), lambda t: t["at"]))[0]
+    return F.when(root(a) == root(b), F.expr("cast(array() as array<int>)")).otherwise(F.array_sort(places))
 
 
 def _steps(borders: list[int]) -> tuple[list[int], list[list[int]]]:

@@ -243,6 +243,42 @@ def test_fingerprints(spark, hard, empty):
     assert pair["near"] == pytest.approx(2 / 3) and pair["where"] == [1]
 
 
+def test_edits_are_located_by_branches(spark):
+    """Against counting by hand: sections that differ, and in them leaves that the other side lacks."""
+    from collections import Counter
+
+    rng, rows = random.Random(12), [("A. B. A. C.", "Z. B. Z. C."), ("A. A. B.", "A. B."), ("", "A."), ("A.", ""), (None, ""), ("A. ", "A. ")]
+    for _ in range(80):
+        leaves = rng.choices([f"p{i}. " for i in range(12)], k=rng.randrange(25))
+        other = [rng.choice([x, x, x, x, "new. ", ""]) for x in leaves]
+        rows.append(("".join(leaves), "".join(other)))
+    got = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", merkle.fingerprint(F.col("a")).alias("fa"), merkle.fingerprint(F.col("b")).alias("fb")
+    ).select("a", "b", "fa", "fb", merkle.edited_leaves(F.col("fa"), F.col("fb")).alias("where")).collect()
+
+    def sections(print_):
+        at, out = 0, []
+        for s in print_.split(":")[1].split("|"):
+            digest, leaves = s.split("=")
+            leaves = [x for x in leaves.split(",") if x]
+            out.append((digest, [(x, at + i) for i, x in enumerate(leaves)]))
+            at += len(leaves)
+        return out
+
+    def beyond(mine, other):
+        left, out = Counter(k for k, _ in other), []
+        for item in mine:
+            left[item[0]] -= 1
+            out += [item] if left[item[0]] < 0 else []
+        return out
+
+    for r in got:
+        a, b = sections(r["fa"]), sections(r["fb"])
+        mine, other = ([x for _, leaves in beyond(s, t) for x in leaves] for s, t in ((a, b), (b, a)))
+        assert r["where"] == sorted(place for _, place in beyond(mine, other)), (r["a"], r["b"])
+    assert got[0]["where"] == [0, 2] and len(got[1]["where"]) == 1 and got[5]["where"] == []
+
+
 # ---- sharding ----------------------------------------------------------------------------------
 
 
