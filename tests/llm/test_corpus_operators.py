@@ -97,6 +97,33 @@ def test_rising_curve_pools_violators():
     assert quality._rising(np.array([1, 1, 2, 1]), np.array([0, 1, 1, 1])).tolist() == pytest.approx([0, 2 / 3, 2 / 3, 1])
 
 
+def test_quality_equals_ridge_and_isotonic_by_hand(spark):
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality.labelled(quality.with_statistics(docs, "text", ("doc_id",)), labels).cache()
+    model = quality.fit_quality(rows)
+    got = rows.collect()
+    x, y, c = (np.array([r[i] for r in got]) for i in range(3))
+    y = y.astype(float)
+    assert np.allclose(model.mean, x[~c].mean(axis=0))
+    spread = x[~c].std(axis=0)
+    assert np.allclose(model.scale, np.where(spread < 1e-9, 1.0, spread), rtol=1e-6)
+    z, mean = model.features(x[~c]), y[~c].mean()
+    penalty = np.diag([quality.RIDGE] * (z.shape[1] - 1) + [1e-6])
+    want = np.linalg.solve(z.T @ z + penalty, z.T @ (y[~c] - mean))
+    want[-1] += mean
+    assert np.allclose(model.weights, want, rtol=1e-5, atol=1e-7)
+    at = np.clip((model.raw(x[c]) + 1) / 3 * quality.BINS, 0, quality.BINS - 1).astype(int)
+    cells = sorted(set(at.tolist()))
+    n, total = (np.array([f(y[c][at == i]) for i in cells], float) for f in (len, sum))
+    rising = [
+        max(min(total[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(cells))) for a in range(i + 1)) for i in range(len(cells))
+    ]
+    assert np.allclose(model.levels * (1 + 1e-3) - 1e-3 * (model.edges + 1) / 3, rising)
+
+
 # ---- decontamination ---------------------------------------------------------------------------
 
 
@@ -299,6 +326,21 @@ def test_shards_are_a_dealt_permutation(spark, hard, empty):
     assert sharding.shuffle_into_shards(empty).count() == 0
 
 
+def test_sharding_query_digests(spark):
+    import zlib
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = QUERIES["op5_sharding"](spark, SMALL).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    slots = {}
+    for r in got:
+        text = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(text) + 1, zlib.crc32(text), "rows", None)
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert set(slots) == set(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
 # ---- byte-level BPE ----------------------------------------------------------------------------
 
 
