@@ -71,7 +71,7 @@ def search(
         return (*(trial[c] for c in trials.columns), _loss(model, test, loss, label))
 
     with ThreadPoolExecutor(max(1, parallel)) as threads:
-        rows = list(threads.map(inheritable_thread_target(run), trials.orderBy("trial_id").collect()))
+        rows = list(threads.map(inheritable_thread_target(spark)(run), trials.orderBy("trial_id").collect()))
     schema = T.StructType([*trials.schema.fields, T.StructField("loss", T.DoubleType())])
     return spark.createDataFrame(rows, schema)
 
