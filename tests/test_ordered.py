@@ -147,3 +147,19 @@ def test_work_tables_go_with_their_scope(spark):
         assert materialise(spark.range(3), "scoped").count() == 3
         assert len(set(os.listdir(work_folder(spark).removeprefix("file:"))) - before) == 1
     assert set(os.listdir(work_folder(spark).removeprefix("file:"))) <= before
+
+
+def test_columns_of_few_values_take_no_more_rounds_of_narrowing(spark, monkeypatch):
+    """The median of z lies at the border of its two values, so no bracket parts them; each edge is one value of the histogram."""
+    rounds = []
+    written = ordered.materialise_observed
+
+    def counted(df, label, *args, **metrics):
+        rounds.append(label)
+        return written(df, label, *args, **metrics)
+
+    monkeypatch.setattr(ordered, "materialise_observed", counted)
+    df = spark.range(20_000).selectExpr("inline(array(struct('z' AS k, cast(id % 2 AS double) AS v), struct('y' AS k, cast(id % 7 AS double) AS v)))")
+    got = {(r["k"], r["q"]): r["value"] for r in ordered.quantiles(df, "v", [0.25, 0.5, 0.75], ["k"], bracket_rows=1000).collect()}
+    assert got == {("z", 0.25): 0.0, ("z", 0.5): 0.5, ("z", 0.75): 1.0, ("y", 0.25): 1.0, ("y", 0.5): 3.0, ("y", 0.75): 5.0}
+    assert rounds.count("brackets") == 1
