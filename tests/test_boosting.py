@@ -275,3 +275,30 @@ def test_weak_splits_above_strong_ones_survive(spark):
     assert gains == pytest.approx([200 / 3, 400 / 3])
     assert fit(100.0).nodes.equals(free)  # the weak split stays, as the one below it does
     assert len(fit(150.0).nodes) == 1
+
+
+def test_cells_of_a_level_are_summed_once(monkeypatch, table):
+    """The level's histogram is used twice, for a child and for its sibling: it is read back from where it was written."""
+    sources, real = [], grow._next_histogram
+
+    def seen(hist, splits, summed):
+        sources.append(summed._jdf.queryExecution().optimizedPlan().toString())
+        return real(hist, splits, summed)
+
+    monkeypatch.setattr(grow, "_next_histogram", seen)
+    _grown(table, BoostParams(max_depth=3), 0)
+    assert len(sources) == 2 and not any("Generate" in plan or "Aggregate" in plan for plan in sources)
+
+
+def test_bags_of_a_forest_are_drawn_once_a_tree(monkeypatch, table):
+    """Levels read the weights; none hashes the keys again."""
+    plans, real = [], boosting.grow_tree
+
+    def seen(rows, *args, **named):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return real(rows, *args, **named)
+
+    monkeypatch.setattr(boosting, "grow_tree", seen)
+    m = boosting.fit_forest(table, 2, 2, seed=4)
+    assert m.nodes["tree"].nunique() == 2
+    assert len(plans) == 2 and not any("md5" in plan or "lambda" in plan for plan in plans)
