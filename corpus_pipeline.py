@@ -31,7 +31,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = linededup.drop_shared_lines(docs)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    return kept.select(*["`" + c.replace("`", "``") + "`" for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
