@@ -302,3 +302,41 @@ def test_bags_of_a_forest_are_drawn_once_a_tree(monkeypatch, table):
     m = boosting.fit_forest(table, 2, 2, seed=4)
     assert m.nodes["tree"].nunique() == 2
     assert len(plans) == 2 and not any("md5" in plan or "lambda" in plan for plan in plans)
+
+
+def test_exact_edges_of_few_values_are_not_narrowed(spark, monkeypatch):
+    """Only columns of many values pay for brackets; edges stay exact, missing values are left out, and an empty table has none."""
+    monkeypatch.setattr(boosting, "FEW_VALUES", 50)
+    asked, real = [], boosting.quantiles
+
+    def seen(df, *args, **named):
+        asked.append(({r["column"] for r in df.select("column").distinct().collect()}, named.get("bracket_rows")))
+        return real(df, *args, **named)
+
+    monkeypatch.setattr(boosting, "quantiles", seen)
+    rows = [(float(i * 37 % 1000), i % 3, None if i % 2 else i % 7) for i in range(1000)]
+    df = spark.createDataFrame(rows, "wide double, few int, some int")
+    edges = bin_edges(df, ["few", "wide", "some"], 4, exact=True)
+    columns = ([r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows if r[2] is not None])
+    assert edges == tuple(tuple(sorted(set(np.quantile(c, [0.25, 0.5, 0.75]).tolist()))) for c in columns)
+    assert [(len(c), b) for c, b in asked] == [(2, float("inf")), (1, None)]
+    assert bin_edges(df.limit(0), ["few", "wide"], 4, exact=True) == ((), ())
+
+
+def test_bins_of_all_features_are_found_in_one_function(spark, monkeypatch):
+    """One Arrow function for all features, none for each; bins as worked by hand, also of edges, missing and infinite values."""
+    plans, real = [], boosting.materialise
+
+    def seen(df, label, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label, *args)
+
+    monkeypatch.setattr(boosting, "materialise", seen)
+    values = [None, float("nan"), float("-inf"), 0.9, 1.0, 1.5, 2.0, float("inf")]
+    df = spark.createDataFrame([(i, v, v, 1) for i, v in enumerate(values)], "listing_id int, x double, z double, dom int")
+    t = bin_table(df, ["x", "z"], split=None, edges=[[1.0, 2.0], []])
+    found = {r["key"]: list(r["b"]) for r in t.rows.collect()}
+    assert [found[i] for i in range(8)] == [[-1, -1], [-1, -1], [0, 0], [0, 0], [1, 0], [1, 0], [2, 0], [2, 0]]
+    assert sum(p.count("ArrowEvalPython") for p in plans) == 1 and not any("UDF(" in p for p in plans)
+    with pytest.raises(ValueError):
+        bin_table(df, ["x"], split=None, edges=[[2.0, 1.0]])
