@@ -340,3 +340,26 @@ def test_bins_of_all_features_are_found_in_one_function(spark, monkeypatch):
     assert sum(p.count("ArrowEvalPython") for p in plans) == 1 and not any("UDF(" in p for p in plans)
     with pytest.raises(ValueError):
         bin_table(df, ["x"], split=None, edges=[[2.0, 1.0]])
+
+
+@pytest.mark.parametrize("change", [{}, {"subsample": 0.6, "seed": 3}, {"objective": "logcosh", "alpha": 0.9, "metric": "rmse"}])
+def test_like_rows_are_one_row_with_a_weight(spark, monkeypatch, change):
+    """The same trees and metrics as from the rows one by one, sampled or not, from a fraction of the rows."""
+    rows = [(i if i % 50 else None, [i % 4, None][i % 9 == 0], i % 3, [i % 4 + i % 3, None][i % 40 == 0], ["train", "valid"][i % 5 == 0]) for i in range(900)]
+    df = spark.createDataFrame(rows, "listing_id int, x int, z int, dom int, split string")
+    t = bin_table(df, ["x", "z"], edges=[[1.0, 2.0, 3.0], [1.0, 2.0]])
+    params = BoostParams(n_estimators=3, max_depth=3, **change)
+    one_by_one = fit_boosted(t, params)
+    totals, real = [], boosting.grow_tree
+
+    def seen(rows, total, *args, **named):
+        totals.append(total)
+        return real(rows, total, *args, **named)
+
+    monkeypatch.setattr(boosting, "grow_tree", seen)
+    monkeypatch.setattr(boosting, "GROUP_ROWS", 0)
+    together = fit_boosted(t, params)
+    assert set(totals) == {t.rows.select("split", "y", "b").distinct().count()} and totals[0] < 300
+    pd.testing.assert_frame_equal(one_by_one.nodes, together.nodes)
+    assert [(h["round"], h["split"]) for h in one_by_one.history] == [(h["round"], h["split"]) for h in together.history]
+    np.testing.assert_allclose([h["value"] for h in one_by_one.history], [h["value"] for h in together.history])
