@@ -18,6 +18,7 @@ each keep theirs. Other columns are carried along; those with the names of the n
 from __future__ import annotations
 
 import base64
+import marshal
 import struct
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -30,8 +31,10 @@ from pyspark.sql import DataFrame
 from dwellspan.llm.text import add_in_arrow
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-TABLE_BYTES = 256 << 20  # of states, transitions and pairs of a worker
-MATCH_BYTES = 128 << 20  # of remembered matches, the newer and the older ones
+TABLE_BYTES = 96 << 20  # of states, transitions and pairs of a worker
+MATCH_BYTES = 64 << 20  # of remembered matches, the newer and the older ones
+EMITTED_BITS = 24  # of a transition, for the place of what it emits: more places than the tables have room for
+EMITTED_MASK = (1 << EMITTED_BITS) - 1
 DECODED = 4096  # tokens that are decoded at a time
 _made: dict[tuple[str, str], "Transducer"] = {}
 _bytes: dict[str, list[bytes]] = {}
@@ -96,19 +99,24 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # 256 * state + byte: state, tokens emitted
+        self.number: dict[bytes, int] = {}
+        self.states: list[bytes] = []  # packed configurations, which take a quarter of the room of tuples
+        self.steps: dict[int, int] = {}  # 256 * state + byte: the state behind, and the place of the tokens emitted in the low bits
+        self.emitted: list[tuple[int, ...]] = [()]
+        self.emitted_at: dict[tuple[int, ...], int] = {(): 0}
         self.apart: dict[int, bool] = {}
         self.table_bytes = 0
         self._state(((0, -1, ()),))
 
     def _state(self, configurations: tuple) -> int:
-        at = self.number.get(configurations)
+        return self._packed_state(marshal.dumps(configurations, 2))  # version 2: equal values give equal bytes
+
+    def _packed_state(self, packed: bytes) -> int:
+        at = self.number.get(packed)
         if at is None:
-            at = self.number[configurations] = len(self.states)
-            self.states.append(configurations)
-            self.table_bytes += 120 + 115 * len(configurations)  # about what these objects take, as measured
+            at = self.number[packed] = len(self.states)
+            self.states.append(packed)
+            self.table_bytes += 170 + len(packed)  # about what these objects take, as measured
         return at
 
     def stays_apart(self, before: int, token: int) -> bool:
@@ -120,14 +128,22 @@ class Transducer:
             self.table_bytes += 65
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _place(self, emitted: tuple[int, ...]) -> int:
+        place = self.emitted_at.get(emitted)
+        if place is None:
+            place = self.emitted_at[emitted] = len(self.emitted)
+            self.emitted.append(emitted)
+            self.table_bytes += 190 + 8 * len(emitted)
+        return place
+
+    def _step(self, state: int, byte: int) -> int:
         """The transition, made and kept."""
         if self.table_bytes > TABLE_BYTES:
             here = self.states[state]
             self._forget()
-            state = self._state(here)
+            state = self._packed_state(here)
         moved, ended, inner, child, token_at = [], None, self.inner, self.child.get, self.token_at
-        for node, before, ahead in self.states[state]:
+        for node, before, ahead in marshal.loads(self.states[state]):
             step = child(node << 8 | byte)
             if step is None:
                 continue
@@ -147,7 +163,7 @@ class Transducer:
                 emitted = emitted[: next(i for i, t in enumerate(emitted) if i >= len(ahead) or ahead[i] != t)]
         if n := len(emitted):
             moved = [(node, before, ahead[n:]) for node, before, ahead in moved]
-        step = self.steps[state << 8 | byte] = self._state(tuple(moved)), emitted
+        step = self.steps[state << 8 | byte] = self._state(tuple(moved)) << EMITTED_BITS | self._place(emitted)
         self.table_bytes += 140
         return step
 
@@ -157,10 +173,13 @@ class Transducer:
             return [whole]
         state, out = 0, []
         for byte in piece:
-            state, emitted = self.steps.get(state << 8 | byte) or self._step(state, byte)
-            if emitted:
-                out += emitted
-        out += self.states[state][-1][2]  # the configuration at the root: all bytes are in tokens
+            step = self.steps.get(state << 8 | byte)
+            if step is None:
+                step = self._step(state, byte)
+            state, place = step >> EMITTED_BITS, step & EMITTED_MASK
+            if place:
+                out += self.emitted[place]
+        out += marshal.loads(self.states[state])[-1][2]  # the configuration at the root: all bytes are in tokens
         return out
 
     def _learn(self, match: str) -> bytes:

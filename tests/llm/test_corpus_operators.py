@@ -397,6 +397,24 @@ def test_bpe_tables_are_bounded_within_a_match(machine, monkeypatch):
     assert bpe.ids_of(machine.encode(head)).tolist() == judge.encode_ordinary(head)
 
 
+def test_bpe_tables_take_the_memory_they_count(machine):
+    """Workers keep them until they end, so two of them and an executor's heap must fit its memory."""
+    import tracemalloc
+
+    rng = random.Random(1)
+    matches = ["".join(rng.choices("etaoinshrdlucmfwypvbgk", k=rng.randint(6, 14))).encode() for _ in range(4000)]
+    machine._forget()
+    tracemalloc.start()
+    try:
+        for match in matches:
+            machine.encode_match(match)
+        taken = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert taken < 1.1 * machine.table_bytes and taken < 400 * len(machine.steps)  # 492 a transition as tuples
+    assert bpe.TABLE_BYTES + bpe.MATCH_BYTES <= 160 << 20
+
+
 def test_utf8_stream_holds_unfinished_code_points():
     for text in ("é漢\U0001F600a", ""):
         data = text.encode()
