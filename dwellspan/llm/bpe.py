@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from dwellspan.llm.text import add_in_arrow
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-TABLE_BYTES = 96 << 20  # of states, transitions and pairs of a worker
-MATCH_BYTES = 64 << 20  # of remembered matches, the newer and the older ones
+TABLE_BYTES = 128 << 20  # of states, transitions and pairs of a worker
+MATCH_BYTES = 80 << 20  # of remembered matches, the newer and the older ones
 EMITTED_BITS = 24  # of a transition, for the place of what it emits: more places than the tables have room for
 EMITTED_MASK = (1 << EMITTED_BITS) - 1
 DECODED = 4096  # tokens that are decoded at a time
