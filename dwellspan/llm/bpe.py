@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from dwellspan.llm.text import add_in_arrow
+from dwellspan.llm.text import add_in_arrow, worker_tables
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 TABLE_BYTES = 128 << 20  # of states, transitions and pairs of a worker
@@ -36,7 +36,6 @@ MATCH_BYTES = 80 << 20  # of remembered matches, the newer and the older ones
 EMITTED_BITS = 24  # of a transition, for the place of what it emits: more places than the tables have room for
 EMITTED_MASK = (1 << EMITTED_BITS) - 1
 DECODED = 4096  # tokens that are decoded at a time
-_made: dict[tuple[str, str], "Transducer"] = {}
 _bytes: dict[str, list[bytes]] = {}
 
 
@@ -242,9 +241,7 @@ def text_of(tokens: bytes, token_bytes: list[bytes]) -> str:
 
 def transducer(path: str, pattern: str) -> Transducer:
     """One for each vocabulary and Python worker."""
-    if (path, pattern) not in _made:
-        _made[path, pattern] = Transducer(read_ranks(path), pattern)
-    return _made[path, pattern]
+    return worker_tables(("bpe", path, pattern), lambda: Transducer(read_ranks(path), pattern))
 
 
 def vocabulary(path: str) -> list[bytes]:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dwellspan.llm.text import add_in_arrow
+from dwellspan.llm.text import add_in_arrow, worker_tables
 
 VOCABULARY = "piece_bpe_32k.model"
 WORDS_BYTES = 96 << 20  # of a worker's tables of words, the newer and the older one
@@ -35,7 +35,6 @@ LONG_WORD = 48  # characters from which on a word is cut at unknown pairs first
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
 NEVER = np.int64(1 << 62)
-_made: dict[str, "Pieces"] = {}
 codecs.register_error("dwellspan-bytewise", lambda e: ("�", e.start + 1))
 
 
@@ -445,10 +444,12 @@ class Pieces:
 
 def pieces(path: str) -> Pieces:
     """One for each model file and Python worker."""
-    if path not in _made:
+
+    def make() -> Pieces:
         with open(path, "rb") as file:
-            _made[path] = Pieces(file.read())
-    return _made[path]
+            return Pieces(file.read())
+
+    return worker_tables(("pieces", path), make)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_tables: dict[tuple, Any] = {}
 
 
 def free_name(df, stem: str) -> str:
@@ -53,6 +55,15 @@ def schema_of(df) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def worker_tables(key: tuple, make: Callable[[], Any]) -> Any:
+    """Large tables of an operator, which a Python worker makes once and keeps for its next tasks. A worker has one set at a time, and none
+    once it works on texts for an operator that needs none (`text_chunks`): Spark gives idle workers to any operator."""
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = make()
+    return _tables[key]
+
+
 def row_chunks(batch: pa.RecordBatch, at: int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows whose values in column `at` have at most `limit` bytes together; a larger value comes alone. An entry of a
     list counts as the 32 bytes of a Python integer."""
@@ -83,6 +94,7 @@ def add_in_arrow(rows, column: str, run: Callable[[pa.Array], list[pa.Array]], n
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows of at most `limit` bytes; a longer text comes alone."""
+    _tables.clear()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")

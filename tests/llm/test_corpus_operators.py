@@ -3,13 +3,16 @@
 import hashlib
 import random
 import re
+import weakref
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dwellspan.llm import bpe, chat, decontaminate, langid, linededup, merkle, neardup, quality, sharding, urlfilter
+from dwellspan.llm import bpe, chat, decontaminate, langid, linededup, merkle, neardup, pieces, quality, sharding, urlfilter
 from dwellspan.llm.graph import components
 from dwellspan.llm.queries import ORACLES, QUERIES
+from dwellspan.llm.text import text_chunks
 
 SMALL = "/root/testdata/sf0.001"
 # Columns whose names the operators use for their own columns.
@@ -351,6 +354,20 @@ def machine():
     return bpe.transducer(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
 
 
+def test_a_worker_gives_up_tables_when_it_works_for_another_operator():
+    import public_tokenizers
+
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    assert not list(text_chunks(pa.array([], pa.string())))
+    made = weakref.ref(bpe.transducer(path, public_tokenizers.PATTERN))
+    assert bpe.transducer(path, public_tokenizers.PATTERN) is made()  # kept for the next task
+    assert len(list(text_chunks(pa.array(["a text", None])))) == 1
+    assert made() is None
+    made = weakref.ref(bpe.transducer(path, public_tokenizers.PATTERN))
+    pieces.pieces(public_tokenizers.path(pieces.VOCABULARY))
+    assert made() is None
+
+
 def test_bpe_equals_the_merges(machine, monkeypatch):
     import public_tokenizers
     import tiktoken
